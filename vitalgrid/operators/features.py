@@ -111,11 +111,14 @@ def long_stats(stats: DataFrame, names: Sequence[str], by: Sequence[str] = ()) -
 
 
 def scaled(rows: DataFrame, stats: DataFrame, names: Sequence[str], by: Sequence[str]) -> DataFrame:
-    """(x - mean) / scale with the statistics of the row's group."""
-    joined = rows.join(stats.drop("n"), list(by), "left")
+    """(x - mean) / scale with the statistics of the row's group, or of all rows when `by` is empty."""
+    if by:
+        joined, prefix = rows.join(stats.drop("n"), list(by), "left"), ""
+    else:
+        joined, prefix = rows.withColumn("_stats", stats.select(F.struct(*stats.columns)).scalar()), "_stats."
     return joined.select(
         *[c for c in rows.columns if c not in names],
-        *[((F.col(n) - F.col(f"mean_{n}")) / F.col(f"scale_{n}")).alias(n) for n in names],
+        *[((F.col(n) - F.col(f"{prefix}mean_{n}")) / F.col(f"{prefix}scale_{n}")).alias(n) for n in names],
     )
 
 

@@ -36,16 +36,17 @@ def running_totals(
     """
     last = 0 if inclusive else -1
     part = [*by, *cells]
-    window = Window.orderBy(*order).partitionBy(*part).rowsBetween(Window.unboundedPreceding, last)
+    window = Window.partitionBy(*part).orderBy(*order).rowsBetween(Window.unboundedPreceding, last)
     inside = df.withColumns({f"{prefix}{v}": F.coalesce(F.sum(v).over(window), F.lit(0)) for v in values})
     if not cells:
         return inside
     totals = df.groupBy(*part).agg(*[F.sum(v).alias(v) for v in values])
-    offsets = running_totals(totals, by, [cells[-1]], values, cells[:-1], inclusive=False, prefix="_before_")
-    offsets = offsets.select(*part, *[f"_before_{v}" for v in values])
+    before = f"_before{len(cells)}_"
+    offsets = running_totals(totals, by, [cells[-1]], values, cells[:-1], inclusive=False, prefix=before)
+    offsets = offsets.select(*part, *[f"{before}{v}" for v in values])
     joined = inside.join(offsets, part, "left")
     return joined.select(
-        *df.columns, *[(F.col(f"{prefix}{v}") + F.col(f"_before_{v}")).alias(f"{prefix}{v}") for v in values]
+        *df.columns, *[(F.col(f"{prefix}{v}") + F.col(f"{before}{v}")).alias(f"{prefix}{v}") for v in values]
     )
 
 

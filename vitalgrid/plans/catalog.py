@@ -2,10 +2,11 @@
 
 from pyspark.sql import functions as F
 
-from ..operators import features, labels, merge, metrics, reports, rules, spine, vitals
-from ..schemas import AIR_COLUMNS, DEFAULT_NODES, MERGED_COLUMNS, WEATHER_COLUMNS
+from ..operators import drift, features, federated, labels, merge, metrics, models, reports, rules, spine, vitals
+from ..schemas import DEFAULT_NODES, MERGED_COLUMNS
 from ..session import scratch_path, written
 from ..sources import events, readers, writers
+from ..streaming import hourly, run
 from . import stages
 
 REGIONS = ["hospital_A", "hospital_C"]
@@ -393,3 +394,193 @@ def class_counts(spark, folder):
 @query
 def roc_auc(spark, folder):
     return rounded(metrics.roc_auc(_scored_linear(spark, folder), ["location"]), 9)
+
+
+@query
+def fedavg_scaler(spark, folder):
+    rows, names = stages.model_rows(spark, folder)
+    stats = features.scaler_stats(rows, names, ["location"])
+    return rounded(federated.average_parameters(federated.scaler_parameters(stats, names)), 6)
+
+
+@query
+def federated_metrics(spark, folder):
+    client = metrics.evaluate(_scored_linear(spark, folder), ["location"])
+    return rounded(federated.average_metrics(client), 9)
+
+
+# ---- models --------------------------------------------------------------
+
+
+def _split_rows(spark, folder):
+    rows, names = stages.model_rows(spark, folder)
+    return written(features.stratified_split(rows), "split"), names
+
+
+@query
+def train_logistic(spark, folder):
+    rows, names = _split_rows(spark, folder)
+    return models.train_and_score(rows, names, "logistic_regression", ["location"])
+
+
+@query
+def train_forest(spark, folder):
+    rows, names = _split_rows(spark, folder)
+    return models.train_and_score(rows, names, "random_forest", ["location"])
+
+
+@query
+def train_gbt(spark, folder):
+    rows, names = _split_rows(spark, folder)
+    return models.train_and_score(rows, names, "gradient_boosting", ["location"])
+
+
+@query
+def central_train(spark, folder):
+    table = stages.labeled_once(spark, folder, "global", cumulative=True).drop("risk_score")
+    return models.central_train(table, scratch_path(spark, "central-model"))
+
+
+@query
+def feature_importance(spark, folder):
+    rows, names = stages.model_rows(spark, folder)
+    return models.HealthModel("random_forest", {}, names).fit(rows).importances()
+
+
+@query
+def federated_logistic(spark, folder):
+    return federated.federated_logistic(*stages.model_rows(spark, folder))
+
+
+@query
+def federated_logistic_warm(spark, folder):
+    rows, names = stages.model_rows(spark, folder)
+    return federated.federated_logistic(rows, names, rounds=5, warm_start=True, scaler="global")
+
+
+@query
+def federated_forest(spark, folder):
+    return federated.federated_trees(*stages.model_rows(spark, folder))[0]
+
+
+@query
+def federated_parameters(spark, folder):
+    return federated.federated_trees(*stages.model_rows(spark, folder))[1]
+
+
+# ---- streams -------------------------------------------------------------
+
+
+def _stream_of(spark, table, name):
+    """The table as files in a folder of its own, read back as a stream."""
+    folder = scratch_path(spark, name)
+    table.write.parquet(folder)
+    return run.file_stream(spark, folder, table.schema)
+
+
+@query
+def stream_hourly_vitals(spark, folder):
+    wearable = stages.sources(spark, folder, cumulative=True).wearable
+    return run.drain(hourly.stream_vitals(_stream_of(spark, wearable, "wearable")))[0]
+
+
+@query
+def stream_environment(spark, folder):
+    s = stages.sources(spark, folder)
+    streams = [_stream_of(spark, t, n) for t, n in ((s.wearable, "wearable"), (s.air, "air"), (s.weather, "weather"))]
+    out = run.drain(hourly.stream_environment(*streams))[0]
+    return out.select(*KEYS, "heart_rate_mean", "spo2_mean", "aqi", "temperature", "aqi_category", "high_heart_rate")
+
+
+@query
+def stream_labels(spark, folder):
+    """Rows labeled on arrival against the thresholds of a batch run."""
+    table = stages.scored(spark, folder)
+    merged = _stream_of(spark, table.select(*MERGED_COLUMNS), "merged")
+    limits = written(labels.thresholds(table), "thresholds")
+    return run.drain(hourly.stream_labels(merged, limits).select(*KEYS, "risk_score", "health_risk"))[0]
+
+
+@query
+def stream_alerts(spark, folder):
+    merged = _stream_of(spark, stages.merged(spark, folder), "merged")
+    return run.drain(hourly.stream_row_alerts(merged).drop("message"))[0]
+
+
+@query
+def stream_risk_alerts(spark, folder):
+    labeled = _stream_of(spark, stages.labeled(spark, folder), "labeled")
+    return rounded(run.drain(hourly.stream_risk_alerts(labeled))[0], 9)
+
+
+# ---- drift and quality ---------------------------------------------------
+
+DRIFT_FEATURES = ["heart_rate_mean", "spo2_mean", "steps_total", "pm25", "aqi", "temperature", "humidity"]
+DRIFT_START = "2024-01-16"
+
+
+def _windows(spark, folder):
+    """First and second part of the month, from the table written once."""
+    table = written(stages.merged(spark, folder), "merged")
+    start = F.lit(DRIFT_START).cast("timestamp_ntz")
+    return table.filter(F.col("timestamp") < start), table.filter(F.col("timestamp") >= start)
+
+
+@query
+def psi(spark, folder):
+    return rounded(drift.population_stability(*_windows(spark, folder), DRIFT_FEATURES), 6)
+
+
+@query
+def ks(spark, folder):
+    return rounded(drift.kolmogorov_smirnov(*_windows(spark, folder), DRIFT_FEATURES), 9)
+
+
+@query
+def drift_alerts(spark, folder):
+    index = drift.population_stability(*_windows(spark, folder), DRIFT_FEATURES)
+    return rounded(drift.drift_alerts(index, levels=(0.01, 0.03)), 6)
+
+
+@query
+def profile_daily(spark, folder):
+    table = written(stages.merged(spark, folder), "merged")
+    return rounded(drift.daily_profile(table, DRIFT_FEATURES), 6)
+
+
+@query
+def data_quality(spark, folder):
+    return rounded(drift.data_quality(stages.sources(spark, folder).wearable), 9)
+
+
+@query
+def duplicate_readings(spark, folder):
+    return drift.duplicate_keys(stages.sources(spark, folder).wearable, ["user_id", "timestamp"])
+
+
+@query
+def correlations(spark, folder):
+    return rounded(drift.correlations(stages.merged(spark, folder), DRIFT_FEATURES), 6)
+
+
+@query
+def prediction_daily(spark, folder):
+    return rounded(metrics.error_rate_daily(_scored_linear(spark, folder)), 6)
+
+
+@query
+def model_compare(spark, folder):
+    rows, names = _split_rows(spark, folder)
+    return merge.union_sites([models.train_and_score(rows, names, kind) for kind in models.DEFAULTS])
+
+
+@query
+def federated_vs_central(spark, folder):
+    """One logistic model over all rows beside the federated average, on the same test rows."""
+    rows, names = stages.model_rows(spark, folder)
+    split = written(federated.local_split(rows), "split")
+    central = models.train_and_score(split, names, "logistic_regression").select(
+        F.lit("central").alias("mode"), *federated.METRICS
+    )
+    average = federated.federated_logistic(rows, names, rounds=1)
+    return central.unionByName(average.select(F.lit("federated").alias("mode"), *federated.METRICS))

@@ -236,6 +236,25 @@ TABLES["split"] = """
                       ORDER BY md5(concat_ws('|', location, cast("timestamp" AS varchar), '42')))
                   <= ceil(0.2e0 * count(*) OVER (PARTITION BY location, health_risk)) AS is_test
         FROM labeled"""
+DRIFT_FEATURES = ["heart_rate_mean", "spo2_mean", "steps_total", "pm25", "aqi", "temperature", "humidity"]
+TABLES["long_rows"] = f"""
+        SELECT feature, round(value, 9) AS value, "timestamp" >= TIMESTAMP '2024-01-16' AS is_current,
+               cast("timestamp" AS date) AS date
+        FROM (UNPIVOT (SELECT "timestamp", {", ".join(f"cast({n} AS double) AS {n}" for n in DRIFT_FEATURES)}
+                       FROM merged)
+              ON {", ".join(DRIFT_FEATURES)} INTO NAME feature VALUE value)"""
+TABLES["edges"] = f"""
+        SELECT feature, quantile_cont(value, [{", ".join(f"{i / 10}e0" for i in range(1, 10))}]) AS edges
+        FROM long_rows WHERE NOT is_current GROUP BY feature"""
+TABLES["binned"] = """
+        SELECT feature, is_current, len(list_filter(edges, lambda e: value > e)) AS bin
+        FROM long_rows JOIN edges USING (feature)"""
+TABLES["shares"] = """
+        SELECT feature, greatest(ref / sum(ref) OVER (PARTITION BY feature), 1e-4) AS p,
+               greatest(cur / sum(cur) OVER (PARTITION BY feature), 1e-4) AS q
+        FROM (SELECT feature, bin, count(*) FILTER (NOT is_current) AS ref, count(*) FILTER (is_current) AS cur
+              FROM binned GROUP BY feature, bin)"""
+TABLES["psi"] = "SELECT feature, sum((p - q) * ln(p / q)) AS psi FROM shares GROUP BY feature"
 ORDER = list(TABLES)
 
 

@@ -1,6 +1,6 @@
 """One SQL text per named query that SQL can express."""
 
-from .oracle import FEATURES, MERGED, SUMMARY, TRENDS, sql
+from .oracle import DRIFT_FEATURES, FEATURES, MERGED, SUMMARY, TRENDS, sql
 
 REGIONS = "('hospital_A', 'hospital_C')"
 
@@ -236,4 +236,69 @@ QUERIES = {
                   round(sum(n * roc_auc) / sum(n), 9) AS roc_auc, round(sum(n * (1 - accuracy)) / sum(n), 9) AS loss,
                   cast(sum(n) AS bigint) AS total_samples, count(*) AS num_clients
            FROM node_metrics""", "node_metrics"),
+    # ---- streams: append mode holds back hours the watermark has not passed
+    "stream_hourly_vitals": sql(
+        """SELECT * FROM vitals
+           WHERE "timestamp" + INTERVAL 1 HOUR <= (SELECT max("timestamp") FROM readings) - INTERVAL 2 HOURS""",
+        "vitals", "readings"),
+    "stream_environment": sql(
+        """SELECT location, "timestamp", heart_rate_mean, spo2_mean, aqi, temperature, aqi_category, high_heart_rate
+           FROM merged
+           WHERE "timestamp" + INTERVAL 1 HOUR <= (SELECT max("timestamp") FROM readings) - INTERVAL 2 HOURS""",
+        "merged", "readings"),
+    "stream_labels": sql('SELECT location, "timestamp", risk_score, health_risk FROM labeled', "labeled"),
+    "stream_alerts": sql(
+        """SELECT location, "timestamp", 2 AS rule, aqi AS value, 'air_quality' AS type,
+                  CASE WHEN aqi > 200 THEN 'high' ELSE 'medium' END AS severity FROM merged WHERE aqi > 150
+           UNION ALL
+           SELECT location, "timestamp", 3, pm25, 'pm25', CASE WHEN pm25 > 75 THEN 'high' ELSE 'medium' END
+           FROM merged WHERE pm25 > 50
+           UNION ALL
+           SELECT location, "timestamp", CASE WHEN temperature > 35 THEN 4 ELSE 5 END, temperature, 'temperature', 'medium'
+           FROM merged WHERE temperature > 35 OR temperature < 5""", "merged"),
+    "stream_risk_alerts": sql(
+        """SELECT location, until, count(health_risk) AS n, round(avg(health_risk), 9) AS value, 'high_risk' AS type,
+                  CASE WHEN avg(health_risk) > 0.5e0 THEN 'high' ELSE 'medium' END AS severity
+           FROM (SELECT location, health_risk, unnest(generate_series("timestamp" + INTERVAL 1 HOUR,
+                        "timestamp" + INTERVAL 24 HOURS, INTERVAL 1 HOUR)) AS until FROM labeled)
+           WHERE until <= (SELECT max("timestamp") FROM labeled) - INTERVAL 2 HOURS
+           GROUP BY location, until HAVING avg(health_risk) > 0.3e0""", "labeled"),
+    # ---- drift and quality
+    "psi": sql("SELECT feature, round(psi, 6) AS psi FROM psi", "psi"),
+    "ks": sql(
+        """SELECT feature, n_ref, n_cur, round(max(abs(cum_ref / n_ref - cum_cur / n_cur)), 9) AS ks
+           FROM (SELECT feature, cum_ref, cum_cur,
+                        cast(max(cum_ref) OVER (PARTITION BY feature) AS bigint) AS n_ref,
+                        cast(max(cum_cur) OVER (PARTITION BY feature) AS bigint) AS n_cur
+                 FROM (SELECT feature,
+                              count(*) FILTER (NOT is_current) OVER (PARTITION BY feature ORDER BY value) AS cum_ref,
+                              count(*) FILTER (is_current) OVER (PARTITION BY feature ORDER BY value) AS cum_cur
+                       FROM long_rows))
+           GROUP BY feature, n_ref, n_cur""", "long_rows"),
+    "drift_alerts": sql(
+        """SELECT feature, round(psi, 6) AS value, 'drift' AS type,
+                  CASE WHEN psi > 0.03e0 THEN 'high' ELSE 'medium' END AS severity FROM psi WHERE psi > 0.01e0""", "psi"),
+    "profile_daily": sql(
+        """SELECT date, feature, count(*) AS n, round(avg(value), 6) AS mean, round(stddev_samp(value), 6) AS std,
+                  round(min(value), 6) AS min, round(max(value), 6) AS max, round(quantile_cont(value, 0.25e0), 6) AS p25,
+                  round(quantile_cont(value, 0.5e0), 6) AS p50, round(quantile_cont(value, 0.75e0), 6) AS p75
+           FROM long_rows GROUP BY date, feature""", "long_rows"),
+    "data_quality": sql(
+        " UNION ALL ".join(
+            f"""SELECT '{c}' AS "column", count(*) AS n, count(*) FILTER ({c} IS NULL) AS nulls,
+                       count(*) FILTER ({c} < {low} OR {c} > {high}) AS out_of_range,
+                       round(count(*) FILTER ({c} IS NULL) / count(*), 9) AS null_share FROM readings"""
+            for c, low, high in (("heart_rate", 50, 180), ("spo2", 90, 100), ("sleep_quality", 0, 100))),
+        "readings"),
+    "duplicate_readings": sql(
+        'SELECT user_id, "timestamp", count(*) AS n FROM readings GROUP BY ALL HAVING count(*) > 1', "readings"),
+    "correlations": sql(
+        " UNION ALL ".join(
+            f"""SELECT location, '{a}' AS a, '{b}' AS b, round(corr({a}, {b}), 6) AS corr FROM merged GROUP BY location"""
+            for i, a in enumerate(DRIFT_FEATURES) for b in DRIFT_FEATURES[i + 1:]), "merged"),
+    "prediction_daily": sql(
+        """SELECT location, cast("timestamp" AS date) AS date, count(*) AS predictions,
+                  round(avg(prediction), 6) AS positive_rate, round(avg(score), 6) AS mean_score,
+                  round(avg(CASE WHEN prediction <> health_risk THEN 1 ELSE 0 END), 6) AS error_rate
+           FROM linear GROUP BY ALL""", "linear"),
 }
