@@ -333,7 +333,7 @@ def federated_trees(
     """
     if model_type not in DEFAULTS or model_type == "logistic_regression":
         raise ValueError(f"not a tree model: {model_type!r}")
-    split = written(local_split(rows), "split")
+    split = written(local_split(rows), "split", ["location"])
     train, test = split.filter(~F.col("is_test")), split.filter("is_test")
     stats = written(features.scaler_stats(train, names, ["location"]), "stats")
     models = fit_trees(train, names, model_type, settings)

@@ -43,7 +43,8 @@ def thresholds(scored: DataFrame, scope: str = "node", quantile: float = LABEL_Q
 def constant_scopes(scored: DataFrame, scope: str = "node") -> DataFrame:
     """Per scope: are all scores close to the first one?"""
     by = SCOPES[scope]
-    first = F.min_by("risk_score", F.struct("timestamp", "location"))
+    # within one location the time alone orders the rows, and keeps a hash aggregate possible
+    first = F.min_by("risk_score", "timestamp" if by else F.struct("timestamp", "location"))
     stats = scored.filter(F.col("risk_score").isNotNull()).groupBy(*by).agg(
         F.min("risk_score").alias("_low"), F.max("risk_score").alias("_high"), first.alias("_first")
     )

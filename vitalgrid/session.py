@@ -2,6 +2,7 @@
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,15 +50,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, in a folder of this application's own."""
+    application = spark.sparkContext.applicationId
+    return f"{shared_folder(spark).rstrip('/')}/{application}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, by: Sequence[str] = ()) -> DataFrame:
     """Write a stage's result below the shared folder and go on from the files.
 
     Later passes read only the columns they need and never repeat the work before.
+    `by` makes folders of these columns, so that a filter on them reads only its part.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.partitionBy(*by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)

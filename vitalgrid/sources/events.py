@@ -84,11 +84,9 @@ def _weather(rows: DataFrame) -> DataFrame:
 
 
 def _picked(events: DataFrame, pick) -> DataFrame:
-    """One event per location and hour, without sorting any group."""
-    row = F.struct("event_id", "v", "k")
-    return _base(events).groupBy("location", "timestamp").agg(pick(row, "event_id").alias("e")).select(
-        "location", "timestamp", "e.*"
-    )
+    """One event per location and hour. Numeric buffers only, so a hash aggregate combines them."""
+    columns = [pick(c, "event_id").alias(c) for c in ("event_id", "v", "k")]
+    return _base(events).groupBy("location", "timestamp").agg(*columns)
 
 
 def air_view(events: DataFrame) -> DataFrame:
