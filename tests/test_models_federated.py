@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from vitalgrid.operators import federated, models
+from vitalgrid.operators import attach, federated, models
 from vitalgrid.session import scratch_path
 
 T0 = dt.datetime(2024, 1, 1)
@@ -92,7 +92,7 @@ def test_keyed_logistic_matches_dense_solver_per_site(rows):
         assert got[site] == pytest.approx(want, abs=1e-6)
 
 
-def test_join_path_gives_the_same_fit_as_the_broadcast(rows, monkeypatch):
+def test_salted_join_gives_the_same_fit_as_the_broadcast(rows, monkeypatch):
     from vitalgrid.operators import features
 
     marked = rows.withColumn("is_test", F.lit(False))
@@ -102,7 +102,7 @@ def test_join_path_gives_the_same_fit_as_the_broadcast(rows, monkeypatch):
         return {r["location"]: r["theta"] for r in federated.fit_logistic(design, 4, steps=3).collect()}
 
     small = fit()
-    monkeypatch.setattr(federated, "BROADCAST_VALUES", 0)
+    monkeypatch.setattr(attach, "BROADCAST_VALUES", 0)
     for site, theta in fit().items():
         assert theta == pytest.approx(small[site], abs=1e-9)
 

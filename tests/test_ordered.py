@@ -86,3 +86,17 @@ def test_share_cut_keeps_copies_together(spark):
     cut = share_cut(df, hash_key("k"), 0.2, ["g"], F.ceil)
     chosen = df.join(cut, "g").filter(hash_key("k") <= F.col("cut")).groupBy("k").count().collect()
     assert [r["count"] for r in chosen] == [100]
+
+
+@pytest.mark.parametrize("limit", [0, 10**6])
+def test_attach_keeps_every_row(spark, monkeypatch, limit):
+    from vitalgrid.operators import attach
+
+    monkeypatch.setattr(attach, "BROADCAST_VALUES", limit)
+    rows = spark.range(3000).select("id", F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 7).cast("string")).alias("k"))
+    values = spark.sql("SELECT * FROM VALUES ('hot', 1), ('1', 2), ('2', 3) t(k, v)")
+    got = {r["id"]: r["v"] for r in attach.attach(rows, values, ["k"]).collect()}
+    assert len(got) == 3000
+    for i, v in got.items():
+        assert v == (1 if i % 3 == 0 else {1: 2, 2: 3}.get(i % 7))
+    assert attach.attach(rows, values, ["k"], "inner").count() == sum(v is not None for v in got.values())

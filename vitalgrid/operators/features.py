@@ -9,6 +9,8 @@ from pyspark.sql import types as T
 
 from ..functions import core
 from ..schemas import CATEGORY_VOCABULARY, NON_FEATURES
+from ..session import cut_lineage
+from .attach import attach
 from .ordered import share_cut
 
 MAX_CATEGORIES = 10_000
@@ -27,12 +29,11 @@ def collect_vocabulary(df: DataFrame, columns: Sequence[str]) -> dict[str, list[
 
     A column with more values than a feature vector can hold is an error, not a cut.
     """
-    words = vocabulary(df, columns)
-    rows = words.limit(MAX_CATEGORIES + 1).collect()
-    if len(rows) > MAX_CATEGORIES:
+    words = cut_lineage(vocabulary(df, columns))
+    if words.count() > MAX_CATEGORIES:
         raise ValueError(f"more than {MAX_CATEGORIES} categories in {list(columns)}: not a category column")
     found = {c: [] for c in columns}
-    for feature, category in sorted(map(tuple, rows)):
+    for feature, category in sorted(map(tuple, words.collect())):
         found[feature].append(category)
     return found
 
@@ -113,7 +114,7 @@ def long_stats(stats: DataFrame, names: Sequence[str], by: Sequence[str] = ()) -
 def scaled(rows: DataFrame, stats: DataFrame, names: Sequence[str], by: Sequence[str]) -> DataFrame:
     """(x - mean) / scale with the statistics of the row's group, or of all rows when `by` is empty."""
     if by:
-        joined, prefix = rows.join(stats.drop("n"), list(by), "left"), ""
+        joined, prefix = attach(rows, stats.drop("n"), by), ""
     else:
         joined, prefix = rows.withColumn("_stats", stats.select(F.struct(*stats.columns)).scalar()), "_stats."
     return joined.select(
@@ -134,7 +135,7 @@ def stratified_split(
     """
     key = core.hash_key("location", "timestamp", F.lit(seed))
     cut = share_cut(rows, key, test_size, by, F.ceil).select(*by, "cut")
-    return rows.join(cut, list(by), "left").withColumn("is_test", key <= F.col("cut")).drop("cut")
+    return attach(rows, cut, by).withColumn("is_test", key <= F.col("cut")).drop("cut")
 
 
 def random_split(rows: DataFrame, test_size: float = 0.2, seed: int = 42) -> DataFrame:

@@ -16,13 +16,12 @@ from pyspark.sql import functions as F
 from ..functions import core
 from ..session import cut_lineage, written
 from . import features, metrics
+from .attach import attach
 from .models import DEFAULTS, HealthModel
 from .ordered import share_cut
 
 METRICS = ("accuracy", "precision", "recall", "f1", "roc_auc")
 MIN_CLIENTS = 2
-# parameters of this many locations times features fit a broadcast with room to spare
-BROADCAST_VALUES = 200_000
 
 
 # ---- aggregates ----------------------------------------------------------
@@ -84,13 +83,6 @@ def scaler_parameters(stats: DataFrame, names: Sequence[str]) -> DataFrame:
     return stats.select("location", "n", F.inline(F.array(*values)))
 
 
-def _attach(rows: DataFrame, small: DataFrame, width: int) -> DataFrame:
-    """Join per-location values; broadcast only when they were counted to be few."""
-    if small.count() * width <= BROADCAST_VALUES:
-        small = F.broadcast(small)
-    return rows.join(small, "location")
-
-
 # ---- logistic regression per location ------------------------------------
 
 
@@ -173,7 +165,7 @@ def fit_logistic(
         start = design.select("location").distinct().withColumn("theta", zero)
     theta = cut_lineage(start.select("location", "theta"))
     for _ in range(steps):
-        located = _attach(design.select("location", "x", "y"), theta, dimension)
+        located = attach(design.select("location", "x", "y"), theta, ["location"], "inner", dimension, computed=True)
         sums = located.mapInPandas(_partial_sums(dimension), "location string, idx int, value double")
         sums = sums.groupBy("location", "idx").agg(F.sum("value").alias("value"))
         moved = sums.join(theta, "location").groupBy("location").applyInPandas(
@@ -246,7 +238,7 @@ def federated_logistic(
         average = cut_lineage(average_parameters(logistic_parameters(theta, sizes, dimension)))
         shared = as_theta(average)
         scored = linear_scores(test_rows.withColumn("theta", shared.scalar()))
-        fitted = linear_scores(_attach(fit_rows, theta, dimension))
+        fitted = linear_scores(attach(fit_rows, theta, ["location"], "inner", dimension, computed=True))
         client = metrics.evaluate(scored, ["location"])
         trained = metrics.confusion_metrics(fitted, ["location"])
         return shared, average_metrics(client), average_fit(trained)

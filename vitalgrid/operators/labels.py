@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions import core, risk
 from ..schemas import LABEL_QUANTILE, SCORE_INPUTS
+from ..session import cut_lineage
+from .attach import attach
 from .ordered import UNIT_LEVELS, exact_quantiles, share_cut
 
 SCOPES = {"node": ["location"], "global": []}
@@ -61,37 +63,37 @@ def constant_labels(scored: DataFrame, scope: str = "node") -> DataFrame:
     by = SCOPES[scope]
     key = core.hash_key("location", "timestamp")
     cut = share_cut(scored.filter(F.col("risk_score").isNotNull()), key, POSITIVE_SHARE, by, F.floor, at_least=1)
-    return _attach(scored, cut.select(*by, "cut"), by, "cut").withColumn(
-        "health_risk", F.when(F.col("risk_score").isNotNull(), (key <= F.col("cut")).cast("int"))
-    ).drop("cut")
+    chosen = F.when(F.col("risk_score").isNotNull(), (key <= F.col("cut")).cast("int"))
+    return _attach(scored, cut.select(*by, "cut"), by).withColumn("health_risk", chosen).drop("cut")
 
 
-def binary_labels(
-    scored: DataFrame, scope: str = "node", quantile: float = LABEL_QUANTILE, constant_fallback: bool = True
-) -> DataFrame:
+def binary_labels(scored: DataFrame, scope: str = "node", quantile: float = LABEL_QUANTILE) -> DataFrame:
     """health_risk = 1 from the scope's score quantile upward, ties included.
 
-    A scope whose scores are all alike falls back to a fixed share of its rows.
+    A scope whose scores are all alike falls back to a fixed share of its rows. Thresholds are
+    computed first, as a small table; the fallback is planned only when a scope needs it.
     """
     by = SCOPES[scope]
     limits = thresholds(scored, scope, quantile).select(*by, "threshold")
-    above = (F.col("risk_score") >= F.col("threshold")).cast("int")
-    if not constant_fallback:
-        return _with_category(_attach(scored, limits, by, "threshold").withColumn("health_risk", above))
     flat = constant_scopes(scored, scope)
-    key = core.hash_key("location", "timestamp")
     if by:
-        in_flat = scored.join(flat.filter("is_constant").select(*by), by, "left_semi")
-        cut = share_cut(in_flat, key, POSITIVE_SHARE, by, F.floor, at_least=1).select(*by, "cut")
-        limits = limits.join(cut, by, "left")
+        limits = limits.join(flat, by)
     else:
-        in_flat = scored.filter(flat.select("is_constant").scalar())
-        cut = share_cut(in_flat, key, POSITIVE_SHARE, by, F.floor, at_least=1).select("cut")
-        scored = scored.withColumn("cut", cut.scalar())
-    labeled = _attach(scored, limits, by, "threshold")
-    in_share = F.when(F.col("risk_score").isNotNull(), (key <= F.col("cut")).cast("int"))
-    labeled = labeled.withColumn("health_risk", F.when(F.col("cut").isNotNull(), in_share).otherwise(above))
-    return _with_category(labeled.drop("cut"))
+        limits = limits.withColumn("is_constant", flat.scalar())
+    limits = cut_lineage(limits)
+    labeled = _attach(scored, limits, by, computed=True).withColumn(
+        "health_risk", (F.col("risk_score") >= F.col("threshold")).cast("int")
+    )
+    if not limits.filter("is_constant").isEmpty():
+        labeled = _with_constant_scopes(labeled, scope)
+    return labeled.drop("is_constant").withColumn("risk_category", risk.binary_category())
+
+
+def _with_constant_scopes(labeled: DataFrame, scope: str) -> DataFrame:
+    """Replace the labels of constant scopes; the other rows keep theirs."""
+    flat = F.coalesce("is_constant", F.lit(False))
+    replaced = constant_labels(labeled.filter(flat).drop("health_risk"), scope)
+    return labeled.filter(~flat).unionByName(replaced)
 
 
 def continuous_labels(scored: DataFrame) -> DataFrame:
@@ -105,12 +107,9 @@ def label_distribution(labeled: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return labeled.groupBy(*by, "health_risk").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _with_category(labeled: DataFrame) -> DataFrame:
-    return labeled.withColumn("risk_category", risk.binary_category())
-
-
-def _attach(rows: DataFrame, per_scope: DataFrame, by: Sequence[str], value: str) -> DataFrame:
-    """Bring one value per scope to its rows; a single scope needs no join at all."""
+def _attach(rows: DataFrame, per_scope: DataFrame, by: Sequence[str], computed: bool = False) -> DataFrame:
+    """Bring the values of each scope to its rows; a single scope needs no join at all."""
     if by:
-        return rows.join(per_scope, list(by), "left")
-    return rows.withColumn(value, per_scope.select(value).scalar())
+        return attach(rows, per_scope, by, computed=computed)
+    values = per_scope.select(F.struct(*per_scope.columns)).scalar()
+    return rows.withColumn("_scope", values).select(*rows.columns, "_scope.*")

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import core, environment, risk
+from .attach import attach
 
 ENVIRONMENT_SERIES = ("aqi", "pm25", "temperature", "humidity")
 VITALS_SERIES = ("heart_rate_mean", "spo2_mean")
@@ -31,7 +32,7 @@ def _percentage(part, whole):
 
 def in_regions(df: DataFrame, regions: Sequence[str]) -> DataFrame:
     """Rows of the selected locations; selecting none gives none."""
-    return df.filter(F.col("location").isin(*regions)) if regions else df.limit(0)
+    return df.filter(F.col("location").isin(*regions) if regions else F.lit(False))
 
 
 def in_date_range(df: DataFrame, dates: Sequence[dt.date | str]) -> DataFrame:
@@ -52,14 +53,14 @@ def last_days(df: DataFrame, days: int = 7, by: Sequence[str] = ("location",)) -
     """Rows from `days` before each group's last day up to that day."""
     ends = df.groupBy(*by).agg(F.max("timestamp").alias("_last"))
     start = F.date_sub(F.to_date("_last"), days).cast("timestamp_ntz")
-    return df.join(ends, list(by)).filter(F.col("timestamp") >= start).drop("_last")
+    return attach(df, ends, by, "inner").filter(F.col("timestamp") >= start).drop("_last")
 
 
 def trailing_day(df: DataFrame, by: Sequence[str] = ("location",)) -> DataFrame:
     """Rows of each group's last 24 hours, counted back from its own latest row, ends included."""
     ends = df.groupBy(*by).agg(F.max("timestamp").alias("_last"))
     recent = F.col("timestamp") >= F.col("_last") - F.expr("INTERVAL 24 HOURS")
-    return df.join(ends, list(by)).filter(recent).drop("_last")
+    return attach(df, ends, by, "inner").filter(recent).drop("_last")
 
 
 def existing(df: DataFrame, wanted: Sequence[str]) -> list[str]:

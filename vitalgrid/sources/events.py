@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from ..functions import environment
 from ..operators.vitals import daily_running_steps
-from ..schemas import AIR_COLUMNS, WEATHER_COLUMNS
 
 EVENT_SCHEMA = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
 
@@ -24,63 +23,56 @@ def read_events(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _base(events: DataFrame) -> DataFrame:
-    site = F.col("user_id") % 3
-    return events.select(
+    return events.selectExpr(
         "event_id",
         "ts",
         "user_id",
-        F.get_json_object("props", "$.k").cast("long").alias("k"),
-        F.round(F.col("value") * 100).cast("long").alias("v"),
-        F.when(site == 0, "hospital_A").when(site == 1, "hospital_B").otherwise("hospital_C").alias("location"),
-        F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("timestamp"),
+        "cast(get_json_object(props, '$.k') AS bigint) AS k",
+        "cast(round(value * 100) AS bigint) AS v",
+        "CASE user_id % 3 WHEN 0 THEN 'hospital_A' WHEN 1 THEN 'hospital_B' ELSE 'hospital_C' END AS location",
+        "cast(date_trunc('hour', ts) AS timestamp_ntz) AS timestamp",
     )
 
 
 def wearable_view(events: DataFrame, cumulative: bool = True) -> DataFrame:
     """Every event as one reading; `cumulative` adds the running steps of the user's day."""
-    v, k = F.col("v"), F.col("k")
-    asleep = environment.sleep_hour("timestamp").cast("int")
-    readings = _base(events).select(
+    readings = _base(events).withColumn("sleep_status", environment.sleep_hour().cast("int")).selectExpr(
         "timestamp",
         "location",
         "user_id",
         "event_id",
         "ts",
-        (F.lit(55) + (v % 700) / F.lit(10.0)).alias("heart_rate"),
-        (v % 900).cast("int").alias("steps"),
-        (F.lit(88) + ((v * 31 + k * 17) % 121) / F.lit(10.0)).alias("spo2"),
-        asleep.alias("sleep_status"),
-        (F.when(asleep == 1, k).otherwise(0) * F.lit(1.0)).alias("sleep_quality"),
+        "55 + (v % 700) / 10D AS heart_rate",
+        "cast(v % 900 AS int) AS steps",
+        "88 + ((v * 31 + k * 17) % 121) / 10D AS spo2",
+        "sleep_status",
+        "if(sleep_status = 1, k, 0) * 1D AS sleep_quality",
     )
     return daily_running_steps(readings, ["ts", "event_id"]) if cumulative else readings
 
 
 def _air(rows: DataFrame) -> DataFrame:
-    v, k = F.col("v"), F.col("k")
-    return (
-        rows.withColumns({
-            "pm25": (v % 26000) / F.lit(100.0),
-            "pm10": k * F.lit(3.5) + (v % 100) / F.lit(10.0),
-            "co2": (F.lit(400) + k * 6).cast("double"),
-        })
-        .withColumn("aqi", environment.aqi())
-        .select("location", "timestamp", *AIR_COLUMNS)
+    pollutants = rows.selectExpr(
+        "location",
+        "timestamp",
+        "(v % 26000) / 100D AS pm25",
+        "k * 3.5D + (v % 100) / 10D AS pm10",
+        "cast(400 + k * 6 AS double) AS co2",
     )
+    return pollutants.select("location", "timestamp", "pm25", "pm10", environment.aqi().alias("aqi"), "co2")
 
 
 def _weather(rows: DataFrame) -> DataFrame:
-    e, k = F.col("event_id"), F.col("k")
-    wet = e % 5 == 0
-    return rows.select(
+    return rows.selectExpr(
         "location",
         "timestamp",
-        (F.lit(-2) + ((e * 37) % 430) / F.lit(10.0)).alias("temperature"),
-        (F.lit(20) + ((e * 53) % 801) / F.lit(10.0)).alias("humidity"),
-        ((e * 29 % 500) / F.lit(10.0)).alias("wind_speed"),
-        (F.lit(980) + (e * 13 % 701) / F.lit(10.0)).alias("pressure"),
-        wet.cast("int").alias("precipitation"),
-        F.when(wet, (k % 50) / F.lit(2.0)).otherwise(F.lit(0.0)).alias("rainfall"),
-    ).select("location", "timestamp", *WEATHER_COLUMNS)
+        "-2 + ((event_id * 37) % 430) / 10D AS temperature",
+        "20 + ((event_id * 53) % 801) / 10D AS humidity",
+        "(event_id * 29 % 500) / 10D AS wind_speed",
+        "980 + (event_id * 13 % 701) / 10D AS pressure",
+        "cast(event_id % 5 = 0 AS int) AS precipitation",
+        "if(event_id % 5 = 0, (k % 50) / 2D, 0D) AS rainfall",
+    )
 
 
 def _picked(events: DataFrame, pick) -> DataFrame:

@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import labels, rules
+from ..operators.attach import attach
 from ..operators.merge import with_derived_features
 from ..operators.vitals import hourly_vitals
 from ..schemas import AIR_COLUMNS, WEATHER_COLUMNS
@@ -50,7 +51,7 @@ def stream_environment(wearable: DataFrame, air: DataFrame, weather: DataFrame,
 def stream_labels(merged: DataFrame, limits: DataFrame) -> DataFrame:
     """Binary labels against the thresholds of the last batch run: a quantile needs all rows,
     a stream has only the ones so far."""
-    scored = labels.with_risk_score(merged).join(limits.select("location", "threshold"), "location")
+    scored = attach(labels.with_risk_score(merged), limits.select("location", "threshold"), ["location"], "inner")
     return scored.withColumn("health_risk", (F.col("risk_score") >= F.col("threshold")).cast("int")).drop("threshold")
 
 
