@@ -155,3 +155,24 @@ def test_continuous_labels(spark):
     frame = scored_frame(spark, {"A": [0.0, 0.3, 0.31, 0.61, None]})
     rows = labels.continuous_labels(frame).orderBy("timestamp").collect()
     assert [r["risk_category"] for r in rows] == [None, "Low", "Medium", "High", None]
+
+
+@pytest.mark.parametrize("heavy_rows", [10**6, 40, 0])
+def test_running_steps_with_and_without_heavy_users(spark, heavy_rows):
+    rows = []
+    for i in range(600):
+        user = "hot" if i % 3 else f"u{i % 5}"
+        rows.append((user, T0 + dt.timedelta(minutes=17 * (i // 2)), i, i % 11))
+    rows.append((None, T0, 600, 5))
+    df = spark.createDataFrame(rows, "user_id string, timestamp timestamp_ntz, i int, steps int")
+    want = {"daily": {600: None}, "lifetime": {600: None}}
+    sums = {}
+    for user, at, i, steps in sorted(rows[:-1], key=lambda r: (r[1], r[2])):
+        for kind, key in (("daily", (user, at.date())), ("lifetime", user)):
+            sums[kind, key] = sums.get((kind, key), 0) + steps
+            want[kind][i] = sums[kind, key]
+    order = ["timestamp", "i"]
+    for kind, total in (("daily", vitals.daily_running_steps), ("lifetime", vitals.lifetime_running_steps)):
+        got = total(df, order, heavy_rows=heavy_rows)
+        assert got.columns == [*df.columns, "cumulative_steps"]
+        assert {r["i"]: r["cumulative_steps"] for r in got.collect()} == want[kind]

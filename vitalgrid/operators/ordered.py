@@ -13,6 +13,11 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+from .attach import attach
+
+# a window may sort this many rows of one group in one task; larger groups are cut
+HEAVY_ROWS = 1_000_000
 # Levels for 64-bit integer keys: no window sees more than 2^20 cells or keys below the
 # top level, whatever the distribution of the data.
 WIDE_LEVELS = (40, 20)
@@ -31,23 +36,50 @@ def running_totals(
 ) -> DataFrame:
     """Add `running_<v>`: the sum of v over `by` in `order`, up to this row.
 
-    `cells` are columns, coarse to fine, that never decrease along `order` within `by`.
-    Rows with a NULL in `by` get NULL, as a grouped cumulative sum has no group for them.
+    `cells` are columns, coarse to fine, that never decrease along `order` within `by`; a
+    group whose cells are NULL stays whole. Rows with a NULL in `by` get NULL, as a grouped
+    cumulative sum has no group for them.
     """
     last = 0 if inclusive else -1
-    part = [*by, *cells]
+    # the finest cell leads the sort: it tells rows of a hot key apart, the key does not
+    part = [*reversed(cells), *by]
     window = Window.partitionBy(*part).orderBy(*order).rowsBetween(Window.unboundedPreceding, last)
     inside = df.withColumns({f"{prefix}{v}": F.coalesce(F.sum(v).over(window), F.lit(0)) for v in values})
+    known = reduce(and_, [F.col(c).isNotNull() for c in by], F.lit(True))
     if not cells:
-        return inside
-    totals = df.groupBy(*part).agg(*[F.sum(v).alias(v) for v in values])
+        return inside.withColumns({f"{prefix}{v}": F.when(known, F.col(f"{prefix}{v}")) for v in values}) if by else inside
+    totals = df.filter(F.col(cells[-1]).isNotNull()).groupBy(*part).agg(*[F.sum(v).alias(v) for v in values])
     before = f"_before{len(cells)}_"
     offsets = running_totals(totals, by, [cells[-1]], values, cells[:-1], inclusive=False, prefix=before)
     offsets = offsets.select(*part, *[f"{before}{v}" for v in values])
     joined = inside.join(offsets, part, "left")
-    return joined.select(
-        *df.columns, *[(F.col(f"{prefix}{v}") + F.col(f"{before}{v}")).alias(f"{prefix}{v}") for v in values]
-    )
+
+    def total(v):
+        return F.when(known, F.col(f"{prefix}{v}") + F.coalesce(F.col(f"{before}{v}"), F.lit(0)))
+
+    return joined.select(*df.columns, *[total(v).alias(f"{prefix}{v}") for v in values])
+
+
+def running_totals_by_size(
+    df: DataFrame,
+    by: Sequence[str],
+    order: Sequence,
+    values: Sequence[str],
+    cells: Mapping[str, Column],
+    heavy_rows: int = HEAVY_ROWS,
+) -> DataFrame:
+    """Running totals where only groups of more than `heavy_rows` rows are cut into cells.
+
+    The groups are counted first. Usually none is heavy and one window does; otherwise the
+    heavy ones alone get cells, and their offsets stay a small table.
+    """
+    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_size"))
+    heavy = cut_lineage(sizes.filter(F.col("_size") > heavy_rows).select(*by, F.lit(True).alias("_heavy")))
+    if heavy.isEmpty():
+        return running_totals(df, by, order, values, [])
+    marked = attach(df, heavy, by, computed=True)
+    marked = marked.withColumns({name: F.when(F.col("_heavy"), cell) for name, cell in cells.items()}).drop("_heavy")
+    return running_totals(marked, by, order, values, list(cells)).drop(*cells)
 
 
 def integer_key(value, digits: int) -> Column:

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.core import stable
-from .ordered import running_totals
+from .ordered import HEAVY_ROWS, running_totals_by_size
 
 KEYS = ("location", "timestamp")
 
@@ -41,17 +41,20 @@ def hourly_vitals(wearable: DataFrame, keys=KEYS, distinct_users: bool = False)
     )
 
 
-def daily_running_steps(wearable: DataFrame, order, unit: str = "hour", name="cumulative_steps") -> DataFrame:
-    """Steps summed from midnight to each reading of one user."""
-    cells = {"_day": F.to_date("timestamp"), "_cell": F.date_trunc(unit, order[0])}
-    summed = running_totals(
-        wearable.withColumns(cells), ["user_id", "_day"], order, ["steps"], ["_cell"]
-    )
-    return summed.withColumnRenamed("running_steps", name).drop(*cells)
+def daily_running_steps(
+    wearable: DataFrame, order, name: str = "cumulative_steps", heavy_rows: int = HEAVY_ROWS
+) -> DataFrame:
+    """Steps summed from midnight to each reading of one user; busy days are cut by minute."""
+    days = wearable.withColumn("_day", F.to_date("timestamp"))
+    cells = {"_cell": F.date_trunc("minute", order[0])}
+    summed = running_totals_by_size(days, ["user_id", "_day"], order, ["steps"], cells, heavy_rows)
+    return summed.withColumnRenamed("running_steps", name).drop("_day")
 
 
-def lifetime_running_steps(wearable: DataFrame, order, unit: str = "hour", name="cumulative_steps") -> DataFrame:
-    """Steps summed over all readings of one user."""
-    cells = {"_cell": F.date_trunc(unit, order[0])}
-    summed = running_totals(wearable.withColumns(cells), ["user_id"], order, ["steps"], ["_cell"])
-    return summed.withColumnRenamed("running_steps", name).drop(*cells)
+def lifetime_running_steps(
+    wearable: DataFrame, order, name: str = "cumulative_steps", heavy_rows: int = HEAVY_ROWS
+) -> DataFrame:
+    """Steps summed over all readings of one user; busy users are cut by day and minute."""
+    cells = {"_day": F.to_date(order[0]), "_cell": F.date_trunc("minute", order[0])}
+    summed = running_totals_by_size(wearable, ["user_id"], order, ["steps"], cells, heavy_rows)
+    return summed.withColumnRenamed("running_steps", name)
