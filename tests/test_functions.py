@@ -80,7 +80,7 @@ def test_score_maximum(spark):
     assert row.select(risk.weighted_score()).first()[0] == pytest.approx(0.81)
 
 
-def reference_index(pm25, pm10):
+def plain_index(pm25, pm10):
     def line(x, table):
         for low, high, a, b in table[:-1]:
             if x <= high:
@@ -99,7 +99,7 @@ def test_aqi_against_plain_python(spark):
     pairs = [(float(a), float(b)) for a in fine for b in coarse]
     rows = spark.createDataFrame(pairs, "pm25 double, pm10 double").withColumn("aqi", environment.aqi()).collect()
     for r in rows:
-        assert r["aqi"] == pytest.approx(reference_index(r["pm25"], r["pm10"]), abs=1e-9)
+        assert r["aqi"] == pytest.approx(plain_index(r["pm25"], r["pm10"]), abs=1e-9)
 
 
 def test_aqi_with_missing_pollutants(spark):

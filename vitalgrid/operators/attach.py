@@ -31,6 +31,7 @@ def attach(
     values = values if computed else cut_lineage(values)
     if values.count() * (width or len(values.columns)) <= BROADCAST_VALUES:
         return rows.join(F.broadcast(values), list(on), how)
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int"))
+    # by chance, not by content: copies of one row must spread too
+    salted = rows.withColumn("_salt", F.floor(F.rand(0) * SALTS).cast("int"))
     repeated = values.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     return salted.join(repeated, [*on, "_salt"], how).drop("_salt")

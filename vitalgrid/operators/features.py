@@ -135,10 +135,10 @@ def stratified_split(
     """
     key = core.hash_key("location", "timestamp", F.lit(seed))
     cut = share_cut(rows, key, test_size, by, F.ceil).select(*by, "cut")
-    return attach(rows, cut, by).withColumn("is_test", key <= F.col("cut")).drop("cut")
+    marked = attach(rows, cut, by) if by else rows.withColumn("cut", cut.scalar())
+    return marked.withColumn("is_test", key <= F.col("cut")).drop("cut")
 
 
 def random_split(rows: DataFrame, test_size: float = 0.2, seed: int = 42) -> DataFrame:
-    """Unstratified split by hash of the row key: the share is met in expectation."""
-    share = F.pmod(core.hash_key("location", "timestamp", F.lit(seed)), F.lit(1_000_000)) / F.lit(1e6)
-    return rows.withColumn("is_test", share < F.lit(test_size))
+    """The same without strata: ceil(test_size * n) test rows of all."""
+    return stratified_split(rows, test_size, seed, by=())

@@ -366,7 +366,8 @@ def stratified_split(spark, folder):
 
 @query
 def random_split(spark, folder):
-    return features.random_split(stages.merged(spark, folder)).select(*KEYS, "is_test")
+    table = written(stages.merged(spark, folder).select(*KEYS), "keys")
+    return features.random_split(table).select(*KEYS, "is_test")
 
 
 # ---- metrics on a fixed scorer -------------------------------------------

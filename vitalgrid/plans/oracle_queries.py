@@ -213,8 +213,8 @@ QUERIES = {
     "stratified_split": sql('SELECT location, "timestamp", health_risk, is_test FROM split', "split"),
     "random_split": sql(
         """SELECT location, "timestamp",
-                  (cast('0x' || substr(md5(concat_ws('|', location, cast("timestamp" AS varchar), '42')), 1, 15) AS bigint)
-                   % 1000000) / 1e6 < 0.2e0 AS is_test
+                  row_number() OVER (ORDER BY md5(concat_ws('|', location, cast("timestamp" AS varchar), '42')))
+                      <= ceil(0.2e0 * count(*) OVER ()) AS is_test
            FROM merged""", "merged"),
     # ---- metrics on a fixed scorer
     "confusion_metrics": sql(
