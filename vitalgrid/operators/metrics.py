@@ -55,7 +55,7 @@ def roc_auc(scored: DataFrame, by: Sequence[str] = (), label="health_risk", scor
     """
     one = F.lit(1).cast("long")
     counts = key_counts(
-        scored.filter(F.col(label).isNotNull()),
+        scored.filter(F.col(label).isNotNull() & F.col(score).isNotNull()),
         integer_key(score, SCORE_DIGITS),
         by,
         UNIT_LEVELS,

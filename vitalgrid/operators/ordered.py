@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .attach import attach
+from .attach import BROADCAST_VALUES, attach
 
 # a window may sort this many rows of one group in one task; larger groups are cut
 HEAVY_ROWS = 1_000_000
@@ -92,36 +92,38 @@ def cell_names(levels: Sequence[int]) -> list[str]:
     return [f"_cell_{bits}" for bits in levels]
 
 
-def key_counts(
-    df: DataFrame,
-    key: Column,
-    by: Sequence[str] = (),
-    levels: Sequence[int] = (),
-    values: Mapping[str, Column] | None = None,
-) -> DataFrame:
-    """One row per group and distinct key: the pre-aggregation every ranking starts from.
+def keyed_rows(df: DataFrame, key: Column, levels: Sequence[int]) -> DataFrame:
+    """Rows with an integer `_key` and its cells; the caller leaves out rows without a key.
 
-    The cells of the key are grouping columns too, so that later passes share this exchange.
+    The key is declared non-NULL, or every join on it would compute it once more to filter.
     """
-    sums = [F.sum(v).alias(name) for name, v in (values or {}).items()] or [F.count(F.lit(1)).alias("_n")]
-    keyed = df.withColumn("_key", key)
-    keyed = keyed.withColumns({f"_cell_{bits}": F.shiftright("_key", bits) for bits in levels})
-    present = [F.col(c).isNotNull() for c in ["_key", *cell_names(levels)]]
-    return keyed.filter(reduce(and_, present)).groupBy(*by, *cell_names(levels), "_key").agg(*sums)
+    keyed = df.withColumn("_key", F.coalesce(key, F.lit(0).cast("long")))
+    return keyed.withColumns({f"_cell_{bits}": F.shiftright("_key", bits) for bits in levels})
+
+
+def key_counts(
+    df: DataFrame, key: Column, by: Sequence[str], levels: Sequence[int], values: Mapping[str, Column]
+) -> DataFrame:
+    """One row per group and distinct key with sums of `values`: what a full ranking needs."""
+    sums = [F.sum(v).alias(name) for name, v in values.items()]
+    return keyed_rows(df, key, levels).groupBy(*by, *cell_names(levels), "_key").agg(*sums)
 
 
 def keys_at_ranks(
-    counts: DataFrame, by: Sequence[str], ranks: Mapping[str, Column], levels: Sequence[int]
+    df: DataFrame, key: Column, by: Sequence[str], ranks: Mapping[str, Column], levels: Sequence[int]
 ) -> DataFrame:
-    """The keys found at given 0-based ranks in each group.
+    """The keys found at given 0-based ranks in each group, without sorting the rows.
 
-    `counts` comes from key_counts with the same `levels`; a rank may refer to the group
-    size `_total`. One row per group comes back: by, _total and one key per rank.
-    Each level keeps only the cells that hold a wanted rank, so little is ever sorted.
+    A rank may refer to the group size `_total`. One row per group comes back: by, _total and
+    one key per rank. Level by level, rows are counted per cell and only the cells that hold
+    a wanted rank are looked into. Counts combine map-side, so the rows themselves are never
+    shuffled; they are scanned once per level, so pass a table rather than a long plan.
     """
+    rows = keyed_rows(df, key, levels)
+    rows = rows.select(*by, *cell_names(levels), "_key")
     first, *finer = [*cell_names(levels), "_key"]
 
-    top = counts.groupBy(*by, first).agg(F.sum("_n").alias("_n"))
+    top = rows.groupBy(*by, first).agg(F.count(F.lit(1)).alias("_n"))
     ordered = Window.partitionBy(*by).orderBy(first)
     top = top.withColumn("_upto", F.sum("_n").over(ordered.rowsBetween(Window.unboundedPreceding, 0)))
     top = top.withColumn("_total", F.sum("_n").over(Window.partitionBy(*by)))
@@ -132,9 +134,8 @@ def keys_at_ranks(
 
     found = [*by, first]
     for step in finer:
-        totals = counts.select(*found, step, "_n")
-        if step != "_key":  # `counts` itself is already one row per key
-            totals = totals.groupBy(*found, step).agg(F.sum("_n").alias("_n"))
+        wanted = cut_lineage(wanted)
+        totals = _rows_in(rows, wanted, found).groupBy(*found, step).agg(F.count(F.lit(1)).alias("_n"))
         ordered = Window.partitionBy(*found, "_name").orderBy(step).rowsBetween(Window.unboundedPreceding, 0)
         reached = wanted.join(totals, found).withColumn("_upto", F.sum("_n").over(ordered))
         found = [*found, step]
@@ -146,6 +147,14 @@ def keys_at_ranks(
     )
 
 
+def _rows_in(rows: DataFrame, wanted: DataFrame, cells: Sequence[str]) -> DataFrame:
+    """Rows of the wanted cells: a filter by broadcast while those are few, else a join."""
+    chosen = wanted.select(*cells).distinct()
+    if wanted.count() * len(cells) <= BROADCAST_VALUES:
+        chosen = F.broadcast(chosen)
+    return rows.join(chosen, list(cells), "left_semi")
+
+
 def _inside(df: DataFrame) -> DataFrame:
     """Rows whose span (_upto - _n, _upto] holds the wanted rank, made relative to the span."""
     start = F.col("_upto") - F.col("_n")
@@ -166,13 +175,13 @@ def exact_quantiles(
 
     NULL values are left out. One row per group: by, n, and one column per name in `probs`.
     """
-    counts = key_counts(df, integer_key(value, digits), by, levels)
     position = {name: (F.col("_total") - 1) * F.lit(float(p)) for name, p in probs.items()}
     ranks = {}
     for name, pos in position.items():
         ranks[f"_{name}_low"] = F.floor(pos)
         ranks[f"_{name}_high"] = F.ceil(pos)
-    found = keys_at_ranks(counts, by, ranks, levels)
+    known = df.filter(F.col(value).isNotNull())
+    found = keys_at_ranks(known, integer_key(value, digits), by, ranks, levels)
     unit = F.lit(float(10**digits))
 
     def between(name):
@@ -188,7 +197,6 @@ def share_cut(df: DataFrame, key: Column, share: float, by: Sequence[str], round
     `rounding` is F.ceil or F.floor on share * n. Rows with one key stay on one side.
     """
     levels = (44,)  # md5 prefixes are uniform, so 2^16 cells split any group evenly
-    counts = key_counts(df, key, by, levels)
     wanted = F.greatest(rounding(F.col("_total") * F.lit(share)).cast("long"), F.lit(at_least).cast("long"))
-    found = keys_at_ranks(counts, by, {"cut": wanted - 1}, levels)
+    found = keys_at_ranks(df, key, by, {"cut": wanted - 1}, levels)
     return found.select(*by, F.col("_total").alias("n"), "cut")
