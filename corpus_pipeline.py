@@ -4,8 +4,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vitalgrid.llm import quality, signature_join
-from vitalgrid.session import written
+from vitalgrid.llm import decontaminate, mixing, quality, signature_join, token_blocks
+from vitalgrid.session import scratch_path, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -20,9 +20,27 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return signature_join.one_per_component(docs)
 
 
+def benchmark_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain no item of `benchmark`."""
+    return decontaminate.decontaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def target_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A sample whose expected tokens have tempered shares of sources, languages and topics."""
+    return mixing.mixed_documents(docs)
+
+
+def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token files in doc_id order, and what they hold: doc_id, start, n_tokens, ids_crc32."""
+    return token_blocks.token_digest(docs, scratch_path(spark, "tokens"))
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("quality_rules", quality_rules),
     ("near_duplicates", near_duplicates),
+    ("benchmark_items", benchmark_items),
+    ("target_weights", target_weights),
+    ("token_files", token_files),
 ]
 
 
@@ -34,4 +52,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows
 
 
+# SQL has no tokenizer: tests hold run() against a brute-force version
 ORACLE_SQL = None

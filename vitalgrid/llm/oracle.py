@@ -81,9 +81,63 @@ component AS (SELECT id AS doc_id, coalesce(any_value(sizes.n), 0)::BIGINT AS n_
     FROM reach LEFT JOIN sizes ON sizes.doc_id = id GROUP BY 1)"""
 
 
+def containment(docs: str) -> str:
+    """CTEs up to `leaks(doc_id, item_id, n_item_shingles, n_found)` over the relation `docs`."""
+    lowered = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+    def shingles(name, key):
+        return f"""(SELECT DISTINCT {key}, k, array_to_string(w[i:i+k-1], ' ') AS s
+        FROM (SELECT {key}, k, w, unnest(range(1, len(w) - k + 2)) AS i FROM {name}))"""
+
+    return rf"""
+bi AS (SELECT item_id, w, least(len(w), 5) AS k FROM (SELECT item_id, {_WORDS.format(lowered)} AS w FROM benchmark) WHERE len(w) > 0),
+bs AS {shingles('bi', 'item_id')},
+bn AS (SELECT item_id, count(*) AS n FROM bs GROUP BY 1),
+dw AS (SELECT doc_id, k, {_WORDS.format(lowered)} AS w FROM {docs}, (SELECT DISTINCT k FROM bi)),
+ds AS {shingles('dw', 'doc_id')},
+leaks AS (SELECT doc_id, item_id, any_value(n)::BIGINT AS n_item_shingles, count(*)::BIGINT AS n_found
+    FROM ds JOIN bs USING (k, s) JOIN bn USING (item_id) GROUP BY 1, 2 HAVING 100 * count(*) >= 80 * any_value(n))"""
+
+
+def mixture(docs: str, sweeps: int = 400) -> str:
+    """CTEs up to `mixed(doc_id, topic, tokens, probability, sampled)` over the relation `docs`."""
+    dimensions = ("source", "lang", "topic")
+    targets = ", ".join(
+        f"""raw_{d} AS (SELECT {d}, pow(sum(tokens) / (SELECT sum(tokens) FROM cell0), 0.8) AS x FROM cell0 GROUP BY 1),
+t_{d} AS (SELECT {d}, x / (SELECT sum(x) FROM raw_{d}) AS t_{d} FROM raw_{d})"""
+        for d in dimensions
+    )
+
+    def fitted(d, inner):
+        return f"SELECT * REPLACE (weight * t_{d} / sum(weight) OVER (PARTITION BY {d}) AS weight) FROM ({inner})"
+
+    step = "SELECT * FROM ipf WHERE sweep < {}".format(sweeps)
+    for d in dimensions:
+        step = fitted(d, step)
+    return rf"""
+md AS (SELECT doc_id, coalesce('=' || source, '') AS source, coalesce('=' || lang, '') AS lang,
+        CASE WHEN regexp_matches(text, '(?i)licen[sc]e|copyright|all rights reserved') THEN 'legal'
+            WHEN regexp_matches(text, '[A-Za-z0-9._-]+@[A-Za-z0-9-]+\.|\+?[0-9][0-9 ()-]{{8,}}[0-9]') THEN 'contact'
+            WHEN regexp_matches(text, '[0-9]') THEN 'figures' ELSE 'prose' END AS topic,
+        len({_WORDS.format('text')})::BIGINT AS tokens FROM {docs}),
+cell0 AS (SELECT source, lang, topic, sum(tokens)::DOUBLE AS tokens FROM md GROUP BY ALL HAVING sum(tokens) > 0),
+{targets},
+ipf AS (SELECT 0 AS sweep, source, lang, topic, tokens, tokens AS weight, t_source, t_lang, t_topic
+        FROM cell0 JOIN t_source USING (source) JOIN t_lang USING (lang) JOIN t_topic USING (topic)
+    UNION ALL SELECT sweep + 1, * EXCLUDE (sweep) FROM ({step})),
+fit AS (SELECT source, lang, topic, weight / tokens AS ratio FROM ipf WHERE sweep = {sweeps}),
+chance AS (SELECT source, lang, topic, ratio / max(ratio) OVER () AS p FROM fit),
+mixed AS (SELECT doc_id, topic, tokens, coalesce(p, 0) AS p,
+        ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT / pow(2, 52) < coalesce(p, 0) AS sampled
+    FROM md LEFT JOIN chance USING (source, lang, topic))"""
+
+
 SQL = {
     "op1_quality_rules": quality(
         "SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept FROM judged"
     ),
     "op3_jaccard_join": f"WITH RECURSIVE {jaccard('documents')} SELECT * FROM component",
+    "op5_mixture": f"""WITH RECURSIVE {mixture('documents')}
+SELECT doc_id, topic, tokens, round(p, 6) AS probability, true AS calibrated, sampled FROM mixed""",
+    "op10_decontamination": f"WITH {containment('documents')} SELECT * FROM leaks",
 }

@@ -2,7 +2,8 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality, signature_join
+from ..session import scratch_path
+from . import decontaminate, mixing, quality, signature_join, token_blocks
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -17,4 +18,19 @@ def op3_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return signature_join.jaccard_components(_table(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op3_jaccard_join)}
+def op4_token_blocks(spark: SparkSession, folder: str) -> DataFrame:
+    return token_blocks.token_digest(_table(spark, folder, "documents"), scratch_path(spark, "tokens"))
+
+
+def op5_mixture(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mixture(_table(spark, folder, "documents"))
+
+
+def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contaminated(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (op1_quality_rules, op3_jaccard_join, op4_token_blocks, op5_mixture, op10_decontamination)
+}
