@@ -1,5 +1,7 @@
 """SQL counterparts of the named queries, where SQL expresses them."""
 
+from .url_rules import PATTERN_RULES
+
 # words of a text, NULL and blank texts have none
 _WORDS = r"list_filter(regexp_split_to_array(coalesce({0}, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 
@@ -132,6 +134,38 @@ mixed AS (SELECT doc_id, topic, tokens, coalesce(p, 0) AS p,
     FROM md LEFT JOIN chance USING (source, lang, topic))"""
 
 
+def substring_dedup() -> str:
+    return f"""
+WITH d AS (SELECT doc_id, {_WORDS.format('text')} AS w FROM documents),
+win AS (SELECT doc_id, i, w[i:i+12] AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d)),
+firsts AS (SELECT s, min(doc_id) AS first FROM win GROUP BY 1),
+gone AS (SELECT DISTINCT doc_id, i + k AS i FROM win JOIN firsts USING (s), range(13) t(k) WHERE first < doc_id),
+word AS (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS i FROM d),
+kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY i) AS t, count(*) AS n FROM word ANTI JOIN gone USING (doc_id, i) GROUP BY 1)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)"""
+
+
+def url_filter() -> str:
+    rest = "coalesce(regexp_extract(url, '(?s)://(.*)$', 1), '')"
+    lowered = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+    fits = []
+    for host, path in (("example.net", "/en/"), ("example.com", "/de/"), ("org", "/fr/"), ("net", "/")):  # longest first
+        fits.append(f"WHEN ('.' || host) LIKE '%.{host}' AND starts_with(path, '{path}') THEN '{host}{path}'")
+    patterns = " ".join(
+        f"WHEN regexp_matches(host || path, '{r.pattern}') THEN '{r.name}'"
+        for r in sorted(PATTERN_RULES, key=lambda r: (len(r.name), r.name), reverse=True)
+    )
+    return f"""
+WITH p AS (SELECT page_id, translate(regexp_extract({rest}, '^[^/?#]*', 0), {lowered}) AS host,
+        regexp_extract({rest}, '^[^/?#]*([^?#]*)', 1) AS path FROM pages),
+r AS (SELECT *, CASE {' '.join(fits)} END AS rule, CASE {patterns} END AS pattern FROM p)
+SELECT page_id, host, path, rule, CASE WHEN rule IS NULL THEN pattern END AS pattern,
+    CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
+        WHEN pattern IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict
+FROM r"""
+
+
 SQL = {
     "op1_quality_rules": quality(
         "SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept FROM judged"
@@ -139,5 +173,7 @@ SQL = {
     "op3_jaccard_join": f"WITH RECURSIVE {jaccard('documents')} SELECT * FROM component",
     "op5_mixture": f"""WITH RECURSIVE {mixture('documents')}
 SELECT doc_id, topic, tokens, round(p, 6) AS probability, true AS calibrated, sampled FROM mixed""",
+    "op6_substring_dedup": substring_dedup(),
+    "op7_url_filter": url_filter(),
     "op10_decontamination": f"WITH {containment('documents')} SELECT * FROM leaks",
 }

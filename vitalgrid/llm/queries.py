@@ -1,9 +1,21 @@
 """The named queries of the subpackage; each reads its whole tables."""
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import decontaminate, mixing, quality, signature_join, token_blocks
+from . import (
+    decontaminate,
+    html_text,
+    lang_profiles,
+    mixing,
+    quality,
+    signature_join,
+    substring_dedup,
+    token_blocks,
+    token_counts,
+    url_rules,
+)
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -14,6 +26,10 @@ def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality_report(_table(spark, folder, "documents"))
 
 
+def op2_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.extracted(_table(spark, folder, "pages"))
+
+
 def op3_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return signature_join.jaccard_components(_table(spark, folder, "documents"))
 
@@ -26,11 +42,31 @@ def op5_mixture(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mixture(_table(spark, folder, "documents"))
 
 
+def op6_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = substring_dedup.without_repeats(_table(spark, folder, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+def op7_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return url_rules.judged_urls(_table(spark, folder, "pages"))
+
+
+def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.token_counts(_table(spark, folder, "documents"))
+
+
+def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return lang_profiles.identify(_table(spark, folder, "documents"))
+
+
 def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contaminated(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
 
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_quality_rules, op3_jaccard_join, op4_token_blocks, op5_mixture, op10_decontamination)
+    for f in (
+        op1_quality_rules, op2_html_text, op3_jaccard_join, op4_token_blocks, op5_mixture, op6_substring_dedup,
+        op7_url_filter, op8_token_counts, op9_language_id, op10_decontamination,
+    )
 }
