@@ -9,7 +9,7 @@ Every pair is found; nothing is sampled or capped.
    n - ceil(t n) + 1 shingles of each, so a block (the documents with a given shingle among
    those) holds both. Blocks with equal members are one block.
 3. **Clusters.** A document is compared exactly with the smallest document of the blocks that the two
-   share most often. The components of these links are the clusters.
+   share most often, if those are a quarter of its own. The components of these links are the clusters.
 4. **Signature trees.** A block that holds several clusters gets a tree for each size range. A leaf is one
    document with its shingles as a bitmap; a node above has the OR of its children's bitmaps, the
    range of their sizes and their largest number of shingles lost to shared bits. Nodes join
@@ -319,7 +319,7 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             own = n.bit_length()
             for band in (own, own + 1):
                 if n and (band == own or DENOMINATOR * n >= NUMERATOR * (1 << own)):
-                    width = min(max(8 << band, 64), MAX_BITS)
+                    width = min(max(2 << band, 64), MAX_BITS)
                     rows.append((ids[row], band, n, _bitmap(found, width)))
         columns = list(zip(*rows)) or [(), (), (), ()]
         kinds = (pa.int64(), pa.int32(), pa.int64(), pa.binary())
@@ -536,7 +536,10 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     found_blocks = written(blocks(only, shingles), "blocks")
     best = found_blocks.filter("doc <> leader").groupBy("doc", "leader").agg(F.sum("weight").alias("w"))
     best = best.groupBy("doc").agg(F.max(F.struct("w", (-F.col("leader")).alias("a"))).alias("top"))
-    stars = written(best.select((-F.col("top.a")).alias("a"), F.col("doc").alias("b")), "stars")
+    sizes = filled.groupBy(F.col("doc_id").alias("doc")).agg(F.max("n_shingles").alias("n"))
+    sized = attach(best, sizes.join(found_blocks.select("doc").distinct(), "doc"), ["doc"])
+    near = sized.filter(4 * DENOMINATOR * F.col("top.w") >= (DENOMINATOR - NUMERATOR) * F.col("n"))
+    stars = written(near.select((-F.col("top.a")).alias("a"), F.col("doc").alias("b")), "stars")
     links = written(compared(only, stars), "links")
     members = found_blocks.select("block", "doc").distinct()
     candidates = written(tree_candidates(only, _clusters(members, components(links))), "tree-pairs")
