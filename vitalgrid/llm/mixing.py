@@ -117,7 +117,7 @@ def _sampled(docs: DataFrame, targets: dict[str, DataFrame] | None) -> DataFrame
     fitted = written(raked(totals, targets or tempered(totals)), "fitted").select(*DIMENSIONS, "probability", "calibrated")
     joined = attach(rows, fitted, DIMENSIONS, computed=True)
     return joined.withColumns({
-        "probability": F.coalesce("probability", F.lit(0.0)),
+        "probability": F.coalesce(F.when(F.col("tokens") > 0, F.col("probability")), F.lit(0.0)),
         "calibrated": F.coalesce("calibrated", F.lit(False)),
     }).withColumn("sampled", uniform(F.col("_doc_id")) < F.col("probability"))
 

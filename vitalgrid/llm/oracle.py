@@ -128,10 +128,11 @@ ipf AS (SELECT 0 AS sweep, source, lang, topic, tokens, tokens AS weight, t_sour
         FROM cell0 JOIN t_source USING (source) JOIN t_lang USING (lang) JOIN t_topic USING (topic)
     UNION ALL SELECT sweep + 1, * EXCLUDE (sweep) FROM ({step})),
 fit AS (SELECT source, lang, topic, weight / tokens AS ratio FROM ipf WHERE sweep = {sweeps}),
-chance AS (SELECT source, lang, topic, ratio / max(ratio) OVER () AS p FROM fit),
-mixed AS (SELECT doc_id, topic, tokens, coalesce(p, 0) AS p,
-        ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT / pow(2, 52) < coalesce(p, 0) AS sampled
-    FROM md LEFT JOIN chance USING (source, lang, topic))"""
+chance AS (SELECT source, lang, topic, ratio / max(ratio) OVER () AS chance FROM fit),
+mixed AS (SELECT doc_id, topic, tokens, p,
+        ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT / pow(2, 52) < p AS sampled
+    FROM (SELECT md.*, CASE WHEN tokens > 0 THEN coalesce(chance, 0) ELSE 0 END AS p
+        FROM md LEFT JOIN chance USING (source, lang, topic)))"""
 
 
 def substring_dedup() -> str:
