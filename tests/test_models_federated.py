@@ -99,7 +99,7 @@ def test_salted_join_gives_the_same_fit_as_the_broadcast(rows, monkeypatch):
     design = federated.design_rows(marked, features.scaler_stats(marked, NAMES, ["location"]), NAMES)
 
     def fit():
-        return {r["location"]: r["theta"] for r in federated.fit_logistic(design, 4, steps=3).collect()}
+        return {r["location"]: r["theta"] for r in federated.fit_logistic(design, 4, steps=3, converge=False).collect()}
 
     small = fit()
     monkeypatch.setattr(attach, "BROADCAST_VALUES", 0)
@@ -156,3 +156,20 @@ def test_federated_trees(rows):
 def test_uniform_parameters(spark):
     sizes = spark.sql("SELECT 'A' location, 5 n")
     assert [r["value"] for r in federated.uniform_parameters(sizes, NAMES).collect()] == pytest.approx([1 / 3] * 3)
+
+
+def test_unlabeled_rows_are_left_out(spark, rows):
+    some = rows.withColumn("health_risk", F.when(F.hour("timestamp") > 0, F.col("health_risk")))
+    model = models.HealthModel("logistic_regression", {}, NAMES).fit(some)
+    assert model.evaluate(some).first()["n"] == some.filter("health_risk is not null").count()
+    found = federated.federated_logistic(some, NAMES, rounds=1).first()
+    assert found["num_clients"] == 3
+
+
+def test_a_fit_that_has_not_converged_says_so(rows):
+    split = federated.local_split(rows)
+    stats = federated.features.scaler_stats(split, NAMES, ["location"])
+    design = federated.design_rows(split, stats, NAMES)
+    with pytest.raises(RuntimeError, match="no convergence in 1 steps"):
+        federated.fit_logistic(design, 4, steps=1)
+    assert federated.fit_logistic(design, 4, steps=1, converge=False).count() == 3

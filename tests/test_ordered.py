@@ -1,5 +1,6 @@
 """Distributed order statistics against brute force, with a hot group."""
 
+import datetime as dt
 import random
 
 import numpy as np
@@ -8,7 +9,8 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from vitalgrid.operators.ordered import UNIT_LEVELS, WIDE_LEVELS, exact_quantiles, running_totals, share_cut
+from vitalgrid.operators import metrics, vitals
+from vitalgrid.operators.ordered import UNIT_LEVELS, WIDE_LEVELS, exact_quantiles, magnitude, running_totals, share_cut
 
 
 def hot_rows(n=3000):
@@ -100,3 +102,33 @@ def test_attach_keeps_every_row(spark, monkeypatch, limit):
     for i, v in got.items():
         assert v == (1 if i % 3 == 0 else {1: 2, 2: 3}.get(i % 7))
     assert attach.attach(rows, values, ["k"], "inner").count() == sum(v is not None for v in got.values())
+
+
+def test_quantiles_of_any_magnitude(spark):
+    rng = random.Random(9)
+    values = [rng.choice([-1, 1]) * 10.0 ** rng.uniform(-12, 12) for _ in range(500)] + [1e10, -1e10, 0.0, 1e300, 1e-10, 2e-10]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    got = exact_quantiles(df, "x", {f"p{i}": i / 7 for i in range(8)}).first()
+    for i in range(8):
+        assert got[f"p{i}"] == pytest.approx(np.quantile(values, i / 7), rel=1e-12)
+
+
+def test_magnitude_never_falls(spark):
+    values = sorted({s * m * 10.0**e for s in (-1, 1) for m in (1, 1.0000001, 3) for e in range(-20, 300, 7)} | {0.0})
+    df = spark.createDataFrame([(v,) for v in values], "x double").coalesce(1)
+    found = [r[0] for r in df.select(magnitude(F.col("x"))).collect()]
+    assert found == sorted(found)
+
+
+def test_area_of_close_scores(spark):
+    """Scores that differ far behind the ninth decimal, and scores beyond one, are told apart."""
+    df = spark.createDataFrame([(1e-10, 0), (2e-10, 1), (1e12, 1)], "score double, health_risk int")
+    assert metrics.roc_auc(df).first()["roc_auc"] == 1.0
+
+
+@pytest.mark.parametrize("heavy_rows", [0, 10**6])
+def test_running_steps_of_rows_without_a_time(spark, heavy_rows):
+    rows = [("u", None, 1, 7), ("u", dt.datetime(2024, 1, 1, 1), 2, 5), ("u", dt.datetime(2024, 1, 1, 2), 3, 2)]
+    df = spark.createDataFrame(rows, "user_id string, timestamp timestamp_ntz, event_id int, steps int")
+    found = vitals.lifetime_running_steps(df, ["timestamp", "event_id"], heavy_rows=heavy_rows)
+    assert {r["event_id"]: r["cumulative_steps"] for r in found.collect()} == {1: 7, 2: 12, 3: 14}

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from vitalgrid.operators import reports, rules, spine
+from vitalgrid.plans import stages
 
 T0 = dt.datetime(2024, 1, 10)
 HOUR = dt.timedelta(hours=1)
@@ -63,7 +64,7 @@ def test_trailing_day_includes_the_row_24_hours_back(spark):
 
 def test_alert_message_and_display(spark):
     got = rules.alert_display(rules.alerts(frame(spark, [row(aqi=160.4)]))).first()
-    assert got["message"] == "Poor air quality: AQI = 160"
+    assert got["message"] == "Air quality index at 160"
     assert (got["title"], got["time"]) == ("AIR_QUALITY", "2024-01-10 00:00")
 
 
@@ -157,3 +158,14 @@ def test_unknown_location_uses_default_base(spark):
 def test_user_key(spark):
     df = spark.sql("SELECT 'N' location, 7 user_id UNION ALL SELECT 'N', 1234")
     assert {r["user_key"] for r in spine.with_user_key(df).collect()} == {"N_user_007", "N_user_1234"}
+
+
+def test_latest_rows_are_found_without_a_sorted_aggregate(spark, smoke_dir):
+    for found in (reports.latest_status, rules.recommendations, rules.alerts):
+        plan = found(stages.labeled_once(spark, smoke_dir))._jdf.queryExecution().executedPlan().toString()
+        assert "SortAggregate" not in plan
+
+
+def test_recommendations_without_some_columns(spark):
+    df = spark.createDataFrame([("A", dt.datetime(2024, 1, 1), 160.0)], "location string, timestamp timestamp_ntz, aqi double")
+    assert [(r["rule"], r["priority"]) for r in rules.recommendations(df).collect()] == [(1, "high")]

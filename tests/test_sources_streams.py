@@ -127,8 +127,9 @@ def test_stream_drops_and_counts_late_rows(spark):
     def drain_again():
         stream = run.file_stream(spark, folder, spark.createDataFrame([], WEARABLE_SQL).schema)
         query = run.start(hourly.stream_vitals(stream), f"{folder}-out", f"{folder}-checkpoint")
-        query.awaitTermination()
-        return run.late_rows(query)
+        late = run.LateRows()
+        late.follow(query)
+        return late.total()
 
     arrive(reading(t0, 60), reading(t0, 80), reading(t0 + dt.timedelta(hours=10), 70))
     assert drain_again() == 0
@@ -147,3 +148,26 @@ def test_stream_equals_batch_on_closed_hours(spark, smoke_dir):
     end = wearable.agg(F.max("timestamp")).first()[0] - dt.timedelta(hours=3)
     batch = vitals.hourly_vitals(wearable).filter(F.col("timestamp") <= F.lit(end)).select(*streamed.columns)
     assert streamed.count() == batch.count() and streamed.exceptAll(batch).count() == 0
+
+
+def test_late_rows_are_counted_over_all_reports():
+    class Query:
+        recentProgress = []
+
+    late, query = run.LateRows(), Query()
+    for batch in range(300):
+        query.recentProgress = (query.recentProgress + [{"batchId": batch, "stateOperators": [{"numRowsDroppedByWatermark": 1}]}])[-100:]
+        if batch % 50 == 0:
+            late.read(query)
+    late.read(query)
+    assert late.total() == 300
+    late.by_batch.pop(150)
+    with pytest.raises(RuntimeError, match="dropped"):
+        late.total()
+
+
+def test_a_fourth_site_is_kept(spark, smoke_dir):
+    from vitalgrid.plans import catalog
+
+    sites = {r["location"] for r in catalog.QUERIES["all_nodes_merged"](spark, smoke_dir).select("location").distinct().collect()}
+    assert sites == {r["location"] for r in stages.merged(spark, smoke_dir).select("location").distinct().collect()}

@@ -9,8 +9,6 @@ from ..session import cut_lineage
 
 # up to this many values (8 MB of numbers) the small side is broadcast
 BROADCAST_VALUES = 1_000_000
-# beyond, every key is spread over this many join keys
-SALTS = 64
 
 
 def attach(
@@ -24,14 +22,12 @@ def attach(
     """Join `values` (one row per key) to `rows` without sending a hot key to one task.
 
     The values are computed once and counted. When few, they are broadcast and the rows do
-    not move. Otherwise the rows are salted and the values repeated per salt, so that a hot
-    key is joined by many tasks. `width` is the number of values in a row of `values`;
-    `computed` says that they are a checkpoint or files already.
+    not move. Otherwise both sides are shuffled, and adaptive execution splits the partition of
+    a hot key among many tasks and repeats its one row of values for each. No salt is drawn, so
+    a task that runs again sees the same rows. `width` is the number of values in a row of
+    `values`; `computed` says that they are a checkpoint or files already.
     """
     values = values if computed else cut_lineage(values)
     if values.count() * (width or len(values.columns)) <= BROADCAST_VALUES:
-        return rows.join(F.broadcast(values), list(on), how)
-    # by chance, not by content: copies of one row must spread too
-    salted = rows.withColumn("_salt", F.floor(F.rand(0) * SALTS).cast("int"))
-    repeated = values.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
+        values = F.broadcast(values)
+    return rows.join(values, list(on), how)

@@ -8,9 +8,8 @@ from pyspark.sql import functions as F
 
 from ..functions.core import no_nan, stable
 from ..schemas import SENSOR_RANGES
-from .ordered import WIDE_LEVELS, cell_names, exact_quantiles, integer_key, key_counts, running_totals
+from .ordered import WIDE_LEVELS, cell_names, exact_quantiles, key_counts, running_totals
 
-DIGITS = 9
 EPSILON = 1e-4
 # usual reading of the index: below 0.1 stable, from 0.25 shifted
 PSI_LEVELS = (0.1, 0.25)
@@ -38,7 +37,7 @@ def population_stability(reference: DataFrame, current: DataFrame, names: Sequen
     The edges are one row per feature, so their broadcast is bounded by the column list.
     """
     probs = {f"q{i}": i / bins for i in range(1, bins)}
-    edges = exact_quantiles(long_features(reference, names), "value", probs, ["feature"], DIGITS)
+    edges = exact_quantiles(long_features(reference, names), "value", probs, ["feature"])
     edges = edges.select("feature", F.array(*probs).alias("edges"))
     binned = both_windows(reference, current, names).join(F.broadcast(edges), "feature").select(
         "feature", "is_current", F.size(F.filter("edges", lambda e: F.col("value") > e)).alias("bin")
@@ -61,7 +60,7 @@ def kolmogorov_smirnov(reference: DataFrame, current: DataFrame, names: Sequence
     """Largest distance between the two empirical distributions, per feature."""
     one = F.lit(1).cast("long")
     counts = key_counts(
-        both_windows(reference, current, names), integer_key("value", DIGITS), ["feature"], WIDE_LEVELS,
+        both_windows(reference, current, names), F.col("value"), ["feature"], WIDE_LEVELS,
         {"ref": F.when(F.col("is_current") == 0, one).otherwise(0),
          "cur": F.when(F.col("is_current") == 1, one).otherwise(0)},
     )
@@ -95,7 +94,7 @@ def daily_profile(df: DataFrame, names: Sequence[str]) -> DataFrame:
         F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
         F.min("value").alias("min"), F.max("value").alias("max"),
     )
-    quartiles = exact_quantiles(rows, "value", {"p25": 0.25, "p50": 0.5, "p75": 0.75}, by, DIGITS)
+    quartiles = exact_quantiles(rows, "value", {"p25": 0.25, "p50": 0.5, "p75": 0.75}, by)
     return moments.join(quartiles, by)
 
 

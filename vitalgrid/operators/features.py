@@ -13,6 +13,7 @@ from ..session import cut_lineage
 from .attach import attach
 from .ordered import share_cut
 
+# a text column with more values is taken for something else than a category
 MAX_CATEGORIES = 10_000
 
 
@@ -24,14 +25,15 @@ def vocabulary(df: DataFrame, columns: Sequence[str] = tuple(CATEGORY_VOCABULARY
     ).distinct()
 
 
-def collect_vocabulary(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
+def collect_vocabulary(df: DataFrame, columns: Sequence[str], most: int = MAX_CATEGORIES) -> dict[str, list[str]]:
     """The vocabulary on the driver, where it names the indicator columns.
 
-    A column with more values than a feature vector can hold is an error, not a cut.
+    A column with more than `most` values is an error, not a cut.
     """
     words = cut_lineage(vocabulary(df, columns))
-    if words.count() > MAX_CATEGORIES:
-        raise ValueError(f"more than {MAX_CATEGORIES} categories in {list(columns)}: not a category column")
+    large = [r["feature"] for r in words.groupBy("feature").count().filter(F.col("count") > most).collect()]
+    if large:
+        raise ValueError(f"more than {most} categories in {large}: not a category column")
     found = {c: [] for c in columns}
     for feature, category in sorted(map(tuple, words.collect())):
         found[feature].append(category)
@@ -64,6 +66,7 @@ def prepare_features(
     missing: float | Mapping[str, float] = 0.0,
     exclude: Sequence[str] = NON_FEATURES,
     keep: Sequence[str] = ("location", "timestamp", "health_risk"),
+    max_categories: int = MAX_CATEGORIES,
 ) -> tuple[DataFrame, list[str]]:
     """Numeric feature columns, sorted by name, beside the key and label columns.
 
@@ -76,7 +79,7 @@ def prepare_features(
         f.name for f in df.schema if f.name not in exclude and isinstance(f.dataType, T.StringType)
     ]
     unmapped = [c for c in texts if c not in mapping]
-    learned = collect_vocabulary(df, unmapped) if unmapped else {}
+    learned = collect_vocabulary(df, unmapped, max_categories) if unmapped else {}
     encoded = one_hot(df, {c: mapping.get(c, learned.get(c)) for c in texts})
     names = sorted(feature_columns(encoded, exclude)) if names is None else list(names)
     rows = aligned(encoded, names, keep)
@@ -131,12 +134,13 @@ def stratified_split(
 ) -> DataFrame:
     """Mark ceil(test_size * n) rows of each stratum as test rows, chosen by hash of the row key.
 
-    The cut in hash order is found from counts, so no stratum is ever sorted in one task.
+    The cut in hash order is found from counts, so no stratum is ever sorted in one task. A row
+    without a stratum (a NULL label) is no test row.
     """
     key = core.hash_key("location", "timestamp", F.lit(seed))
     cut = share_cut(rows, key, test_size, by, F.ceil).select(*by, "cut")
     marked = attach(rows, cut, by) if by else rows.withColumn("cut", cut.scalar())
-    return marked.withColumn("is_test", key <= F.col("cut")).drop("cut")
+    return marked.withColumn("is_test", F.coalesce(key <= F.col("cut"), F.lit(False))).drop("cut")
 
 
 def random_split(rows: DataFrame, test_size: float = 0.2, seed: int = 42) -> DataFrame:

@@ -14,14 +14,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import core
-from ..session import cut_lineage, written
+from ..session import cut_lineage, scratch_path, written
 from . import features, metrics
 from .attach import attach
-from .models import DEFAULTS, HealthModel
+from .models import DEFAULTS, HealthModel, labeled_only
 from .ordered import share_cut
 
 METRICS = ("accuracy", "precision", "recall", "f1", "roc_auc")
 MIN_CLIENTS = 2
+# sites whose models are fitted or scored at a time
+PARALLEL_SITES = 3
+SCORED_ROWS = "location string, health_risk int, prediction int, score double, part string, site int"
 
 
 # ---- aggregates ----------------------------------------------------------
@@ -146,35 +149,50 @@ def _newton_step(dimension: int, penalty: float):
     return step
 
 
+def site_sums(located: DataFrame, dimension: int) -> DataFrame:
+    """Rows (location, idx, value): gradient, then the upper triangle of the curvature, at `theta` or zero."""
+    if "theta" not in located.columns:
+        located = located.withColumn("theta", F.array_repeat(F.lit(0.0), dimension))
+    sums = located.select("location", "x", "y", "theta").mapInPandas(
+        _partial_sums(dimension), "location string, idx int, value double"
+    )
+    return sums.groupBy("location", "idx").agg(F.sum("value").alias("value"))
+
+
 def fit_logistic(
     design: DataFrame,
     dimension: int,
     start: DataFrame | None = None,
-    steps: int = 25,
+    steps: int = 100,
     tolerance: float = 1e-8,
     penalty: float = 1.0,
+    converge: bool = True,
 ) -> DataFrame:
     """L2-penalised logistic regression of every location at once: rows (location, theta).
 
     Newton steps on the summed loss plus penalty/2 * |w|^2, intercept free. Rows stay where
     they are; per step only d(d+3)/2 sums per location and partition are shuffled, and the
     driver sees one number. Each step's parameters are checkpointed, so the plan stays short.
+    A fit that is still moving after `steps` is an error, unless `converge=False` asks for just
+    that many steps.
     """
     if start is None:
         zero = F.array_repeat(F.lit(0.0), dimension)
         start = design.select("location").distinct().withColumn("theta", zero)
     theta = cut_lineage(start.select("location", "theta"))
+    largest = 0.0
     for _ in range(steps):
         located = attach(design.select("location", "x", "y"), theta, ["location"], "inner", dimension, computed=True)
-        sums = located.mapInPandas(_partial_sums(dimension), "location string, idx int, value double")
-        sums = sums.groupBy("location", "idx").agg(F.sum("value").alias("value"))
-        moved = sums.join(theta, "location").groupBy("location").applyInPandas(
+        moved = site_sums(located, dimension).join(theta, "location").groupBy("location").applyInPandas(
             _newton_step(dimension, penalty), "location string, theta array<double>, step double"
         )
         moved = cut_lineage(moved)
         theta = moved.select("location", "theta")
-        if moved.agg(F.max("step")).first()[0] < tolerance:
-            break
+        largest = moved.agg(F.max("step")).first()[0] or 0.0
+        if largest < tolerance:
+            return theta
+    if converge:
+        raise RuntimeError(f"no convergence in {steps} steps: the last one moved a parameter by {largest:.3g}")
     return theta
 
 
@@ -225,6 +243,7 @@ def federated_logistic(
     """
     if scaler not in ("local", "global"):
         raise ValueError(f"scaler must be 'local' or 'global', not {scaler!r}")
+    rows = labeled_only(rows)
     split = local_split(rows.join(participants(rows, fraction), "location", "left_semi"))
     by = ["location"] if scaler == "local" else []
     train = split.filter(~F.col("is_test"))
@@ -250,7 +269,7 @@ def federated_logistic(
 
     start, parts = None, []
     for number in range(1, rounds + 1):
-        theta = fit_logistic(fit_rows, dimension, start, steps=local_steps)
+        theta = fit_logistic(fit_rows, dimension, start, steps=local_steps, converge=False)
         shared, evaluated, trained = one_round(theta)
         result = _with_fit(evaluated, trained).select(F.lit(number).alias("round"), "*")
         parts.append(cut_lineage(result))
@@ -279,7 +298,7 @@ def _with_fit(evaluated: DataFrame, trained: DataFrame) -> DataFrame:
 # ---- tree models per location --------------------------------------------
 
 
-def fit_trees(rows: DataFrame, names: Sequence[str], model_type: str, settings=None, parallel: int = 3):
+def fit_trees(rows: DataFrame, names: Sequence[str], model_type: str, settings=None, parallel: int = PARALLEL_SITES):
     """One distributed fit per location, a few at a time: {location: model}.
 
     Trees are grown per location and never averaged, so there is one model per client; the
@@ -325,7 +344,7 @@ def federated_trees(
     """
     if model_type not in DEFAULTS or model_type == "logistic_regression":
         raise ValueError(f"not a tree model: {model_type!r}")
-    split = written(local_split(rows), "split", ["location"])
+    split = written(local_split(labeled_only(rows)), "split", ["location"])
     train, test = split.filter(~F.col("is_test")), split.filter("is_test")
     stats = written(features.scaler_stats(train, names, ["location"]), "stats")
     models = fit_trees(train, names, model_type, settings)
@@ -333,14 +352,19 @@ def federated_trees(
     shared = {(r["param"], r["idx"]): r["value"] for r in average.collect()}
     scaling = {n: (shared["scaler_mean", i], shared["scaler_scale", i]) for i, n in enumerate(names)}
 
-    scored = fitted = None
-    for location, model in models.items():
+    # every site writes its folders of one table, so the plan does not grow with their number
+    path = scratch_path(rows.sparkSession, "scored-trees")
+
+    def score(number, location, model):
         here = F.col("location") == location
-        part = model.rescaled(scaling).predict(test.filter(here))
-        own = model.predict(train.filter(here))
-        scored = part if scored is None else scored.unionByName(part)
-        fitted = own if fitted is None else fitted.unionByName(own)
-    scored = written(scored.select("location", "health_risk", "prediction", "score"), "scored-trees")
+        for part, table, scorer in (("test", test, model.rescaled(scaling)), ("train", train, model)):
+            found = scorer.predict(table.filter(here)).select("location", "health_risk", "prediction", "score")
+            found.write.parquet(f"{path}/part={part}/site={number}")
+
+    with ThreadPoolExecutor(PARALLEL_SITES) as pool:
+        list(pool.map(score, range(len(models)), models.keys(), models.values()))
+    both = rows.sparkSession.read.schema(SCORED_ROWS).parquet(path)
+    scored, fitted = both.filter("part = 'test'"), both.filter("part = 'train'")
     evaluated = average_metrics(metrics.evaluate(scored, ["location"]))
     result = cut_lineage(_with_fit(evaluated, average_fit(metrics.confusion_metrics(fitted, ["location"]))))
     per_round = result.select(F.explode(F.sequence(F.lit(1), F.lit(rounds))).alias("round"), *result.columns)

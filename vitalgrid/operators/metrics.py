@@ -5,9 +5,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .ordered import UNIT_LEVELS, cell_names, integer_key, key_counts, running_totals
-
-SCORE_DIGITS = 9
+from .ordered import UNIT_LEVELS, cell_names, key_counts, running_totals
 
 
 def _ratio(part, whole):
@@ -50,13 +48,13 @@ def class_counts(scored: DataFrame, by: Sequence[str] = (), label="health_risk")
 def roc_auc(scored: DataFrame, by: Sequence[str] = (), label="health_risk", score="score") -> DataFrame:
     """Area under the ROC curve with tied scores at mid-rank; 0 when only one class is there.
 
-    Scores in [0, 1] are compared at nine decimals. Rows collapse to one per distinct score
-    first, and the negatives below each score come from running totals over cells.
+    Scores are compared as they are. Rows collapse to one per distinct score first, and the
+    negatives below each score come from running totals over cells.
     """
     one = F.lit(1).cast("long")
     counts = key_counts(
         scored.filter(F.col(label).isNotNull() & F.col(score).isNotNull()),
-        integer_key(score, SCORE_DIGITS),
+        F.col(score).cast("double"),
         by,
         UNIT_LEVELS,
         {"pos": F.when(F.col(label) == 1, one).otherwise(0), "neg": F.when(F.col(label) == 1, 0).otherwise(one)},

@@ -22,7 +22,8 @@ DEFAULTS = {
     "gradient_boosting": {"n_estimators": 100, "max_depth": 5, "learning_rate": 0.1, "random_state": 42},
     "logistic_regression": {"max_iter": 1000, "random_state": 42},
 }
-# the deepest tree the library grows; stands in for "no limit"
+# the library's limits: the deepest tree it grows stands in for "no limit", and a split is sought
+# among this many values of a feature; `max_bins` in the settings overrides the second
 DEEPEST = 30
 MAX_BINS = 256
 
@@ -33,12 +34,13 @@ def estimator(model_type: str, n_rows: int, settings: Mapping):
     if model_type == "random_forest":
         return RandomForestClassifier(
             numTrees=settings["n_estimators"], maxDepth=settings["max_depth"] or DEEPEST,
-            seed=settings["random_state"], featureSubsetStrategy="sqrt", maxBins=MAX_BINS, **base,
+            seed=settings["random_state"], featureSubsetStrategy="sqrt",
+            maxBins=settings.get("max_bins", MAX_BINS), **base,
         )
     if model_type == "gradient_boosting":
         return GBTClassifier(
             maxIter=settings["n_estimators"], maxDepth=settings["max_depth"], stepSize=settings["learning_rate"],
-            seed=settings["random_state"], maxBins=MAX_BINS, **base,
+            seed=settings["random_state"], maxBins=settings.get("max_bins", MAX_BINS), **base,
         )
     # the summed loss plus half the squared weights, per row
     return LogisticRegression(
@@ -64,6 +66,11 @@ def collect_stats(rows: DataFrame, names: Sequence[str]) -> tuple[int, dict[str,
     return row["n"], {n: (float(row[f"mean_{n}"]), float(row[f"scale_{n}"])) for n in names}
 
 
+def labeled_only(rows: DataFrame) -> DataFrame:
+    """Rows with a label: an hour without a score has none, and nothing can be learned from it."""
+    return rows.filter(F.col(LABEL).isNotNull())
+
+
 @dataclass
 class HealthModel:
     """A classifier with its feature names and scaling; every pass over rows is a Spark job."""
@@ -84,7 +91,8 @@ class HealthModel:
         return rows
 
     def fit(self, rows: DataFrame, stats: Mapping | None = None) -> "HealthModel":
-        """Fit on prepared rows. `stats` replaces the scaling learned from them."""
+        """Fit on the labeled ones of prepared rows. `stats` replaces the scaling learned from them."""
+        rows = labeled_only(rows)
         if self.names is None:
             self.names = features.feature_columns(rows)
         n, learned = collect_stats(rows, self.names)
@@ -121,7 +129,7 @@ class HealthModel:
         )
 
     def evaluate(self, rows: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-        return metrics.evaluate(self.predict(rows), by)
+        return metrics.evaluate(self.predict(labeled_only(rows)), by)
 
     def importances(self) -> DataFrame:
         """Rows (idx, feature, value): tree importances, or weights of the linear model."""
@@ -157,10 +165,13 @@ def train_and_score(
 
 def central_train(labeled: DataFrame, path: str, test_size: float = 0.2, seed: int = 42) -> DataFrame:
     """The centralized trainer: unstratified split, a forest of 150 trees without depth limit,
-    saved to `path`; returns its accuracy. Categories are encoded like everywhere else."""
+    saved to `path`; returns the number of its test rows, its accuracy, and how many rows were left
+    out for want of a label. Categories are encoded like everywhere else."""
     model = HealthModel("random_forest", {"n_estimators": 150, "max_depth": None, "random_state": seed})
-    rows = features.random_split(model.prepare(labeled), test_size, seed)
+    prepared = model.prepare(labeled)
+    rows = features.random_split(labeled_only(prepared), test_size, seed)
     model.fit(rows.filter(~F.col("is_test")))
     model.save(path)
     scored = model.predict(rows.filter("is_test"))
-    return metrics.confusion_metrics(scored).select("n", "accuracy")
+    unlabeled = prepared.filter(F.col(LABEL).isNull()).agg(F.count(F.lit(1))).scalar()
+    return metrics.confusion_metrics(scored).select("n", "accuracy", unlabeled.alias("left_out"))

@@ -13,16 +13,16 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, written
 from .attach import BROADCAST_VALUES, attach
 
 # a window may sort this many rows of one group in one task; larger groups are cut
 HEAVY_ROWS = 1_000_000
-# Levels for 64-bit integer keys: no window sees more than 2^20 cells or keys below the
-# top level, whatever the distribution of the data.
-WIDE_LEVELS = (40, 20)
-# Levels for keys below 2^31, such as a score in [0, 1] with nine decimals.
-UNIT_LEVELS = (15,)
+# Levels of cells for any numbers: `magnitude` without its last ten bits, then all of it. A top
+# cell is a thousandth of an octave, so the top window sees few thousand of them.
+WIDE_LEVELS = (10, 0)
+# One level for numbers of few octaves, such as a score in [0, 1].
+UNIT_LEVELS = (6,)
 
 
 def running_totals(
@@ -71,21 +71,28 @@ def running_totals_by_size(
     """Running totals where only groups of more than `heavy_rows` rows are cut into cells.
 
     The groups are counted first. Usually none is heavy and one window does; otherwise the
-    heavy ones alone get cells, and their offsets stay a small table.
+    heavy ones alone get cells, and their offsets stay a small table. A row without a time has
+    the first cell of its group, as it comes first in the order: both ways give the same sums.
     """
     sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_size"))
     heavy = cut_lineage(sizes.filter(F.col("_size") > heavy_rows).select(*by, F.lit(True).alias("_heavy")))
     if heavy.isEmpty():
         return running_totals(df, by, order, values, [])
     marked = attach(df, heavy, by, computed=True)
-    marked = marked.withColumns({name: F.when(F.col("_heavy"), cell) for name, cell in cells.items()}).drop("_heavy")
+    kinds = {f.name: f.dataType for f in df.select(*[c.alias(n) for n, c in cells.items()]).schema}
+    placed = {n: F.coalesce(c, F.lit("0001-01-01").cast(kinds[n])) for n, c in cells.items()}
+    marked = marked.withColumns({n: F.when(F.col("_heavy"), c) for n, c in placed.items()}).drop("_heavy")
     return running_totals(marked, by, order, values, list(cells)).drop(*cells)
 
 
-def integer_key(value, digits: int) -> Column:
-    """Order-preserving integer of a number at a fixed number of decimals."""
-    value = F.col(value) if isinstance(value, str) else value
-    return F.round(value.cast("double") * F.lit(float(10**digits))).cast("long")
+def magnitude(value: Column) -> Column:
+    """A whole number that never falls as a number grows: its sign and scaled logarithm.
+
+    It only deals numbers to cells, in which they are compared as they are, so nothing is rounded
+    and nothing overflows.
+    """
+    octaves = F.least(F.log2(F.lit(1.0) + F.abs(value) * F.lit(2.0**60)), F.lit(2048.0))
+    return (F.signum(value) * F.floor(octaves * F.lit(2.0**20))).cast("long")
 
 
 def cell_names(levels: Sequence[int]) -> list[str]:
@@ -93,20 +100,22 @@ def cell_names(levels: Sequence[int]) -> list[str]:
 
 
 def keyed_rows(df: DataFrame, key: Column, levels: Sequence[int]) -> DataFrame:
-    """Rows with an integer `_key` and its cells; the caller leaves out rows without a key.
+    """Rows with `_key`, a number or an integer hash, and its cells; the caller leaves out rows without a key.
 
     The key is declared non-NULL, or every join on it would compute it once more to filter.
     """
-    keyed = df.withColumn("_key", F.coalesce(key, F.lit(0).cast("long")))
-    return keyed.withColumns({f"_cell_{bits}": F.shiftright("_key", bits) for bits in levels})
+    keyed = df.withColumn("_key", F.coalesce(key, F.lit(0)))
+    whole = keyed.schema["_key"].dataType.typeName() == "long"
+    ordinal = F.col("_key") if whole else magnitude(F.col("_key"))
+    return keyed.withColumns({f"_cell_{bits}": F.shiftright(ordinal, bits) for bits in levels})
 
 
 def key_counts(
     df: DataFrame, key: Column, by: Sequence[str], levels: Sequence[int], values: Mapping[str, Column]
 ) -> DataFrame:
-    """One row per group and distinct key with sums of `values`: what a full ranking needs."""
+    """One row per group and distinct key with sums of `values`: what a full ranking needs, written once."""
     sums = [F.sum(v).alias(name) for name, v in values.items()]
-    return keyed_rows(df, key, levels).groupBy(*by, *cell_names(levels), "_key").agg(*sums)
+    return written(keyed_rows(df, key, levels).groupBy(*by, *cell_names(levels), "_key").agg(*sums), "key-counts")
 
 
 def keys_at_ranks(
@@ -114,6 +123,8 @@ def keys_at_ranks(
 ) -> DataFrame:
     """The keys found at given 0-based ranks in each group, without sorting the rows.
 
+    Keys are doubles, or longs when spread like a hash.
+
     A rank may refer to the group size `_total`. One row per group comes back: by, _total and
     one key per rank. Level by level, rows are counted per cell and only the cells that hold
     a wanted rank are looked into. Counts combine map-side, so the rows themselves are never
@@ -168,10 +179,9 @@ def exact_quantiles(
     value: str,
     probs: Mapping[str, float],
     by: Sequence[str] = (),
-    digits: int = 9,
     levels: Sequence[int] = WIDE_LEVELS,
 ) -> DataFrame:
-    """Linearly interpolated quantiles of a number at `digits` decimals, exact at any size.
+    """Linearly interpolated quantiles of a number, exact at any size.
 
     NULL values are left out. One row per group: by, n, and one column per name in `probs`.
     """
@@ -181,11 +191,10 @@ def exact_quantiles(
         ranks[f"_{name}_low"] = F.floor(pos)
         ranks[f"_{name}_high"] = F.ceil(pos)
     known = df.filter(F.col(value).isNotNull())
-    found = keys_at_ranks(known, integer_key(value, digits), by, ranks, levels)
-    unit = F.lit(float(10**digits))
+    found = keys_at_ranks(known, F.col(value).cast("double"), by, ranks, levels)
 
     def between(name):
-        low, high = F.col(f"_{name}_low") / unit, F.col(f"_{name}_high") / unit
+        low, high = F.col(f"_{name}_low"), F.col(f"_{name}_high")
         return low + (high - low) * (position[name] - F.floor(position[name]))
 
     return found.select(*by, F.col("_total").alias("n"), *[between(name).alias(name) for name in probs])

@@ -3,7 +3,7 @@
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import core, environment, risk
@@ -162,10 +162,14 @@ def missing_locations(df: DataFrame, expected: DataFrame) -> DataFrame:
 
 
 def latest_rows(labeled: DataFrame, by: Sequence[str] = ("location",)) -> DataFrame:
-    """The newest row of each group, by partial aggregation instead of a sorted window."""
-    row = F.struct(*labeled.columns)
-    newest = labeled.groupBy(*by).agg(F.max_by(row, F.struct("timestamp", "location")).alias("_row"))
-    return newest.select("_row.*")
+    """The newest row of each group; of several with that time the last by location, then by a hash.
+
+    The newest time combines map-side, and only the rows that have it are sorted.
+    """
+    newest = labeled.filter(F.col("timestamp").isNotNull()).groupBy(*by).agg(F.max("timestamp").alias("_newest"))
+    rows = attach(labeled, newest, by, how="inner").filter(F.col("timestamp") == F.col("_newest"))
+    order = Window.partitionBy(*by).orderBy(F.desc("location"), F.xxhash64(*labeled.columns))
+    return rows.withColumn("_place", F.row_number().over(order)).filter("_place = 1").select(*labeled.columns)
 
 
 def latest_status(labeled: DataFrame) -> DataFrame:

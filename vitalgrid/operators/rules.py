@@ -28,23 +28,28 @@ def _grade(value, cut):
     return F.when(value > cut, "high").otherwise("medium")
 
 
+def _whole(value):
+    """A number's whole part as text, which every engine prints alike."""
+    return F.floor(value).cast("string")
+
+
 def _environment_alerts(df: DataFrame) -> list:
     """The rules on one row; a column the table lacks has no rule."""
     rules = []
     if "aqi" in df.columns:
         aqi = F.col("aqi")
         rules.append(_rule(2, aqi > 150, aqi, type="air_quality", severity=_grade(aqi, 200),
-                           message=F.format_string("Poor air quality: AQI = %.0f", aqi)))
+                           message=F.concat(F.lit("Air quality index at "), _whole(aqi))))
     if "pm25" in df.columns:
         pm25 = F.col("pm25")
         rules.append(_rule(3, pm25 > 50, pm25, type="pm25", severity=_grade(pm25, 75),
-                           message=F.format_string("High PM2.5: %.1f μg/m³", pm25)))
+                           message=F.concat(F.lit("Fine particles at "), _whole(pm25))))
     if "temperature" in df.columns:
         t = F.col("temperature")
         rules.append(_rule(4, t > 35, t, type="temperature", severity="medium",
-                           message=F.format_string("High temperature: %.1f°C", t)))
+                           message=F.concat(F.lit("Heat: "), _whole(t), F.lit(" degrees"))))
         rules.append(_rule(5, t < 5, t, type="temperature", severity="medium",
-                           message=F.format_string("Low temperature: %.1f°C", t)))
+                           message=F.concat(F.lit("Cold: "), _whole(t), F.lit(" degrees"))))
     return rules
 
 
@@ -58,9 +63,7 @@ def alerts(labeled: DataFrame, threshold_high_risk: float = HIGH_RISK_RATE) -> D
     latest = latest_rows(labeled)
     rated = latest.join(recent_risk_rate(labeled), "location", "left")
     rate = F.col("recent_risk_rate")
-    message = F.format_string(
-        "High health risk detected: %.1f%% of recent cases show elevated risk", rate * 100
-    )
+    message = F.concat(F.lit("High-risk hours of the last day: "), _whole(rate * 100), F.lit(" percent"))
     high_risk = _rule(1, rate > threshold_high_risk, rate, type="high_risk", severity=_grade(rate, 0.5),
                       message=message)
     return _fire(rated, [high_risk, *_environment_alerts(labeled)], ["location", "timestamp"])
@@ -81,22 +84,24 @@ def alert_display(alert_rows: DataFrame) -> DataFrame:
 
 
 def recommendations(labeled: DataFrame) -> DataFrame:
-    """Advice per location from its latest row."""
+    """Advice per location from its latest row; a column the table lacks gives none."""
     aqi, pm25, t, risk = F.col("aqi"), F.col("pm25"), F.col("temperature"), F.col("health_risk")
+
+    def advice(order, column, condition, priority, title, *message):
+        value = F.col(column)
+        return column, _rule(order, condition, value, priority=priority, title=title, message=F.concat(*message))
+
     rules = [
-        _rule(1, aqi > 100, aqi, priority=_grade(aqi, 150), title="Air Quality Alert", icon="🌬️",
-              message=F.format_string(
-                  "AQI is %.0f. Consider staying indoors or wearing a mask if going outside.", aqi)),
-        _rule(2, pm25 > 50, pm25, priority=_grade(pm25, 75), title="High PM2.5", icon="😷",
-              message=F.format_string(
-                  "PM2.5 levels are elevated (%.1f μg/m³). Reduce outdoor activities.", pm25)),
-        _rule(3, t > 35, t, priority="medium", title="High Temperature", icon="☀️",
-              message=F.format_string(
-                  "Temperature is %.1f°C. Stay hydrated and avoid prolonged sun exposure.", t)),
-        _rule(4, t < 5, t, priority="medium", title="Low Temperature", icon="❄️",
-              message=F.format_string(
-                  "Temperature is %.1f°C. Dress warmly and avoid prolonged outdoor exposure.", t)),
-        _rule(5, risk > 0.4, risk, priority=_grade(risk, 0.7), title="Elevated Health Risk", icon="🏥",
-              message="Health risk indicators are elevated in your area. Monitor your health closely."),
+        advice(1, "aqi", aqi > 100, _grade(aqi, 150), "Air Quality Alert",
+               F.lit("The air quality index is "), _whole(aqi), F.lit(": stay inside or wear a mask.")),
+        advice(2, "pm25", pm25 > 50, _grade(pm25, 75), "High PM2.5",
+               F.lit("Fine particles are at "), _whole(pm25), F.lit(": avoid effort outside.")),
+        advice(3, "temperature", t > 35, F.lit("medium"), "High Temperature",
+               F.lit("It has "), _whole(t), F.lit(" degrees: drink water and seek shade.")),
+        advice(4, "temperature", t < 5, F.lit("medium"), "Low Temperature",
+               F.lit("It has "), _whole(t), F.lit(" degrees: keep warm.")),
+        advice(5, "health_risk", risk > 0.4, _grade(risk, 0.7), "Elevated Health Risk",
+               F.lit("Signs of raised health risk here: watch how you feel.")),
     ]
-    return _fire(latest_rows(labeled), rules, ["location", "timestamp"])
+    present = [rule for column, rule in rules if column in labeled.columns]
+    return _fire(latest_rows(labeled), present, ["location", "timestamp"])

@@ -44,9 +44,9 @@ def hourly_vitals(wearable: DataFrame, keys=KEYS, distinct_users: bool = False)
 def daily_running_steps(
     wearable: DataFrame, order, name: str = "cumulative_steps", heavy_rows: int = HEAVY_ROWS
 ) -> DataFrame:
-    """Steps summed from midnight to each reading of one user; busy days are cut by minute."""
+    """Steps summed from midnight to each reading of one user; busy days are cut by minute and second."""
     days = wearable.withColumn("_day", F.to_date("timestamp"))
-    cells = {"_cell": F.date_trunc("minute", order[0])}
+    cells = {"_cell": F.date_trunc("minute", order[0]), "_second": F.date_trunc("second", order[0])}
     summed = running_totals_by_size(days, ["user_id", "_day"], order, ["steps"], cells, heavy_rows)
     return summed.withColumnRenamed("running_steps", name).drop("_day")
 
@@ -54,7 +54,9 @@ def daily_running_steps(
 def lifetime_running_steps(
     wearable: DataFrame, order, name: str = "cumulative_steps", heavy_rows: int = HEAVY_ROWS
 ) -> DataFrame:
-    """Steps summed over all readings of one user; busy users are cut by day and minute."""
-    cells = {"_day": F.to_date(order[0]), "_cell": F.date_trunc("minute", order[0])}
+    """Steps summed over all readings of one user; busy users are cut by day, minute and second."""
+    cells = {
+        "_day": F.to_date(order[0]), "_cell": F.date_trunc("minute", order[0]), "_second": F.date_trunc("second", order[0])
+    }
     summed = running_totals_by_size(wearable, ["user_id"], order, ["steps"], cells, heavy_rows)
     return summed.withColumnRenamed("running_steps", name)

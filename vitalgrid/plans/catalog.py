@@ -1,5 +1,7 @@
 """The named queries: each takes (spark, folder of Parquet tables) and returns a DataFrame."""
 
+import time
+
 from pyspark.sql import functions as F
 
 from ..operators import drift, features, federated, labels, merge, metrics, models, reports, rules, spine, vitals
@@ -71,11 +73,8 @@ def merged_features(spark, folder):
 
 @query
 def all_nodes_merged(spark, folder):
-    table = written(stages.merged(spark, folder, cumulative=True), "merged")
-    parts = [
-        merge.with_location(table.filter(F.col("location") == n), n) for n in DEFAULT_NODES
-    ]
-    return merge.union_sites(parts).orderBy("timestamp", "location")
+    """The merged table of every site that there is, in time order."""
+    return stages.merged(spark, folder, cumulative=True).orderBy("timestamp", "location")
 
 
 @query
@@ -104,6 +103,24 @@ def csv_sources(spark, folder):
     )
 
 
+@query
+def csv_to_labels(spark, folder):
+    """All three sources of every site as CSV, one site in the second wearable layout, read back and labeled."""
+    raw, out = scratch_path(spark, "raw"), scratch_path(spark, "processed")
+    s = stages.sources(spark, folder, cumulative=True)
+    writers.write_sources_csv(s, raw, alternative=["hospital_C"])
+    found = readers.read_source_folders(spark, raw)
+    merged = merge.merge_sources(found.wearable, found.air, found.weather)
+    writers.write_by_location(merged, f"{out}/merged")
+    stored = readers.read_labeled(spark, f"{out}/merged", merged.schema)
+    labeled = labels.binary_labels(labels.with_risk_score(stored))
+    writers.write_by_location(labeled, writers.labeled_path(out, "binary"))
+    node = readers.read_labeled(spark, writers.labeled_path(out, "binary"), labeled.schema)
+    # no combined table was written: the load path falls back to the tables of the sites
+    table = readers.combined_or_parts(None, [node], labeled.schema, spark)
+    return merge.drop_matching(table, "category").select(*KEYS, "risk_score", "health_risk", "aqi", "temperature", "heart_rate_mean")
+
+
 @query
 def merged_table(spark, folder):
     """Write the merged table by location and read one location back by partition filter."""
@@ -271,24 +288,24 @@ def recent_risk_rate(spark, folder):
 @query
 def alerts(spark, folder):
     shown = rules.alert_display(rules.alerts(stages.labeled_once(spark, folder)))
-    return rounded(shown, 9, "value").drop("message")
+    return rounded(shown, 9, "value")
 
 
 @query
 def region_alerts(spark, folder):
     found = rules.region_alerts(stages.labeled_once(spark, folder), REGIONS)
-    return rounded(found, 9, "value").drop("message")
+    return rounded(found, 9, "value")
 
 
 @query
 def citizen_alerts(spark, folder):
     found = rules.alerts(stages.labeled_once(spark, folder))
-    return rounded(rules.alerts_for(found, "hospital_B"), 9, "value").drop("message")
+    return rounded(rules.alerts_for(found, "hospital_B"), 9, "value")
 
 
 @query
 def recommendations(spark, folder):
-    return rules.recommendations(stages.labeled(spark, folder)).drop("message", "icon")
+    return rules.recommendations(stages.labeled(spark, folder))
 
 
 @query
@@ -399,8 +416,9 @@ def roc_auc(spark, folder):
 
 @query
 def fedavg_scaler(spark, folder):
+    """The sites' scalers, learned on their training rows, averaged by the number of those."""
     rows, names = stages.model_rows(spark, folder)
-    stats = features.scaler_stats(rows, names, ["location"])
+    stats = features.scaler_stats(federated.local_split(rows).filter(~F.col("is_test")), names, ["location"])
     return rounded(federated.average_parameters(federated.scaler_parameters(stats, names)), 6)
 
 
@@ -411,6 +429,16 @@ def federated_metrics(spark, folder):
 
 
 # ---- models --------------------------------------------------------------
+# Fits end in floats that no SQL repeats, so these queries return what can be stated exactly: the
+# rows that took part, and whether each measure reaches its floor.
+
+FLOORS = {"accuracy": 0.7, "precision": 0.5, "recall": 0.5, "f1": 0.5, "roc_auc": 0.85}
+
+
+def _floors(df, *keep):
+    """The kept columns, and for each metric whether it reaches its floor."""
+    reached = [(F.col(m) >= floor).alias(f"{m}_reached") for m, floor in FLOORS.items()]
+    return df.select(*keep, *reached)
 
 
 def _split_rows(spark, folder):
@@ -418,55 +446,126 @@ def _split_rows(spark, folder):
     return written(features.stratified_split(rows), "split"), names
 
 
+def _trained(spark, folder, kind):
+    rows, names = _split_rows(spark, folder)
+    return _floors(models.train_and_score(rows, names, kind, ["location"]), "location", "model_type", "n")
+
+
 @query
 def train_logistic(spark, folder):
-    rows, names = _split_rows(spark, folder)
-    return models.train_and_score(rows, names, "logistic_regression", ["location"])
+    return _trained(spark, folder, "logistic_regression")
 
 
 @query
 def train_forest(spark, folder):
-    rows, names = _split_rows(spark, folder)
-    return models.train_and_score(rows, names, "random_forest", ["location"])
+    return _trained(spark, folder, "random_forest")
 
 
 @query
 def train_gbt(spark, folder):
-    rows, names = _split_rows(spark, folder)
-    return models.train_and_score(rows, names, "gradient_boosting", ["location"])
+    return _trained(spark, folder, "gradient_boosting")
 
 
 @query
 def central_train(spark, folder):
+    """The centralized trainer on a table of which some hours have no label."""
     table = stages.labeled_once(spark, folder, "global", cumulative=True).drop("risk_score")
-    return models.central_train(table, scratch_path(spark, "central-model"))
+    known = F.when(F.hour("timestamp") != 0, F.col("health_risk"))
+    found = models.central_train(table.withColumn("health_risk", known), scratch_path(spark, "central-model"))
+    return found.select("n", "left_out", (F.col("accuracy") >= FLOORS["accuracy"]).alias("accuracy_reached"))
+
+
+@query
+def saved_model(spark, folder):
+    """A model that was saved and loaded scores every row as before."""
+    rows, names = _split_rows(spark, folder)
+    path = scratch_path(spark, "forest")
+    model = models.HealthModel("random_forest", {"n_estimators": 10}, list(names)).fit(rows.filter(~F.col("is_test")))
+    model.save(path)
+    loaded = models.HealthModel.load(path, "random_forest")
+    test = rows.filter("is_test")
+    before, after = (m.predict(test).select(*KEYS, "prediction", "score") for m in (model, loaded))
+    after = after.select(*KEYS, F.col("prediction").alias("p"), F.col("score").alias("s"))
+    same = (F.col("prediction") == F.col("p")) & (F.col("score") == F.col("s"))
+    return before.join(after, KEYS).groupBy("location").agg(F.count(F.lit(1)).alias("n"), F.bool_and(same).alias("same"))
 
 
 @query
 def feature_importance(spark, folder):
+    """Every feature with its place; importances are not negative and sum to one."""
     rows, names = stages.model_rows(spark, folder)
-    return models.HealthModel("random_forest", {}, names).fit(rows).importances()
+    found = models.HealthModel("random_forest", {}, names).fit(rows).importances()
+    total = written(found, "importances").agg(F.round(F.sum("value"), 9)).scalar()
+    return found.select("idx", "feature", ((F.col("value") >= 0) & (total == 1)).alias("valid"))
+
+
+@query
+def federated_gradient(spark, folder):
+    """What each site would send in the first step: sums of gradient and curvature at zero parameters.
+
+    Shown are the gradient and the first term of the curvature, a quarter of the site's rows.
+    """
+    rows, names = stages.model_rows(spark, folder)
+    train = federated.local_split(rows).filter(~F.col("is_test"))
+    design = federated.design_rows(train, features.scaler_stats(train, names, ["location"]), names)
+    sums = federated.site_sums(design, len(names) + 1)
+    shown = sums.filter(F.col("idx") <= len(names) + 1)
+    return rounded(shown.select("location", "idx", (F.col("value") + 0.0).alias("value")), 6)
+
+
+def _rounds(df):
+    return _floors(df, "round", "total_samples", "num_clients", (F.col("train_accuracy") >= FLOORS["accuracy"]).alias("train_reached"))
 
 
 @query
 def federated_logistic(spark, folder):
-    return federated.federated_logistic(*stages.model_rows(spark, folder))
+    found = written(federated.federated_logistic(*stages.model_rows(spark, folder)), "rounds")
+    writers.append_metrics(found, scratch_path(spark, "round-metrics"), "federated_logistic")
+    return _rounds(found)
+
+
+@query
+def round_metrics_log(spark, folder):
+    """The metrics of two runs, appended to one table and read back."""
+    path = scratch_path(spark, "round-metrics")
+    rows, names = stages.model_rows(spark, folder)
+    for run_name, rounds in (("short", 2), ("long", 4)):
+        writers.append_metrics(federated.federated_logistic(rows, names, rounds=rounds), path, run_name)
+    logged = spark.read.parquet(path)
+    return logged.groupBy("run").agg(F.count(F.lit(1)).alias("rounds"), F.max("total_samples").alias("total_samples"))
 
 
 @query
 def federated_logistic_warm(spark, folder):
+    """Federated averaging proper: ten rounds, each from the last average, with one scaling for all."""
     rows, names = stages.model_rows(spark, folder)
-    return federated.federated_logistic(rows, names, rounds=5, warm_start=True, scaler="global")
+    found = written(federated.federated_logistic(rows, names, rounds=10, warm_start=True, scaler="global"), "rounds")
+    return _rounds(found)
 
 
 @query
 def federated_forest(spark, folder):
-    return federated.federated_trees(*stages.model_rows(spark, folder))[0]
+    return _rounds(federated.federated_trees(*stages.model_rows(spark, folder))[0])
 
 
 @query
 def federated_parameters(spark, folder):
-    return federated.federated_trees(*stages.model_rows(spark, folder))[1]
+    """The averaged parameters: scalers by value, importances (of a fit) as valid shares."""
+    found = written(federated.federated_trees(*stages.model_rows(spark, folder))[1], "parameters")
+    share = F.col("param") == "importance"
+    total = found.filter(share).agg(F.round(F.sum("value"), 9)).scalar()
+    return found.select(
+        "param", "idx", F.when(~share, F.round("value", 6)).alias("value"),
+        (~share | ((F.col("value") >= 0) & (total == 1))).alias("valid"),
+    )
+
+
+@query
+def uniform_parameters(spark, folder):
+    """What sites without importances send, averaged."""
+    rows, names = stages.model_rows(spark, folder)
+    sizes = rows.groupBy("location").agg(F.count(F.lit(1)).alias("n"))
+    return rounded(federated.average_parameters(federated.uniform_parameters(sizes, names)), 9)
 
 
 # ---- streams -------------------------------------------------------------
@@ -493,6 +592,35 @@ def stream_environment(spark, folder):
     return out.select(*KEYS, "heart_rate_mean", "spo2_mean", "aqi", "temperature", "aqi_category", "high_heart_rate")
 
 
+@query
+def stream_environment_unaligned(spark, folder):
+    """The join of streams whose sites report several times an hour."""
+    raw = events.read_events(spark, folder)
+    wearable = events.wearable_view(raw, cumulative=False).withColumn("timestamp", F.col("ts"))
+    tables = ((wearable, "wearable"), (events.air_readings(raw), "air"), (events.weather_readings(raw), "weather"))
+    out = run.drain(hourly.stream_environment(*[_stream_of(spark, t, n) for t, n in tables]))[0]
+    return out.select(*KEYS, "heart_rate_mean", "spo2_mean", "pm25", "aqi", "temperature", "precipitation")
+
+
+@query
+def stream_late_rows(spark, folder):
+    """How many hourly sums came too late: the month arrives backwards in three parts.
+
+    A batch is held against the watermark that the batch before it started with, so the second
+    part is still in time.
+    """
+    wearable = stages.sources(spark, folder).wearable
+    cuts = [F.lit(day).cast("timestamp_ntz") for day in ("9999-01-01", "2024-01-23", DRIFT_START, "0001-01-01")]
+    path = scratch_path(spark, "late")
+    for end, start in zip(cuts, cuts[1:]):
+        # one file a batch, and one partial sum for each site and hour in it
+        wearable.filter((F.col("timestamp") >= start) & (F.col("timestamp") < end)).coalesce(1).write.mode("append").parquet(path)
+        time.sleep(1.1)  # files are taken in the order of their times
+    stream = run.file_stream(spark, path, wearable.schema, maxFilesPerTrigger=1)
+    _, dropped = run.drain(hourly.stream_vitals(stream))
+    return spark.range(1).select(F.lit(dropped.total()).cast("long").alias("late_rows"))
+
+
 @query
 def stream_labels(spark, folder):
     """Rows labeled on arrival against the thresholds of a batch run."""
@@ -505,7 +633,7 @@ def stream_labels(spark, folder):
 @query
 def stream_alerts(spark, folder):
     merged = _stream_of(spark, stages.merged(spark, folder), "merged")
-    return run.drain(hourly.stream_row_alerts(merged).drop("message"))[0]
+    return run.drain(hourly.stream_row_alerts(merged))[0]
 
 
 @query
@@ -551,7 +679,9 @@ def profile_daily(spark, folder):
 
 @query
 def data_quality(spark, folder):
-    return rounded(drift.data_quality(stages.sources(spark, folder).wearable), 9)
+    """Every sensor of the three sources against its range."""
+    s = stages.sources(spark, folder)
+    return rounded(merge.union_sites([drift.data_quality(t) for t in (s.wearable, s.air, s.weather)]), 9)
 
 
 @query
@@ -572,7 +702,8 @@ def prediction_daily(spark, folder):
 @query
 def model_compare(spark, folder):
     rows, names = _split_rows(spark, folder)
-    return merge.union_sites([models.train_and_score(rows, names, kind) for kind in models.DEFAULTS])
+    found = merge.union_sites([models.train_and_score(rows, names, kind) for kind in models.DEFAULTS])
+    return _floors(found, "model_type", "n")
 
 
 @query
@@ -581,7 +712,10 @@ def federated_vs_central(spark, folder):
     rows, names = stages.model_rows(spark, folder)
     split = written(federated.local_split(rows), "split")
     central = models.train_and_score(split, names, "logistic_regression").select(
-        F.lit("central").alias("mode"), *federated.METRICS
+        F.lit("central").alias("mode"), "n", *federated.METRICS
     )
     average = federated.federated_logistic(rows, names, rounds=1)
-    return central.unionByName(average.select(F.lit("federated").alias("mode"), *federated.METRICS))
+    both = central.unionByName(
+        average.select(F.lit("federated").alias("mode"), F.col("total_samples").alias("n"), *federated.METRICS)
+    )
+    return _floors(both, "mode", "n")

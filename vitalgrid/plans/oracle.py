@@ -125,19 +125,25 @@ TABLES = {
         SELECT location, avg(health_risk) AS rate
         FROM labeled JOIN (SELECT location, max("timestamp") AS last_ts FROM labeled GROUP BY location) USING (location)
         WHERE "timestamp" >= last_ts - INTERVAL 24 HOURS GROUP BY location""",
+    "environment_alerts": """
+        SELECT location, "timestamp", 2 AS rule, aqi AS value, 'air_quality' AS type,
+               CASE WHEN aqi > 200 THEN 'high' ELSE 'medium' END AS severity,
+               concat('Air quality index at ', cast(floor(aqi) AS bigint)) AS message FROM merged WHERE aqi > 150
+        UNION ALL
+        SELECT location, "timestamp", 3, pm25, 'pm25', CASE WHEN pm25 > 75 THEN 'high' ELSE 'medium' END,
+               concat('Fine particles at ', cast(floor(pm25) AS bigint)) FROM merged WHERE pm25 > 50
+        UNION ALL
+        SELECT location, "timestamp", CASE WHEN temperature > 35 THEN 4 ELSE 5 END, temperature, 'temperature', 'medium',
+               concat(CASE WHEN temperature > 35 THEN 'Heat: ' ELSE 'Cold: ' END, cast(floor(temperature) AS bigint),
+                      ' degrees') FROM merged WHERE temperature > 35 OR temperature < 5""",
     "alert_rows": """
         SELECT location, "timestamp", 1 AS rule, rate AS value, 'high_risk' AS type,
-               CASE WHEN rate > 0.5e0 THEN 'high' ELSE 'medium' END AS severity
+               CASE WHEN rate > 0.5e0 THEN 'high' ELSE 'medium' END AS severity,
+               concat('High-risk hours of the last day: ', cast(floor(rate * 100) AS bigint), ' percent') AS message
         FROM latest JOIN recent USING (location) WHERE rate > 0.3e0
         UNION ALL
-        SELECT location, "timestamp", 2, aqi, 'air_quality', CASE WHEN aqi > 200 THEN 'high' ELSE 'medium' END
-        FROM latest WHERE aqi > 150
-        UNION ALL
-        SELECT location, "timestamp", 3, pm25, 'pm25', CASE WHEN pm25 > 75 THEN 'high' ELSE 'medium' END
-        FROM latest WHERE pm25 > 50
-        UNION ALL
-        SELECT location, "timestamp", CASE WHEN temperature > 35 THEN 4 ELSE 5 END, temperature, 'temperature', 'medium'
-        FROM latest WHERE temperature > 35 OR temperature < 5""",
+        SELECT location, "timestamp", rule, value, type, severity, message FROM environment_alerts
+        JOIN (SELECT location, "timestamp" FROM latest) USING (location, "timestamp")""",
     "linear": """
         SELECT *, CASE WHEN score >= 0.5e0 THEN 1 ELSE 0 END AS prediction
         FROM (SELECT *, round(least(1e0, greatest(0e0,
@@ -236,6 +242,10 @@ TABLES["split"] = """
                       ORDER BY md5(concat_ws('|', location, cast("timestamp" AS varchar), '42')))
                   <= ceil(0.2e0 * count(*) OVER (PARTITION BY location, health_risk)) AS is_test
         FROM labeled"""
+TABLES["split_by_label"] = TABLES["split"].replace("PARTITION BY location, health_risk", "PARTITION BY health_risk")
+TABLES["training"] = """
+        SELECT features.* FROM features JOIN split USING (location, "timestamp") WHERE NOT is_test"""
+TABLES["training_scales"] = TABLES["scales"].replace("FROM features", "FROM training")
 DRIFT_FEATURES = ["heart_rate_mean", "spo2_mean", "steps_total", "pm25", "aqi", "temperature", "humidity"]
 TABLES["long_rows"] = f"""
         SELECT feature, round(value, 9) AS value, "timestamp" >= TIMESTAMP '2024-01-16' AS is_current,

@@ -4,6 +4,19 @@ from .oracle import DRIFT_FEATURES, FEATURES, MERGED, SUMMARY, TRENDS, sql
 
 REGIONS = "('hospital_A', 'hospital_C')"
 
+REACHED = "true AS accuracy_reached, true AS precision_reached, true AS recall_reached, true AS f1_reached, true AS roc_auc_reached"
+HOUR_ALIGNED = """
+    SELECT location, "timestamp", heart_rate_mean, spo2_mean, a.pm25, a.aqi, w.temperature, w.precipitation
+    FROM vitals
+    JOIN (SELECT location, "timestamp", round(avg(pm25), 9) AS pm25, round(avg(aqi), 9) AS aqi
+          FROM air_all GROUP BY ALL) a USING (location, "timestamp")
+    JOIN (SELECT location, "timestamp", round(avg(temperature), 9) AS temperature,
+                 max(precipitation) AS precipitation
+          FROM weather_all GROUP BY ALL) w USING (location, "timestamp")"""
+AVERAGED_SCALERS = " UNION ALL ".join(
+    f"""SELECT '{p}' AS param, {i} AS idx, round(sum(n * {c}_{f}) / sum(n), 6) AS value FROM training_scales"""
+    for i, f in enumerate(FEATURES) for p, c in (("scaler_mean", "mean"), ("scaler_scale", "scale")))
+
 QUERIES = {
     # ---- vitals and merge
     "hourly_vitals": sql("SELECT * FROM vitals", "vitals"),
@@ -22,15 +35,9 @@ QUERIES = {
     "env_join": sql("SELECT * FROM joined", "joined"),
     "merged_features": sql(f"SELECT {MERGED} FROM merged", "merged"),
     "all_nodes_merged": sql(f"SELECT {MERGED} FROM merged", "merged"),
-    "merged_hour_aligned": sql(
-        """SELECT location, "timestamp", heart_rate_mean, spo2_mean, a.pm25, a.aqi, w.temperature, w.precipitation
-           FROM vitals
-           JOIN (SELECT location, "timestamp", round(avg(pm25), 9) AS pm25, round(avg(aqi), 9) AS aqi
-                 FROM air_all GROUP BY ALL) a USING (location, "timestamp")
-           JOIN (SELECT location, "timestamp", round(avg(temperature), 9) AS temperature,
-                        max(precipitation) AS precipitation
-                 FROM weather_all GROUP BY ALL) w USING (location, "timestamp")""",
-        "vitals", "air_all", "weather_all"),
+    "merged_hour_aligned": sql(HOUR_ALIGNED, "vitals", "air_all", "weather_all"),
+    "csv_to_labels": sql(
+        'SELECT location, "timestamp", risk_score, health_risk, aqi, temperature, heart_rate_mean FROM labeled', "labeled"),
     "csv_sources": sql(
         """SELECT location, count(*) AS rows_read, cast(sum(steps) AS bigint) AS steps,
                   cast(sum(cast(round(heart_rate * 10) AS bigint)) AS bigint) AS heart_rate_tenths,
@@ -152,27 +159,35 @@ QUERIES = {
            FROM latest""", "latest"),
     "recent_risk_rate": sql("SELECT location, round(rate, 9) AS recent_risk_rate FROM recent", "recent"),
     "alerts": sql(
-        """SELECT location, "timestamp", rule, round(value, 9) AS value, type, severity,
+        """SELECT location, "timestamp", rule, round(value, 9) AS value, type, severity, message,
                   upper(type) AS title, strftime("timestamp", '%Y-%m-%d %H:%M') AS time FROM alert_rows""", "alert_rows"),
     "region_alerts": sql(
-        f"""SELECT location, "timestamp", rule, round(value, 9) AS value, type, severity
+        f"""SELECT location, "timestamp", rule, round(value, 9) AS value, type, severity, message
             FROM alert_rows WHERE location IN {REGIONS}""", "alert_rows"),
     "citizen_alerts": sql(
-        """SELECT location, "timestamp", rule, round(value, 9) AS value, type, severity
+        """SELECT location, "timestamp", rule, round(value, 9) AS value, type, severity, message
            FROM alert_rows WHERE location = 'hospital_B'""", "alert_rows"),
     "recommendations": sql(
         """SELECT location, "timestamp", 1 AS rule, aqi AS value, CASE WHEN aqi > 150 THEN 'high' ELSE 'medium' END AS priority,
-                  'Air Quality Alert' AS title FROM latest WHERE aqi > 100
+                  'Air Quality Alert' AS title,
+                  concat('The air quality index is ', cast(floor(aqi) AS bigint), ': stay inside or wear a mask.') AS message
+           FROM latest WHERE aqi > 100
            UNION ALL
-           SELECT location, "timestamp", 2, pm25, CASE WHEN pm25 > 75 THEN 'high' ELSE 'medium' END, 'High PM2.5'
+           SELECT location, "timestamp", 2, pm25, CASE WHEN pm25 > 75 THEN 'high' ELSE 'medium' END, 'High PM2.5',
+                  concat('Fine particles are at ', cast(floor(pm25) AS bigint), ': avoid effort outside.')
            FROM latest WHERE pm25 > 50
            UNION ALL
-           SELECT location, "timestamp", 3, temperature, 'medium', 'High Temperature' FROM latest WHERE temperature > 35
+           SELECT location, "timestamp", 3, temperature, 'medium', 'High Temperature',
+                  concat('It has ', cast(floor(temperature) AS bigint), ' degrees: drink water and seek shade.')
+           FROM latest WHERE temperature > 35
            UNION ALL
-           SELECT location, "timestamp", 4, temperature, 'medium', 'Low Temperature' FROM latest WHERE temperature < 5
+           SELECT location, "timestamp", 4, temperature, 'medium', 'Low Temperature',
+                  concat('It has ', cast(floor(temperature) AS bigint), ' degrees: keep warm.')
+           FROM latest WHERE temperature < 5
            UNION ALL
            SELECT location, "timestamp", 5, health_risk, CASE WHEN health_risk > 0.7e0 THEN 'high' ELSE 'medium' END,
-                  'Elevated Health Risk' FROM latest WHERE health_risk > 0.4e0""", "latest"),
+                  'Elevated Health Risk', 'Signs of raised health risk here: watch how you feel.'
+           FROM latest WHERE health_risk > 0.4e0""", "latest"),
     "env_series": sql(
         """UNPIVOT (SELECT location, "timestamp", aqi, pm25, temperature, humidity FROM merged)
            ON aqi, pm25, temperature, humidity INTO NAME metric VALUE value""", "merged"),
@@ -225,37 +240,71 @@ QUERIES = {
     "class_counts": sql(
         "SELECT location, count(DISTINCT health_risk) AS classes FROM labeled GROUP BY location", "labeled"),
     "roc_auc": sql("SELECT location, round(roc_auc, 9) AS roc_auc FROM area", "area"),
-    "fedavg_scaler": sql(
-        "SELECT * FROM (" + " UNION ALL ".join(
-            f"""SELECT '{p}' AS param, {i} AS idx, round(sum(n * {c}_{f}) / sum(n), 6) AS value FROM scales"""
-            for i, f in enumerate(FEATURES) for p, c in (("scaler_mean", "mean"), ("scaler_scale", "scale"))) + ")",
-        "scales"),
+    "fedavg_scaler": sql(f"SELECT * FROM ({AVERAGED_SCALERS})", "training_scales"),
     "federated_metrics": sql(
         """SELECT round(sum(n * accuracy) / sum(n), 9) AS accuracy, round(sum(n * "precision") / sum(n), 9) AS "precision",
                   round(sum(n * recall) / sum(n), 9) AS recall, round(sum(n * f1) / sum(n), 9) AS f1,
                   round(sum(n * roc_auc) / sum(n), 9) AS roc_auc, round(sum(n * (1 - accuracy)) / sum(n), 9) AS loss,
                   cast(sum(n) AS bigint) AS total_samples, count(*) AS num_clients
            FROM node_metrics""", "node_metrics"),
+    # ---- models: the rows that take part; every floor is to be reached
+    **{name: sql(
+        f"""SELECT location, '{kind}' AS model_type, count(*) FILTER (is_test) AS n, {REACHED}
+            FROM split_by_label GROUP BY location""", "split_by_label")
+       for name, kind in (("train_logistic", "logistic_regression"), ("train_forest", "random_forest"),
+                          ("train_gbt", "gradient_boosting"))},
+    "central_train": sql(
+        """SELECT cast(ceil(0.2e0 * count(*) FILTER (hour <> 0)) AS bigint) AS n,
+                  count(*) FILTER (hour = 0) AS left_out, true AS accuracy_reached FROM labeled_all""", "labeled_all"),
+    "saved_model": sql(
+        "SELECT location, count(*) AS n, true AS same FROM split_by_label WHERE is_test GROUP BY location", "split_by_label"),
+    "feature_importance": " UNION ALL ".join(
+        f"SELECT {i} AS idx, '{f}' AS feature, true AS valid" for i, f in enumerate(FEATURES)),
+    "federated_gradient": sql(
+        "SELECT location, idx, round(value, 6) + 0e0 AS value FROM (" + " UNION ALL ".join(
+            f"SELECT location, {i} AS idx, sum((0.5e0 - health_risk) * {x}) AS value FROM training JOIN training_scales "
+            "USING (location) GROUP BY location"
+            for i, x in enumerate(["1e0", *[f"(training.{f} - mean_{f}) / scale_{f}" for f in FEATURES]]))
+        + f" UNION ALL SELECT location, {len(FEATURES) + 1}, count(*) * 0.25e0 FROM training GROUP BY location)",
+        "training", "training_scales"),
+    **{name: sql(
+        f"""SELECT cast(unnest(range(1, 11)) AS integer) AS round, total_samples, num_clients, true AS train_reached, {REACHED}
+            FROM (SELECT count(*) AS total_samples, count(DISTINCT location) AS num_clients FROM split WHERE is_test)""",
+        "split") for name in ("federated_logistic", "federated_logistic_warm", "federated_forest")},
+    "round_metrics_log": sql(
+        """SELECT run, rounds, total_samples FROM (VALUES ('short', cast(2 AS bigint)), ('long', 4)) r(run, rounds),
+                  (SELECT count(*) AS total_samples FROM split WHERE is_test)""", "split"),
+    "federated_parameters": sql(
+        f"SELECT param, idx, value, true AS valid FROM ({AVERAGED_SCALERS}) UNION ALL "
+        + " UNION ALL ".join(f"SELECT 'importance', {i}, NULL, true" for i in range(len(FEATURES))), "training_scales"),
+    "uniform_parameters": " UNION ALL ".join(
+        f"SELECT 'importance' AS param, {i} AS idx, round(1e0 / {len(FEATURES)}, 9) AS value" for i in range(len(FEATURES))),
+    "model_compare": sql(
+        f"""SELECT kind AS model_type, n, {REACHED} FROM (SELECT count(*) AS n FROM split_by_label WHERE is_test),
+            (VALUES ('logistic_regression'), ('random_forest'), ('gradient_boosting')) k(kind)""", "split_by_label"),
+    "federated_vs_central": sql(
+        f"""SELECT mode, n, {REACHED} FROM (SELECT count(*) AS n FROM split WHERE is_test),
+            (VALUES ('central'), ('federated')) m(mode)""", "split"),
     # ---- streams: append mode holds back hours the watermark has not passed
     "stream_hourly_vitals": sql(
         """SELECT * FROM vitals
            WHERE "timestamp" + INTERVAL 1 HOUR <= (SELECT max("timestamp") FROM readings) - INTERVAL 2 HOURS""",
         "vitals", "readings"),
     "stream_environment": sql(
-        """SELECT location, "timestamp", heart_rate_mean, spo2_mean, aqi, temperature, aqi_category, high_heart_rate
+        """SELECT location, "timestamp", heart_rate_mean, spo2_mean, round(aqi, 9) AS aqi, round(temperature, 9) AS temperature,
+                  aqi_category, high_heart_rate
            FROM merged
            WHERE "timestamp" + INTERVAL 1 HOUR <= (SELECT max("timestamp") FROM readings) - INTERVAL 2 HOURS""",
         "merged", "readings"),
+    "stream_environment_unaligned": sql(
+        HOUR_ALIGNED
+        + """ WHERE "timestamp" + INTERVAL 1 HOUR <= (SELECT max(ts) FROM readings) - INTERVAL 2 HOURS""",
+        "vitals", "air_all", "weather_all", "readings"),
+    "stream_late_rows": sql(
+        """SELECT count(*) AS late_rows FROM (
+               SELECT DISTINCT location, "timestamp" FROM readings WHERE "timestamp" < TIMESTAMP '2024-01-16')""", "readings"),
     "stream_labels": sql('SELECT location, "timestamp", risk_score, health_risk FROM labeled', "labeled"),
-    "stream_alerts": sql(
-        """SELECT location, "timestamp", 2 AS rule, aqi AS value, 'air_quality' AS type,
-                  CASE WHEN aqi > 200 THEN 'high' ELSE 'medium' END AS severity FROM merged WHERE aqi > 150
-           UNION ALL
-           SELECT location, "timestamp", 3, pm25, 'pm25', CASE WHEN pm25 > 75 THEN 'high' ELSE 'medium' END
-           FROM merged WHERE pm25 > 50
-           UNION ALL
-           SELECT location, "timestamp", CASE WHEN temperature > 35 THEN 4 ELSE 5 END, temperature, 'temperature', 'medium'
-           FROM merged WHERE temperature > 35 OR temperature < 5""", "merged"),
+    "stream_alerts": sql("SELECT * FROM environment_alerts", "environment_alerts"),
     "stream_risk_alerts": sql(
         """SELECT location, until, count(health_risk) AS n, round(avg(health_risk), 9) AS value, 'high_risk' AS type,
                   CASE WHEN avg(health_risk) > 0.5e0 THEN 'high' ELSE 'medium' END AS severity
@@ -287,9 +336,12 @@ QUERIES = {
         " UNION ALL ".join(
             f"""SELECT '{c}' AS "column", count(*) AS n, count(*) FILTER ({c} IS NULL) AS nulls,
                        count(*) FILTER ({c} < {low} OR {c} > {high}) AS out_of_range,
-                       round(count(*) FILTER ({c} IS NULL) / count(*), 9) AS null_share FROM readings"""
-            for c, low, high in (("heart_rate", 50, 180), ("spo2", 90, 100), ("sleep_quality", 0, 100))),
-        "readings"),
+                       round(count(*) FILTER ({c} IS NULL) / count(*), 9) AS null_share FROM {table}"""
+            for table, c, low, high in (
+                ("readings", "heart_rate", 50, 180), ("readings", "spo2", 90, 100), ("readings", "sleep_quality", 0, 100),
+                ("air", "aqi", 0, 500), ("air", "co2", 400, 1000), ("weather", "humidity", 20, 100),
+                ("weather", "wind_speed", 0, 50), ("weather", "pressure", 980, 1050), ("weather", "rainfall", 0, 50))),
+        "readings", "air", "weather"),
     "duplicate_readings": sql(
         'SELECT user_id, "timestamp", count(*) AS n FROM readings GROUP BY ALL HAVING count(*) > 1', "readings"),
     "correlations": sql(

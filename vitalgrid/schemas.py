@@ -52,11 +52,6 @@ MERGED_COLUMNS = (
     *CALENDAR_COLUMNS, *CATEGORY_COLUMNS, *FLAG_COLUMNS,
 )
 
-# numeric columns a model may use, before category indicators
-NUMERIC_FEATURES = (
-    *VITALS_COLUMNS, *AIR_COLUMNS, *WEATHER_COLUMNS, *CALENDAR_COLUMNS, *FLAG_COLUMNS,
-)
-
 # columns that never become features
 NON_FEATURES = ("timestamp", "location", "health_risk", "risk_category", "user_id", "node", "date")
 

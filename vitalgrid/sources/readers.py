@@ -8,7 +8,8 @@ from pyspark.sql import types as T
 
 from ..functions.core import no_nan
 from ..operators.merge import union_sites
-from ..schemas import AIR_QUALITY, WEARABLE, WEATHER
+from ..operators.vitals import with_missing_columns
+from ..schemas import AIR_QUALITY, WEARABLE, WEARABLE_ALT, WEATHER
 from .events import Sources
 
 # the header must match the schema by name and order
@@ -61,10 +62,23 @@ def read_nodes(spark: SparkSession, folder: str, nodes: Sequence[str]) -> Source
 
 def read_partitioned_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """CSV folders by location; the location comes from the folder name."""
-    with_location = T.StructType([*schema.fields, T.StructField("location", T.StringType())])
+    own = [f for f in schema.fields if f.name != "location"]
+    with_location = T.StructType([*own, T.StructField("location", T.StringType())])
     return clean(spark.read.schema(with_location).options(**CSV).csv(path))
 
 
+def read_source_folders(spark: SparkSession, path: str) -> Sources:
+    """The three sources from CSV folders by location; wearables may come in either layout."""
+    wearable = read_partitioned_csv(spark, f"{path}/wearable", WEARABLE)
+    other = read_partitioned_csv(spark, f"{path}/wearable_alt", WEARABLE_ALT)
+    other = with_missing_columns(other.withColumn("user_id", F.col("user_id").cast("string")), WEARABLE)
+    return Sources(
+        union_sites([wearable, other]),
+        read_partitioned_csv(spark, f"{path}/air", AIR_QUALITY),
+        read_partitioned_csv(spark, f"{path}/weather", WEATHER),
+    )
+
+
 def read_labeled(spark: SparkSession, path: str, schema: T.StructType, node: str | None = None) -> DataFrame:
     """The labeled table; one node is a partition filter, an unknown node gives no rows."""
     table = spark.read.schema(schema).parquet(path)

@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import core
 from ..operators import labels, rules
 from ..operators.attach import attach
 from ..operators.merge import with_derived_features
@@ -33,8 +34,11 @@ def stream_vitals(wearable: DataFrame, watermark: str = WATERMARK) -> DataFrame:
 
 
 def _environment(stream: DataFrame, measures, watermark: str) -> DataFrame:
-    timed = event_time(stream, watermark)
-    return timed.select("location", F.window("timestamp", "1 hour").alias("window"), *measures)
+    """One row per location and hour, as in the batch join on the hour, however often a site reports."""
+    window = F.window("timestamp", "1 hour").alias("window")
+    return event_time(stream, watermark).groupBy("location", window).agg(*[
+        (F.max(m) if m == "precipitation" else core.stable(F.avg(m))).alias(m) for m in measures
+    ])
 
 
 def stream_environment(wearable: DataFrame, air: DataFrame, weather: DataFrame, watermark: str = WATERMARK) -> DataFrame:
