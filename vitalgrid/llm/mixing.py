@@ -11,13 +11,15 @@ of sweeps is written, so the plan does not grow with their number.
 """
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.attach import attach
 from ..session import written
-from .text import packed, text_key, unpacked, words
+from .text import ascii_lower, packed, text_key, unpacked
 
 # targets are the shares of the data to this power, so that large groups give way to small ones
 TEMPER = 0.8
@@ -28,18 +30,23 @@ TOLERANCE = 1e-12
 CALIBRATED = 1e-6
 LOCAL_CELLS = 100_000
 DIMENSIONS = ("source", "lang", "topic")
-# a document's topic is the first whose pattern its text holds
-TOPICS: tuple[tuple[str, str], ...] = (
-    ("legal", r"(?i)licen[sc]e|copyright|all rights reserved"),
-    ("contact", r"[A-Za-z0-9._-]+@[A-Za-z0-9-]+\.|\+?[0-9][0-9 ()-]{8,}[0-9]"),
-    ("figures", r"[0-9]"),
+# a document's topic is the first of which its text, A-Z lower-cased, holds a phrase and the pattern
+TOPICS: tuple[tuple[str, tuple[str, ...], str | None], ...] = (
+    ("legal", ("license", "licence", "copyright", "all rights reserved"), None),
+    ("contact", ("@",), r"[a-z0-9]@[a-z0-9-]+\.[a-z]"),
+    ("figures", (), r"[0-9]"),
 )
+OTHER_TOPIC = "prose"
+WORD = r"[^\x20\x09-\x0D]+"
 
 
-def topic_of(text: Column, topics: Sequence[tuple[str, str]] = TOPICS) -> Column:
-    found = F.lit("prose")
-    for name, pattern in reversed(topics):
-        found = F.when(text.rlike(pattern), name).otherwise(found)
+def topic_of(text: Column, topics: Sequence[tuple[str, tuple[str, ...], str | None]] = TOPICS) -> Column:
+    """The topic of a text; phrases are looked for first, as that is much cheaper than a pattern."""
+    found = F.lit(OTHER_TOPIC)
+    for name, phrases, pattern in reversed(topics):
+        holds = reduce(or_, [F.contains(text, F.lit(p)) for p in phrases]) if phrases else F.lit(True)
+        holds = holds & text.rlike(pattern) if pattern else holds
+        found = F.when(holds, name).otherwise(found)
     return found
 
 
@@ -106,13 +113,18 @@ def uniform(doc_id: Column) -> Column:
     return F.conv(digits, 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
-def _sampled(docs: DataFrame, targets: dict[str, DataFrame] | None) -> DataFrame:
-    rows = packed(docs, "doc_id", "text", "source", "lang").select(
+def _weighed(docs: DataFrame) -> DataFrame:
+    """Packed rows with _doc_id, the three dimensions and the number of words."""
+    rows = packed(docs, "doc_id", "text", "source", "lang").withColumn("_lower", ascii_lower(F.col("_text")))
+    return rows.select(
         "_row", "_doc_id",
         text_key(F.col("_source")).alias("source"), text_key(F.col("_lang")).alias("lang"),
-        F.coalesce(topic_of(F.col("_text")), F.lit("prose")).alias("topic"),
-        F.size(words(F.col("_text"))).cast("long").alias("tokens"),
+        topic_of(F.col("_lower")).alias("topic"),
+        F.coalesce(F.regexp_count("_text", F.lit(WORD)), F.lit(0)).cast("long").alias("tokens"),
     )
+
+
+def _sampled(rows: DataFrame, targets: dict[str, DataFrame] | None) -> DataFrame:
     totals = written(cells(rows), "cells")
     fitted = written(raked(totals, targets or tempered(totals)), "fitted").select(*DIMENSIONS, "probability", "calibrated")
     joined = attach(rows, fitted, DIMENSIONS, computed=True)
@@ -130,7 +142,8 @@ def mixture(docs: DataFrame, targets: dict[str, DataFrame] | None = None) -> Dat
     and probability 0. Rows of one doc_id in one cell are sampled together. An empty table gives an
     empty result.
     """
-    return _sampled(docs, targets).select(
+    rows = written(_weighed(docs).drop("_row"), "weighed")  # texts are read once
+    return _sampled(rows, targets).select(
         F.col("_doc_id").alias("doc_id"), "topic", "tokens",
         F.round("probability", 6).alias("probability"), "calibrated", "sampled",
     )
@@ -138,4 +151,4 @@ def mixture(docs: DataFrame, targets: dict[str, DataFrame] | None = None) -> Dat
 
 def mixed_documents(docs: DataFrame, targets: dict[str, DataFrame] | None = None) -> DataFrame:
     """The sampled rows of `docs`, with its columns."""
-    return unpacked(_sampled(docs, targets).filter("sampled"), docs.columns)
+    return unpacked(_sampled(written(_weighed(docs), "weighed"), targets).filter("sampled"), docs.columns)

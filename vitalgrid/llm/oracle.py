@@ -104,6 +104,7 @@ leaks AS (SELECT doc_id, item_id, any_value(n)::BIGINT AS n_item_shingles, count
 def mixture(docs: str, sweeps: int = 400) -> str:
     """CTEs up to `mixed(doc_id, topic, tokens, probability, sampled)` over the relation `docs`."""
     dimensions = ("source", "lang", "topic")
+    low = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
     targets = ", ".join(
         f"""raw_{d} AS (SELECT {d}, pow(sum(tokens) / (SELECT sum(tokens) FROM cell0), 0.8) AS x FROM cell0 GROUP BY 1),
 t_{d} AS (SELECT {d}, x / (SELECT sum(x) FROM raw_{d}) AS t_{d} FROM raw_{d})"""
@@ -118,9 +119,9 @@ t_{d} AS (SELECT {d}, x / (SELECT sum(x) FROM raw_{d}) AS t_{d} FROM raw_{d})"""
         step = fitted(d, step)
     return rf"""
 md AS (SELECT doc_id, coalesce('=' || source, '') AS source, coalesce('=' || lang, '') AS lang,
-        CASE WHEN regexp_matches(text, '(?i)licen[sc]e|copyright|all rights reserved') THEN 'legal'
-            WHEN regexp_matches(text, '[A-Za-z0-9._-]+@[A-Za-z0-9-]+\.|\+?[0-9][0-9 ()-]{{8,}}[0-9]') THEN 'contact'
-            WHEN regexp_matches(text, '[0-9]') THEN 'figures' ELSE 'prose' END AS topic,
+        CASE WHEN regexp_matches({low}, 'license|licence|copyright|all rights reserved') THEN 'legal'
+            WHEN regexp_matches({low}, '[a-z0-9]@[a-z0-9-]+\.[a-z]') THEN 'contact'
+            WHEN regexp_matches({low}, '[0-9]') THEN 'figures' ELSE 'prose' END AS topic,
         len({_WORDS.format('text')})::BIGINT AS tokens FROM {docs}),
 cell0 AS (SELECT source, lang, topic, sum(tokens)::DOUBLE AS tokens FROM md GROUP BY ALL HAVING sum(tokens) > 0),
 {targets},
