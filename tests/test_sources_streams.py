@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from vitalgrid.operators import vitals
 from vitalgrid.plans import stages
 from vitalgrid.schemas import AIR_QUALITY, WEARABLE
-from vitalgrid.session import cut_lineage, scratch_path, shared_folder
+from vitalgrid.session import cut_lineage, scratch_path, scratch_run, shared_folder, written
 from vitalgrid.sources import readers, writers
 from vitalgrid.streaming import hourly, run
 
@@ -171,3 +171,13 @@ def test_a_fourth_site_is_kept(spark, smoke_dir):
 
     sites = {r["location"] for r in catalog.QUERIES["all_nodes_merged"](spark, smoke_dir).select("location").distinct().collect()}
     assert sites == {r["location"] for r in stages.merged(spark, smoke_dir).select("location").distinct().collect()}
+
+
+def test_tables_of_a_run_go_with_it(spark):
+    import os
+
+    with scratch_run(spark) as folder:
+        table = written(spark.range(3), "some")
+        assert table.count() == 3 and os.listdir(folder.removeprefix("file:"))
+    assert not os.path.exists(folder.removeprefix("file:"))
+    assert "/run-" not in scratch_path(spark, "after")

@@ -2,7 +2,9 @@
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,10 +53,26 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+_RUN_FOLDER: ContextVar[str | None] = ContextVar("run_folder", default=None)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder, in a folder of this application's own."""
-    application = spark.sparkContext.applicationId
-    return f"{shared_folder(spark).rstrip('/')}/{application}/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, in the folder of this run or of this application."""
+    folder = _RUN_FOLDER.get() or f"{shared_folder(spark).rstrip('/')}/{spark.sparkContext.applicationId}"
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch_run(spark: SparkSession) -> Iterator[str]:
+    """A run whose written tables go when it ends; its results are to be read or stored before."""
+    folder = scratch_path(spark, "run")
+    outer = _RUN_FOLDER.set(folder)
+    try:
+        yield folder
+    finally:
+        _RUN_FOLDER.reset(outer)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def written(df: DataFrame, name: str, by: Sequence[str] = ()) -> DataFrame:
