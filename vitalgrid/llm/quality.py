@@ -151,18 +151,16 @@ def limits(rows: DataFrame) -> DataFrame:
     sketch = written(sketches(rows), "quality-sketch")
     own = _fences(sketch, ["_lang_key", "_source_key"])
     of_lang = _fences(sketch, ["_lang_key"])
-    of_all = _fences(sketch.withColumn("_all", F.lit(0)), ["_all"]).drop("_all")
+    of_all = _fences(sketch.withColumn("_all", F.lit(0)), ["_all"])
     names = [c for c in own.columns if c not in ("_lang_key", "_source_key")]
-    joined = (
-        own.join(of_lang.select("_lang_key", *[F.col(c).alias(f"lang_{c}") for c in names]), "_lang_key")
-        .join(F.broadcast(of_all.select(*[F.col(c).alias(f"all_{c}") for c in names])))  # one row
-    )
+    joined = own.join(of_lang.select("_lang_key", *[F.col(c).alias(f"lang_{c}") for c in names]), "_lang_key")
+    joined = joined.withColumn("all", of_all.select(F.struct(*names)).scalar())
 
     def chosen(c):
         return (
             F.when(F.col("documents") >= MIN_DOCUMENTS, F.col(c))
             .when(F.col("lang_documents") >= MIN_DOCUMENTS, F.col(f"lang_{c}"))
-            .otherwise(F.col(f"all_{c}"))
+            .otherwise(F.col("all").getField(c))
         )
 
     return joined.select("_lang_key", "_source_key", *[chosen(c).alias(c) for c in names if c != "documents"])
