@@ -18,10 +18,11 @@ from .attach import BROADCAST_VALUES, attach
 
 # a window may sort this many rows of one group in one task; larger groups are cut
 HEAVY_ROWS = 1_000_000
-# Levels of cells for any numbers: `magnitude` without its last ten bits, then all of it. A top
-# cell is a thousandth of an octave, so the top window sees few thousand of them.
-WIDE_LEVELS = (10, 0)
-# One level for numbers of few octaves, such as a score in [0, 1].
+# Levels of cells for any numbers: `magnitude` without its last four bits, 65,536 cells an octave.
+# Numbers seldom span more than some ten octaves, so the window over the cells of a group sorts at
+# most a million rows, and a cell of a group of 10^12 rows holds some millions.
+WIDE_LEVELS = (4,)
+# Coarser cells for numbers of few octaves, such as a score in [0, 1].
 UNIT_LEVELS = (6,)
 
 

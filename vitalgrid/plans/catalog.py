@@ -9,7 +9,7 @@ from ..schemas import DEFAULT_NODES, MERGED_COLUMNS
 from ..session import scratch_path, written
 from ..sources import events, readers, writers
 from ..streaming import hourly, run
-from . import stages
+from . import stages, tables
 
 REGIONS = ["hospital_A", "hospital_C"]
 KEYS = ["location", "timestamp"]
@@ -207,6 +207,14 @@ def label_constant_fallback(spark, folder):
     return labels.binary_labels(flat).select(*KEYS, "health_risk")
 
 
+@query
+def label_one_constant_site(spark, folder):
+    """One site whose scores are all alike among others whose are not."""
+    score = F.when(F.col("location") == "hospital_B", F.lit(0.5)).otherwise(F.col("risk_score"))
+    table = written(stages.scored(spark, folder).withColumn("risk_score", score), "one-constant")
+    return labels.binary_labels(table).select(*KEYS, "health_risk", "risk_category")
+
+
 # ---- reports -------------------------------------------------------------
 
 
@@ -335,6 +343,21 @@ def date_range(spark, folder):
     return reports.in_date_range(table, ["2024-01-05", "2024-01-12"]).select(*KEYS, "aqi", "heart_rate_mean")
 
 
+@query
+def panel_rows(spark, folder):
+    """How many rows each panel of authorities and citizens shows."""
+    everything, node = stages.labeled_once(spark, folder, "global"), stages.labeled_once(spark, folder)
+    shown = {
+        "authority": tables.authority_panels(everything, node, REGIONS, ["2024-01-05", "2024-01-12"]),
+        "citizen": tables.citizen_panels(node, "hospital_B"),
+    }
+    parts = [
+        panel.agg(F.count(F.lit(1)).alias("n")).select(F.lit(who).alias("viewer"), F.lit(name).alias("panel"), "n")
+        for who, panels in shown.items() for name, panel in panels.items()
+    ]
+    return merge.union_sites(parts)
+
+
 # ---- features ------------------------------------------------------------
 
 
@@ -513,6 +536,12 @@ def federated_gradient(spark, folder):
     return rounded(shown.select("location", "idx", (F.col("value") + 0.0).alias("value")), 6)
 
 
+@query
+def federated_participants(spark, folder):
+    """Sites of a round that asks for two thirds of them."""
+    return federated.participants(stages.merged(spark, folder), 0.67)
+
+
 def _rounds(df):
     return _floors(df, "round", "total_samples", "num_clients", (F.col("train_accuracy") >= FLOORS["accuracy"]).alias("train_reached"))
 

@@ -109,6 +109,14 @@ QUERIES = {
                             <= greatest(1, floor(0.3e0 * count(*) OVER (PARTITION BY location)))
                        THEN 1 ELSE 0 END AS health_risk
            FROM scored""", "scored"),
+    "label_one_constant_site": sql(
+        """SELECT location, "timestamp", health_risk, risk_category FROM labeled WHERE location <> 'hospital_B'
+           UNION ALL
+           SELECT location, "timestamp", health_risk, CASE health_risk WHEN 1 THEN 'High' ELSE 'Low' END
+           FROM (SELECT location, "timestamp",
+                        CASE WHEN row_number() OVER (ORDER BY md5(concat_ws('|', location, cast("timestamp" AS varchar))))
+                                  <= greatest(1, floor(0.3e0 * count(*) OVER ())) THEN 1 ELSE 0 END AS health_risk
+                 FROM scored WHERE location = 'hospital_B')""", "labeled", "scored"),
     # ---- reports
     "node_summary": sql(SUMMARY.format(table="labeled", where=""), "labeled"),
     "node_summary_global": sql(SUMMARY.format(table="labeled_all", where=""), "labeled_all"),
@@ -205,6 +213,38 @@ QUERIES = {
         f"""SELECT location, "timestamp", aqi, heart_rate_mean FROM merged
             WHERE location IN {REGIONS} AND cast("timestamp" AS date) BETWEEN DATE '2024-01-05' AND DATE '2024-01-12'""",
         "merged"),
+    "panel_rows": sql(
+        f""", a AS (SELECT * FROM labeled_all WHERE location IN {REGIONS}
+                AND cast("timestamp" AS date) BETWEEN DATE '2024-01-05' AND DATE '2024-01-12'),
+            a_last AS (SELECT * FROM a QUALIFY row_number() OVER (PARTITION BY location ORDER BY "timestamp" DESC) = 1),
+            a_rate AS (SELECT location, avg(health_risk) AS rate
+                FROM a JOIN (SELECT location, max("timestamp") AS t FROM a GROUP BY location) USING (location)
+                WHERE "timestamp" >= t - INTERVAL 24 HOURS GROUP BY location),
+            c AS (SELECT * FROM labeled WHERE location = 'hospital_B'
+                AND "timestamp" >= (SELECT cast(max("timestamp") AS date) - 7 FROM labeled WHERE location = 'hospital_B')),
+            c_last AS (SELECT * FROM c ORDER BY "timestamp" DESC LIMIT 1)
+            SELECT 'authority' AS viewer, 'rows' AS panel, count(*) AS n FROM a
+            UNION ALL SELECT 'authority', 'kpi', 1
+            UNION ALL SELECT 'authority', 'alerts', (SELECT count(*) FROM a_rate WHERE rate > 0.3e0) + (SELECT
+                coalesce(cast(sum((aqi > 150)::INT + (pm25 > 50)::INT + (temperature > 35 OR temperature < 5)::INT) AS bigint), 0)
+                FROM a_last)
+            UNION ALL SELECT 'authority', 'comparison', count(DISTINCT location) FROM labeled WHERE location IN {REGIONS}
+            UNION ALL SELECT 'authority', 'trends', count(DISTINCT cast("timestamp" AS date)) FROM a
+            UNION ALL SELECT 'authority', 'environment', 4 * count(*) FROM a
+            UNION ALL SELECT 'authority', 'vitals', 2 * count(*) FROM a
+            UNION ALL SELECT 'authority', 'detail', count(*) FROM a
+            UNION ALL SELECT 'citizen', 'rows', count(*) FROM c
+            UNION ALL SELECT 'citizen', 'status', count(*) FROM c_last
+            UNION ALL SELECT 'citizen', 'alerts', (SELECT count(*) FROM c_last WHERE (SELECT avg(health_risk) FROM c
+                WHERE "timestamp" >= (SELECT max("timestamp") FROM c) - INTERVAL 24 HOURS) > 0.3e0) + (SELECT
+                coalesce(cast(sum((aqi > 150)::INT + (pm25 > 50)::INT + (temperature > 35 OR temperature < 5)::INT) AS bigint), 0)
+                FROM c_last)
+            UNION ALL SELECT 'citizen', 'daily', count(DISTINCT cast("timestamp" AS date)) FROM c
+            UNION ALL SELECT 'citizen', 'health', count(DISTINCT cast("timestamp" AS date)) FROM c
+            UNION ALL SELECT 'citizen', 'environment', 4 * count(*) FROM c
+            UNION ALL SELECT 'citizen', 'recommendations', coalesce(cast(sum((aqi > 100)::INT + (pm25 > 50)::INT
+                + (temperature > 35 OR temperature < 5)::INT + (health_risk > 0.4e0)::INT) AS bigint), 0) FROM c_last""",
+        "labeled", "labeled_all"),
     # ---- features
     "vocabulary": sql(
         """SELECT 'aqi_category' AS feature, aqi_category AS category FROM merged WHERE aqi_category IS NOT NULL
@@ -267,6 +307,8 @@ QUERIES = {
             for i, x in enumerate(["1e0", *[f"(training.{f} - mean_{f}) / scale_{f}" for f in FEATURES]]))
         + f" UNION ALL SELECT location, {len(FEATURES) + 1}, count(*) * 0.25e0 FROM training GROUP BY location)",
         "training", "training_scales"),
+    "federated_participants": sql(
+        "SELECT location FROM (SELECT DISTINCT location FROM merged) ORDER BY md5(location) LIMIT 2", "merged"),
     **{name: sql(
         f"""SELECT cast(unnest(range(1, 11)) AS integer) AS round, total_samples, num_clients, true AS train_reached, {REACHED}
             FROM (SELECT count(*) AS total_samples, count(DISTINCT location) AS num_clients FROM split WHERE is_test)""",
