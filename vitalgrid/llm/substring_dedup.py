@@ -13,7 +13,7 @@ with the whole corpus. So each automaton goes only to the documents that may sha
    `WINDOW` or more, a window is found.
 4. Windows whose anchor is shared but which the home lacks (edits, the edges of a passage) go through the same
    steps once more with `width = WINDOW`: then the home of an anchor is the first document with the
-   window itself, and nothing is left over.
+   window itself, and nothing is left over. Only the words of those windows go on, not whole texts.
 
 Documents whose words all equal those of an earlier document are settled before by a fingerprint of their
 words. What a task holds is one shard, which is part of one document, and one span.
@@ -33,11 +33,9 @@ from .arrays import hashed_words, long_array, window_hashes
 from .signature_join import _by_id
 
 WINDOW = 13
-ANCHOR = 5
+ANCHOR = 7
 # spans that one task compares with one shard
-SPANS_PER_TASK = 4096
-# a run of documents with one anchor is passed on in pieces of this size
-PIECE = 1 << 16
+SPANS_PER_TASK = 1024
 
 
 # --- anchors -----------------------------------------------------------------------------------
@@ -55,28 +53,13 @@ def anchors(hashes: np.ndarray, width: int) -> np.ndarray:
     return best
 
 
-def _active(ranges: list[int] | None, windows: int) -> np.ndarray:
-    """Which windows take part: all without ranges, else those from each begin up to its end."""
-    if ranges is None:
-        return np.ones(windows, bool)
-    marks = np.zeros(windows + 1, np.int64)
-    bounds = np.array(ranges, np.int64).reshape(-1, 2)
-    np.add.at(marks, bounds[:, 0], 1)
-    np.add.at(marks, bounds[:, 1], -1)
-    return np.cumsum(marks[:-1]) > 0
-
-
 def _anchor_rows(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch["doc_id"].to_numpy()
-            ranges = batch["ranges"].to_pylist()
             grams, docs = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
             for row, hashes in hashed_words(batch["text"], lower=False):
-                found = anchors(hashes, width)
-                if ranges[row] is not None:
-                    found = found[_active(ranges[row], len(found))]
-                found = np.unique(found)
+                found = np.unique(anchors(hashes, width))
                 grams.append(found)
                 docs.append(np.full(len(found), ids[row]))
             yield pa.RecordBatch.from_arrays(
@@ -122,25 +105,33 @@ def _homes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by doc and gram: one row per document with its shared grams and their homes."""
     doc, grams, homes = None, [], []
+    rows: list[tuple[int, bytes, bytes]] = []
+
+    def close():
+        if doc is not None:
+            rows.append((doc, *(np.concatenate(c).astype(np.int64).tobytes() for c in (grams, homes))))
 
-    def row():
-        packed = [np.concatenate(c).astype(np.int64).tobytes() for c in (grams, homes)]
+    def out():
+        ids, *lists = zip(*rows)
+        rows.clear()
         return pa.RecordBatch.from_arrays(
-            [pa.array([doc], pa.int64()), *[pa.array([p], pa.binary()) for p in packed]], names=["doc_id", "grams", "homes"]
+            [pa.array(ids, pa.int64()), *[pa.array(c, pa.binary()) for c in lists]], names=["doc_id", "grams", "homes"]
         )
 
     for batch in batches:
         ids, g, h = (batch[c].to_numpy() for c in ("doc", "gram", "home"))
         bounds = np.concatenate([[0], np.flatnonzero(np.diff(ids) != 0) + 1, [len(ids)]]) if len(ids) else [0]
         for a, b in zip(bounds, bounds[1:]):
-            if doc is not None and ids[a] != doc:
-                yield row()
-                grams, homes = [], []
-            doc = int(ids[a])
+            if ids[a] != doc:
+                close()
+                doc, grams, homes = int(ids[a]), [], []
             grams.append(g[a:b])
             homes.append(h[a:b])
-    if doc is not None:
-        yield row()
+        if rows:
+            yield out()
+    close()
+    if rows:
+        yield out()
 
 
 def _spans(width: int):
@@ -148,7 +139,7 @@ def _spans(width: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = {c: batch[c].to_pylist() for c in ("doc_id", "tie", "text", "ranges", "grams", "homes")}
+            columns = {c: batch[c].to_pylist() for c in ("doc_id", "tie", "start", "text", "grams", "homes")}
             rows = []
             for row, hashes in hashed_words(batch["text"], lower=False):
                 found = anchors(hashes, width).view(np.int64)
@@ -160,16 +151,16 @@ def _spans(width: int):
                 grams, homes = grams[order], homes[order]
                 at = np.searchsorted(grams, found)
                 at[at == len(grams)] = 0
-                use = (grams[at] == found) & _active(columns["ranges"][row], len(found))
-                starts = np.flatnonzero(use)
+                starts = np.flatnonzero(grams[at] == found)
                 if not len(starts):
                     continue
                 home = homes[at[starts]]
                 fresh = np.flatnonzero((np.diff(starts, prepend=-2) > 1) | (np.diff(home, prepend=home[0]) != 0))
                 words = (columns["text"][row] or "").encode().split()
+                place = columns["doc_id"][row], columns["tie"][row]
                 for a, b in zip(fresh, np.append(fresh[1:], len(starts))):
                     begin, end = int(starts[a]), int(starts[b - 1]) + WINDOW
-                    rows.append((int(home[a]), columns["doc_id"][row], columns["tie"][row], begin, b" ".join(words[begin:end])))
+                    rows.append((int(home[a]), *place, columns["start"][row] + begin, b" ".join(words[begin:end])))
             parts = list(zip(*rows)) or [()] * 5
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
             yield pa.RecordBatch.from_arrays(
@@ -243,9 +234,9 @@ def _runs(flags: np.ndarray) -> np.ndarray:
 
 
 def _matched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (home, part), reference first: runs of windows found in it, and runs that are not."""
+    """Rows sorted by (home, part), reference first: runs of windows found in it, and the words of those that are not."""
     key, automaton = None, SuffixAutomaton()
-    names = ("doc", "tie", "begin", "end", "found")
+    names = ("doc", "tie", "begin", "end", "left")
     for batch in batches:
         rows = []
         for home, part, doc, tie, start, text in zip(
@@ -259,10 +250,13 @@ def _matched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             lengths = np.fromiter(automaton.matches(words), np.int64, len(words))
             found = lengths[WINDOW - 1 :] >= WINDOW
-            for flag, runs in ((True, _runs(found)), (False, _runs(~found))):
-                rows += [(doc, tie, start + int(a), start + int(b), flag) for a, b in runs]
+            rows += [(doc, tie, start + int(a), start + int(b), None) for a, b in _runs(found)]
+            rows += [
+                (doc, tie, start + int(a), start + int(b), b" ".join(words[a : b + WINDOW - 1]).decode())
+                for a, b in _runs(~found)
+            ]
         parts = list(zip(*rows)) or [()] * 5
-        kinds = (*[pa.int64()] * 4, pa.bool_())
+        kinds = (*[pa.int64()] * 4, pa.string())
         yield pa.RecordBatch.from_arrays([pa.array(p, k) for p, k in zip(parts, kinds)], names=names)
 
 
@@ -270,11 +264,11 @@ def _matched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _round(docs: DataFrame, width: int) -> DataFrame:
-    """doc, tie, begin, end, found: runs of windows (by start) and whether their home has them.
+    """doc, tie, begin, end, left: runs of windows (by start) that their home has, or the words of those it lacks.
 
-    `docs`: doc_id, tie, text, ranges.
+    `docs`: doc_id, tie, start (the place of the text's first word), text.
     """
-    rows = docs.select("doc_id", "text", "ranges").mapInArrow(_anchor_rows(width), "gram long, doc long")
+    rows = docs.select("doc_id", "text").mapInArrow(_anchor_rows(width), "gram long, doc long")
     homes = rows.repartition("gram").sortWithinPartitions("gram", "doc").mapInArrow(
         _homes, "gram long, doc long, home long"
     )
@@ -297,7 +291,7 @@ def _round(docs: DataFrame, width: int) -> DataFrame:
     every = F.sequence(F.lit(0), F.col("parts") - 1)
     dealt = dealt.withColumn("part", F.explode(F.when(F.col("doc") == F.col("home"), every).otherwise(F.array(part))))
     ordered = dealt.drop("parts").repartition("home", "part").sortWithinPartitions("home", "part", "doc", "tie", "start")
-    return ordered.mapInArrow(_matched, "doc long, tie long, begin long, end long, found boolean")
+    return ordered.mapInArrow(_matched, "doc long, tie long, begin long, end long, left string")
 
 
 def _range_lists(runs: DataFrame, name: str) -> DataFrame:
@@ -308,11 +302,18 @@ def _range_lists(runs: DataFrame, name: str) -> DataFrame:
     ), name)
 
 
-def _with_ranges(docs: DataFrame, lists: DataFrame, how: str) -> DataFrame:
-    """Texts with their ranges; by broadcast while the ranges are few, so texts do not move."""
-    total = lists.agg(F.sum(F.size("bounds") + 2)).first()[0] or 0
-    lists = F.broadcast(lists) if total <= BROADCAST_VALUES else lists
-    return docs.join(lists, ["doc_id", "tie"], how)
+def _with_ranges(docs: DataFrame, lists: DataFrame) -> DataFrame:
+    """All texts with their ranges or NULL. While the ranges are few they are broadcast; beyond, while the
+    ids are few, only texts that have ranges move."""
+    total, ids = lists.agg(F.sum(F.size("bounds") + 2), F.count(F.lit(1))).first()
+    if (total or 0) <= BROADCAST_VALUES:
+        return docs.join(F.broadcast(lists), ["doc_id", "tie"], "left")
+    if ids > BROADCAST_VALUES:
+        return docs.join(lists, ["doc_id", "tie"], "left")
+    places = F.broadcast(lists.select("doc_id"))
+    rest = docs.join(places, "doc_id", "left_anti").withColumn("bounds", F.lit(None).cast("array<bigint>"))
+    some = docs.join(places, "doc_id", "left_semi").join(lists, ["doc_id", "tie"], "left")
+    return some.unionByName(rest)
 
 
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -352,11 +353,11 @@ def repeated_ranges(docs: DataFrame) -> DataFrame:
         "copy-ids",
     )
     only = _by_id(docs.filter(F.col("doc_id").isNotNull()), gone, "left_anti")
-    first = written(_round(only.withColumn("ranges", F.lit(None).cast("array<bigint>")), ANCHOR), "first-round")
-    left = _range_lists(first.filter("not found"), "left-over")
-    again = _with_ranges(only, left, "inner").withColumnRenamed("bounds", "ranges")
-    second = written(_round(again, WINDOW), "second-round")
-    found = first.filter("found").union(second.filter("found"))
+    first = written(_round(only.withColumn("start", F.lit(0).cast("long")), ANCHOR), "first-round")
+    left = first.filter(F.col("left").isNotNull())
+    left = left.select(F.col("doc").alias("doc_id"), "tie", F.col("begin").alias("start"), F.col("left").alias("text"))
+    second = written(_round(left, WINDOW), "second-round")
+    found = first.filter(F.col("left").isNull()).union(second.filter(F.col("left").isNull()))
     # windows by start cover WINDOW words each
     covered = found.select("doc", "tie", "begin", (F.col("end") + (WINDOW - 1)).alias("end"))
     whole = copies.select("doc", "tie", F.lit(0).cast("long").alias("begin"), F.col("n_words").alias("end"))
@@ -393,7 +394,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = rows.withColumn("tie", F.xxhash64("text"))
-    cut = _with_ranges(rows, repeated_ranges(rows), "left")
+    cut = _with_ranges(rows, repeated_ranges(rows))
     return cut.select("doc_id", "text", "bounds").mapInArrow(
         _cut, "doc_id long, n_words long, n_removed long, kept string"
     )
