@@ -31,7 +31,7 @@ def powers(base: np.uint64, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-def text_slices(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def text_slices(texts: pa.Array, size: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, row after the last, bytes, row starts and end within them); NULL is empty."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
@@ -41,7 +41,7 @@ def text_slices(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndar
     data = np.frombuffer(data, np.uint8) if data is not None and data.size else np.empty(0, np.uint8)
     row = 0
     while row < len(texts):
-        end = max(row + 1, int(np.searchsorted(offsets, offsets[row] + SLICE_BYTES, "right")) - 1)
+        end = max(row + 1, int(np.searchsorted(offsets, offsets[row] + size, "right")) - 1)
         end = min(end, len(texts))
         yield row, end, data[offsets[row] : offsets[end]], offsets[row : end + 1] - offsets[row]
         row = end
@@ -114,6 +114,13 @@ def common(a: np.ndarray, b: np.ndarray) -> int:
     return int((large[at] == small).sum()) if len(large) else 0
 
 
+def bytes_of(values: pa.LargeBinaryArray) -> list[bytes]:
+    """The values as Python bytes."""
+    offsets = np.frombuffer(values.buffers()[1], np.int64)[values.offset : values.offset + len(values) + 1].tolist()
+    data = values.buffers()[2].to_pybytes() if values.buffers()[2] is not None else b""
+    return [data[a:b] for a, b in zip(offsets, offsets[1:])]
+
+
 def long_array(values) -> pa.Array:
     """Unsigned hashes as the signed 64-bit numbers that Spark holds."""
     return pa.array(np.asarray(values).view(np.int64) if len(values) else np.empty(0, np.int64), pa.int64())

@@ -16,6 +16,8 @@ and documents of one doc_id by a hash of their text, so equal ids do not fill on
 """
 
 import os
+import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,15 +27,24 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.attach import attach
-from .arrays import text_slices, word_bounds
+from .arrays import _BLANK, bytes_of, text_slices, word_bounds
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
 SEGMENT_IDS = 1 << 16
 BLOCK_IDS = 256
 PERCENT = 95
-# words whose ids a worker remembers
-REMEMBERED = 400_000
+# words whose ids a worker remembers, and bytes of text in which equal words are looked up once
+REMEMBERED = 600_000
+PORTION_BYTES = 4 << 20
+# pieces of these letters are encoded so many at a time
+LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+JOINED = 1000
+WORD_END = "</w>"
+_LETTER = np.zeros(256, bool)
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
+_STOP = np.zeros(256, bool)
+_STOP[list(b".,;:!?")] = True
 
 _HEADER = np.dtype([("minimum", "<u4"), ("bits", "u1"), ("patches", "<u2")])
 _PATCH = np.dtype([("position", "<u2"), ("value", "<u4")])
@@ -53,15 +64,19 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
 
 
 def _packed(values: np.ndarray, bits: int) -> np.ndarray:
-    """Rows of numbers below 2**bits as rows of bytes."""
-    marks = (values[:, :, None] >> np.arange(bits, dtype=np.uint32)) & np.uint32(1)
-    return np.packbits(marks.astype(np.uint8).reshape(len(values), -1), axis=1, bitorder="little")
+    """Rows of numbers, the low `bits` of each, as rows of bytes."""
+    whole = values.astype("<u2" if bits <= 16 else "<u4")
+    marks = np.unpackbits(whole.view(np.uint8).reshape(*whole.shape, -1), axis=2, bitorder="little")
+    return np.packbits(marks[:, :, :bits].reshape(len(values), -1), axis=1, bitorder="little")
 
 
 def _unpacked(rows: np.ndarray, bits: int) -> np.ndarray:
-    marks = np.unpackbits(rows, axis=1, bitorder="little", count=BLOCK_IDS * bits)
-    marks = marks.reshape(len(rows), BLOCK_IDS, bits).astype(np.uint32)
-    return (marks << np.arange(bits, dtype=np.uint32)).sum(axis=2, dtype=np.uint32)
+    kind = np.dtype("<u2" if bits <= 16 else "<u4")
+    marks = np.zeros((len(rows), BLOCK_IDS, kind.itemsize * 8), np.uint8)
+    marks[:, :, :bits] = np.unpackbits(rows, axis=1, bitorder="little", count=BLOCK_IDS * bits).reshape(
+        len(rows), BLOCK_IDS, bits
+    )
+    return np.packbits(marks, axis=2, bitorder="little").view(kind)[:, :, 0]
 
 
 def encode_blocks(ids: np.ndarray) -> tuple[bytes, bytes]:
@@ -72,19 +87,25 @@ def encode_blocks(ids: np.ndarray) -> tuple[bytes, bytes]:
     full = np.pad(ids.astype(np.uint32), (0, blocks * BLOCK_IDS - len(ids)), "edge").reshape(blocks, BLOCK_IDS)
     minimum = full.min(axis=1)
     differences = full - minimum[:, None]
-    chosen = np.sort(differences, axis=1)[:, -(-PERCENT * BLOCK_IDS // 100) - 1]
+    place = -(-PERCENT * BLOCK_IDS // 100) - 1
+    chosen = np.partition(differences, place, axis=1)[:, place]
     bits = np.ceil(np.log2(chosen.astype(np.float64) + 1)).astype(np.int64)
     late = differences.astype(np.uint64) >> bits[:, None].astype(np.uint64) > 0
+    headers = np.empty(blocks, _HEADER)
+    headers["minimum"], headers["bits"], headers["patches"] = minimum, bits, late.sum(axis=1)
+    row, position = np.nonzero(late)
+    patches = np.empty(len(row), _PATCH)
+    patches["position"], patches["value"] = position, differences[row, position]
+    head, tail = headers.tobytes(), patches.tobytes()
+    ends = np.cumsum(headers["patches"].astype(np.int64)) * _PATCH.itemsize
+    begins = (ends - headers["patches"].astype(np.int64) * _PATCH.itemsize).tolist()
     pieces: list[bytes] = [b""] * blocks
-    for width in np.unique(bits):
+    for width in np.unique(bits).tolist():
         rows = np.flatnonzero(bits == width)
-        body = _packed(differences[rows] & np.uint32((1 << int(width)) - 1), int(width))
-        for row, packed in zip(rows, body):
-            places = np.flatnonzero(late[row])
-            header = np.array([(minimum[row], width, len(places))], _HEADER)
-            patches = np.empty(len(places), _PATCH)
-            patches["position"], patches["value"] = places, differences[row][places]
-            pieces[row] = header.tobytes() + packed.tobytes() + patches.tobytes()
+        body, size = _packed(differences[rows], width).tobytes(), BLOCK_IDS * width // 8
+        for k, i in enumerate(rows.tolist()):
+            header = head[i * _HEADER.itemsize : (i + 1) * _HEADER.itemsize]
+            pieces[i] = header + body[k * size : (k + 1) * size] + tail[begins[i] : ends[i]]
     starts = np.cumsum([0, *map(len, pieces[:-1])]).astype("<u4")
     return starts.tobytes(), b"".join(pieces)
 
@@ -101,22 +122,31 @@ def decode_blocks(block_starts: bytes, payload: bytes, n_ids: int) -> np.ndarray
         rows = np.flatnonzero(bits == width)
         at = starts[rows, None] + _HEADER.itemsize + np.arange(BLOCK_IDS * width // 8)
         out[rows] = _unpacked(data[at], int(width))
-    for row in np.flatnonzero(headers["patches"]):
-        begin = starts[row] + _HEADER.itemsize + BLOCK_IDS * bits[row] // 8
-        end = begin + int(headers["patches"][row]) * _PATCH.itemsize
-        patches = data[begin:end].view(_PATCH)
-        out[row, patches["position"]] = patches["value"]
+    count = headers["patches"].astype(np.int64)
+    row = np.repeat(np.arange(len(starts)), count)
+    inside = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    at = (starts + _HEADER.itemsize + BLOCK_IDS * bits // 8)[row] + inside * _PATCH.itemsize
+    patches = data[at[:, None] + np.arange(_PATCH.itemsize)].copy().view(_PATCH)[:, 0]
+    out[row, patches["position"]] = patches["value"]
     return (out + headers["minimum"][:, None]).reshape(-1)[:n_ids]
 
 
 # --- encoding ----------------------------------------------------------------------------------
 
 
+def _with_cuts(places: np.ndarray, cuts: np.ndarray, size: int) -> np.ndarray:
+    marks = np.zeros(size + 1, bool)
+    marks[places] = marks[cuts] = True
+    return np.flatnonzero(marks)
+
+
 class WordEncoder:
     """Token ids of texts through those of their words.
 
-    This tokenizer drops white space before it splits a text, so no token spans two words of the
-    pattern [^\\x20\\x09-\\x0D]+ and a text's ids are those of its words in a row.
+    This tokenizer drops white space before it splits a text, and parts letters from punctuation. So
+    no token spans two words, or a letter and a full stop after it, and a text's ids are those of
+    such pieces in a row. Pieces of plain letters are encoded many at a time: each ends with the one
+    token that ends a word.
     """
 
     def __init__(self, path: str):
@@ -125,38 +155,58 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
-
-    def _word_ids(self, words: list[bytes]) -> list[bytes]:
-        found = [self.known.get(w) for w in words]
-        missing = [i for i, ids in enumerate(found) if ids is None]
-        encoded = self.tokenizer.encode_batch_fast([words[i].decode() for i in missing], add_special_tokens=False)
-        for i, e in zip(missing, encoded):
-            found[i] = np.array(e.ids, np.uint32).tobytes()
-            if len(self.known) < REMEMBERED:
-                self.known[words[i]] = found[i]
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[i for t, i in vocabulary.items() if t.endswith(WORD_END)]] = True
+
+    def _encode(self, pieces: list[str]) -> list[bytes]:
+        encoded = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
+        return [array("I", e.ids).tobytes() for e in encoded]
+
+    def _encode_letters(self, pieces: list[str]) -> list[bytes]:
+        out = []
+        for k in range(0, len(pieces), JOINED):
+            some = pieces[k : k + JOINED]
+            ids = np.frombuffer(self._encode([" ".join(some)])[0], np.uint32)
+            ends = np.flatnonzero(self.ends_word[ids]) + 1
+            if len(ends) != len(some):
+                raise ValueError("this tokenizer does not end each word of letters with one token")
+            out += [ids[a:b].tobytes() for a, b in zip([0, *ends], ends)]
+        return out
+
+    def _piece_ids(self, pieces: list[bytes]) -> list[bytes]:
+        found = [self.known.get(p) for p in pieces]
+        new = [(i, pieces[i].decode()) for i, ids in enumerate(found) if ids is None]
+        for letters, encode in ((True, self._encode_letters), (False, self._encode)):
+            some = [(i, p) for i, p in new if bool(LETTERS.fullmatch(p)) is letters]
+            for (i, _), ids in zip(some, encode([p for _, p in some])):
+                found[i] = ids
+                if len(self.known) < REMEMBERED:
+                    self.known[pieces[i]] = ids
         return found
 
     def slices(self, texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """(first row, ids, number of ids of each row) for portions of the texts; NULL has none."""
-        for first, end, data, starts in text_slices(texts):
-            begin, stop, rows = word_bounds(data, starts)
+        for first, end, data, starts in text_slices(texts, PORTION_BYTES):
+            begin, stop, _ = word_bounds(data, starts)
+            cuts = np.flatnonzero(_STOP[data[1:]] & _LETTER[data[:-1]]) + 1
+            begin, stop = _with_cuts(begin, cuts, len(data)), _with_cuts(stop, cuts, len(data))
+            rows = np.searchsorted(begin, starts)
             lengths = stop - begin
-            inside = np.zeros(len(data) + 1, np.int8)
-            inside[begin] += 1
-            inside[stop] -= 1
             offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
-            joined = data[np.cumsum(inside[:-1], dtype=np.int8).astype(bool)]
+            joined = data[~_BLANK[data]]  # the words, one behind the other
             words = pa.LargeBinaryArray.from_buffers(
                 pa.large_binary(), len(begin), [None, pa.py_buffer(offsets), pa.py_buffer(joined)]
             ).dictionary_encode()
-            known = self._word_ids(words.dictionary.to_pylist())
+            known = self._piece_ids(bytes_of(words.dictionary))
             flat = np.frombuffer(b"".join(known), np.uint32)
             sizes = np.array([len(k) // 4 for k in known], np.int64)
             which = words.indices.to_numpy()
             count = sizes[which] if len(which) else np.empty(0, np.int64)
-            upto = np.concatenate([[0], np.cumsum(count)])
-            at = np.repeat((np.cumsum(sizes) - sizes)[which] - upto[:-1], count) + np.arange(upto[-1])
-            yield first, flat[at.astype(np.int64)], np.diff(upto[rows])
+            upto = np.concatenate([[0], np.cumsum(count)]).astype(np.int64)
+            at = np.repeat((np.cumsum(sizes) - sizes)[which] - upto[:-1], count)
+            at += np.arange(upto[-1])
+            yield first, flat[at], np.diff(upto[rows])
 
 
 _ENCODERS: dict[str, WordEncoder] = {}  # a worker keeps its words from task to task

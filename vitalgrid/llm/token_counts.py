@@ -19,7 +19,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import _BLANK, text_slices
+from .arrays import _BLANK, bytes_of, text_slices
 
 TOKENIZER = "byte_bpe_50k.json"
 LIMIT = 1024
@@ -141,7 +141,7 @@ def slice_counts(table: MergeTable, data: np.ndarray, starts: np.ndarray) -> np.
     chunks = pa.LargeBinaryArray.from_buffers(
         pa.large_binary(), len(begin), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))]
     ).dictionary_encode()
-    sizes = table.chunk_counts(chunks.dictionary.to_pylist())
+    sizes = table.chunk_counts(bytes_of(chunks.dictionary))
     upto = np.concatenate([[0], np.cumsum(sizes[chunks.indices.to_numpy()])]) if len(begin) else np.zeros(1, np.int64)
     rows = np.searchsorted(begin, starts)
     out = np.diff(upto[rows])
