@@ -22,6 +22,8 @@ from .text import ascii_lower, packed, unpacked, words
 PERCENT = 80
 SHINGLE = 5
 SPARE = 4
+# machine words that a shingle's text takes, for the size of a broadcast
+WORDS_OF_SHINGLE = 6
 
 
 def _windows(array: str, width: int, join) -> Column:
@@ -97,7 +99,9 @@ def _contained(rows: DataFrame, benchmark: DataFrame) -> DataFrame:
     split = texts.select(
         F.col("doc_id").alias("_key"), "_doc_id", "item_id", words(ascii_lower(F.col("_text"))).alias("_words")
     )
-    both = attach(split, found.select("item_id", "width", "shingles", "n"), ["item_id"], computed=True)
+    count, shingles = found.agg(F.count(F.lit(1)), F.sum("n")).first()
+    width = 3 + WORDS_OF_SHINGLE * (shingles or 0) // max(count, 1)
+    both = attach(split, found.select("item_id", "width", "shingles", "n"), ["item_id"], width=width, computed=True)
     own = _windows("_words", SHINGLE, lambda *w: F.concat_ws(" ", *w))
     for width in range(1, SHINGLE):
         own = F.when(F.col("width") == width, _windows("_words", width, lambda *w: F.concat_ws(" ", *w))).otherwise(own)

@@ -27,6 +27,10 @@ class Rule:
     verdict: str
     rank: int = 0
 
+    def __post_init__(self):
+        if not self.literals:
+            raise ValueError(f"rule {self.name!r} names no literal token, so no URL can fetch it")
+
 
 def host_rule(verdict: str, host: str, path: str) -> Rule:
     """Fits the host and its subdomains where the path starts with `path`."""
@@ -115,7 +119,10 @@ def judged_urls(pages: DataFrame, rules: Sequence[Rule] = HOST_RULES + PATTERN_R
     rows = rows.withColumn("place", F.concat("host", "path"))
     places = written(rows.select("place").distinct(), "places")
     best = written(fitting(places, rule_table(pages.sparkSession, rules)), "url-rules")
-    joined = attach(rows, best, ["place"], computed=True)
+    n, letters = best.agg(F.count(F.lit(1)), F.sum(F.length("place"))).first()
+    # a place counts by its length, so that long URLs are not broadcast for being few
+    width = len(best.columns) + (letters or 0) // (8 * max(n, 1))
+    joined = attach(rows, best, ["place"], width=width, computed=True)
     return joined.select(
         "page_id", "host", "path",
         F.when(F.col("rank") > 0, F.col("name")).alias("rule"),
