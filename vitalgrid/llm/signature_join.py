@@ -42,7 +42,7 @@ MAX_FREQUENT = 1 << 18
 # frequencies are counted below this part of the hash range: prefixes seldom reach beyond
 COUNTED_PART = 0.35
 # documents of a block in one task, and bits of the widest bitmap
-MEMBERS = 1024
+MEMBERS = 512
 MAX_BITS = 1 << 16
 FANOUT = 8
 # pairs that one task compares with one set
