@@ -46,7 +46,7 @@ MEMBERS = 512
 MAX_BITS = 1 << 16
 FANOUT = 8
 # pairs that one task compares with one set
-PAIRS_PER_TASK = 512
+PAIRS_PER_TASK = 128
 
 
 def prefix_length(n: int) -> int:
