@@ -4,6 +4,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tests.llm import brute
 from vitalgrid.llm import decontaminate, mixing, quality
 
@@ -133,6 +134,24 @@ def test_sample_has_the_target_shares(spark):
         assert sample[column].value_counts(normalize=True).to_dict() == pytest.approx((before / before.sum()).to_dict(), abs=0.02)
 
 
+def test_a_rare_cell_does_not_shrink_the_sample(spark, smoke_dir):
+    """One document of a new source lets the rest stay; the least share is met by repeats, with the same targets."""
+    rows = [(i, "some words of text here", "en" if i % 4 else "de", "big" if i % 10 else "small") for i in range(20_000)]
+    table = spark.createDataFrame([*rows, (20_000, "rare", "en", "new")], "doc_id long, text string, lang string, source string")
+    cell = mixing.cells(mixing._weighed(table))
+    fitted = mixing.raked(cell, mixing.tempered(cell))
+    assert fitted.agg(F.sum(F.col("tokens") * F.col("probability"))).first()[0] < 0.2 * 100_001
+    assert mixing.mixed_documents(table).count() < 0.2 * 20_001
+    sample = corpus_pipeline.target_weights(spark, table, smoke_dir)
+    assert sample.columns == table.columns
+    found = sample.toPandas()
+    assert len(found) == pytest.approx(0.25 * 20_001, rel=0.05)
+    assert (found["source"] == "new").sum() > 1
+    before = table.toPandas()["source"].value_counts(normalize=True) ** mixing.TEMPER
+    shares = found["source"].value_counts(normalize=True)
+    assert shares["small"] == pytest.approx((before / before.sum())["small"], abs=0.02)
+
+
 def test_uniform_equals_sql(spark):
     ours = [r[0] for r in spark.range(50).select(mixing.uniform(F.col("id"))).collect()]
     theirs = duckdb.sql("SELECT ('0x' || substr(md5(i::VARCHAR), 1, 13))::BIGINT / pow(2, 52) FROM range(50) t(i)").fetchall()

@@ -5,6 +5,11 @@ the cells of each source, then language, then topic, to its target. The ratio of
 its own weight, divided by the largest ratio, is the probability with which its documents are
 sampled, so the expected tokens of the sample have the target shares in all three dimensions.
 
+One rare cell can have a ratio far above all others, and that scale then keeps little of the rest.
+`mixed_documents` takes a least share of the tokens: below it all probabilities are raised by one
+factor, and a document whose probability passes 1 is repeated, its whole part for certain and its
+fraction by one draw. The target shares stay exact, and no document is dropped for a rare cell.
+
 Only cell totals are fitted, never documents; a hot source adds one row per cell and task. While there
 are at most `LOCAL_CELLS` cells they lie in one partition, where sweeps need no shuffle. Each portion
 of sweeps is written, so the plan does not grow with their number.
@@ -124,9 +129,18 @@ def _weighed(docs: DataFrame) -> DataFrame:
     )
 
 
-def _sampled(rows: DataFrame, targets: dict[str, DataFrame] | None) -> DataFrame:
+def raised(fitted: DataFrame, least_share: float) -> DataFrame:
+    """Cells with all probabilities times one factor, so that `least_share` of the tokens is expected at least."""
+    kept, everything = fitted.agg(F.sum(F.col("tokens") * F.col("probability")), F.sum("tokens")).first()
+    if not kept or kept >= least_share * everything:
+        return fitted
+    return fitted.withColumn("probability", F.col("probability") * F.lit(least_share * everything / kept))
+
+
+def _sampled(rows: DataFrame, targets: dict[str, DataFrame] | None, least_share: float = 0.0) -> DataFrame:
     totals = written(cells(rows), "cells")
-    fitted = written(raked(totals, targets or tempered(totals)), "fitted").select(*DIMENSIONS, "probability", "calibrated")
+    fitted = written(raked(totals, targets or tempered(totals)), "fitted")
+    fitted = raised(fitted, least_share).select(*DIMENSIONS, "probability", "calibrated")
     joined = attach(rows, fitted, DIMENSIONS, computed=True)
     return joined.withColumns({
         "probability": F.coalesce(F.when(F.col("tokens") > 0, F.col("probability")), F.lit(0.0)),
@@ -149,6 +163,16 @@ def mixture(docs: DataFrame, targets: dict[str, DataFrame] | None = None) -> Dat
     )
 
 
-def mixed_documents(docs: DataFrame, targets: dict[str, DataFrame] | None = None) -> DataFrame:
-    """The sampled rows of `docs`, with its columns."""
-    return unpacked(_sampled(written(_weighed(docs), "weighed"), targets).filter("sampled"), docs.columns)
+def mixed_documents(
+    docs: DataFrame, targets: dict[str, DataFrame] | None = None, least_share: float = 0.0
+) -> DataFrame:
+    """The sampled rows of `docs`, with its columns.
+
+    The sample is expected to hold `least_share` of the tokens at least, by repeated rows where
+    probabilities pass 1. At 0, or when the share is reached without, no row is repeated.
+    """
+    rows = _sampled(written(_weighed(docs), "weighed"), targets, least_share)
+    repeats = F.floor("probability").cast("int")
+    draw = (uniform(F.col("_doc_id")) < F.col("probability") - repeats).cast("int")
+    chosen = rows.withColumn("copies", repeats + draw).filter("copies > 0")
+    return unpacked(chosen.withColumn("copy", F.explode(F.sequence(F.lit(1), "copies"))), docs.columns)
