@@ -178,6 +178,17 @@ def test_small_pages(html, text):
     assert html_text.render(html) == text
 
 
+@pytest.mark.parametrize("html, text", [
+    ("<html><head><title>T</title><p>Hello <b>you</b><p>there", "Hello you\n\nthere"),
+    ("<head><meta charset=utf-8><link rel=x><style>s</style><script>j</script> words", "words"),
+    ("<head><title>T</title><span>a</span></head>b", "ab"),
+    ("<head><noscript><link></noscript><template><p>no</p></template><title>T</title><h1>a</h1>", "a"),
+    ("<head>\n <title>T</title>\n</head>\n<body>a", "a"), ("<p>a</p><head><div>b</div>", "a\n\nb"),
+])
+def test_head_may_be_left_open(html, text):
+    assert html_text.render(html) == text
+
+
 @given(st.text(alphabet="<>/!-ptdrliu&; ab\"'=[", max_size=120))
 @settings(deadline=None)
 def test_any_page_renders(html):

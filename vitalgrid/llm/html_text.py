@@ -45,6 +45,8 @@ ENDS = {
     "tfoot": (("thead", "tbody", "tfoot", "caption", "colgroup"), _TABLE),
     "body": (("head",), ()),
 }
+# all that an open head holds; any other element, or text that is not blank, ends it
+IN_HEAD = frozenset("base link meta title style script noscript noframes template".split())
 ENDS_PARAGRAPH = BLOCK - frozenset("html body tbody td tfoot th thead tr caption".split())
 # an end tag is not looked for outside the cell or table it stands in
 SCOPE = frozenset("table td th caption".split())
@@ -68,7 +70,13 @@ class TreeBuilder(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.open = [Node("root", {})]
 
+    def _end_head(self) -> None:
+        if self.open[-1].tag == "head":
+            self.open.pop()
+
     def _end_implied(self, tag: str) -> None:
+        if tag not in IN_HEAD and tag != "head":
+            self._end_head()
         ended, limit = ENDS.get(tag, ((), ()))
         if tag in ENDS_PARAGRAPH:
             self._close_within(("p",), tuple(SCOPE))
@@ -99,6 +107,8 @@ class TreeBuilder(HTMLParser):
         self._close_within((tag,), tuple(SCOPE - {tag}) if tag not in ("table", "tr", "tbody", "thead", "tfoot", "body", "html") else ())
 
     def handle_data(self, data):
+        if data.strip(" \t\n\r\f"):
+            self._end_head()
         self.open[-1].children.append(data)
 
 
