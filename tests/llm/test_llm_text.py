@@ -189,6 +189,30 @@ def test_head_may_be_left_open(html, text):
     assert html_text.render(html) == text
 
 
+@pytest.mark.parametrize("html, text", [
+    ("let <math><mi>x</mi>\n <mo>=</mo><mfrac><mn>1</mn><mn>2</mn></mfrac></math> hold", "let x=1 2 hold"),
+    ("<math><semantics><mi>y</mi><annotation>\\y</annotation></semantics></math>", "y"),
+    ("<svg><title>no</title><defs><text>no</text></defs><rect/><text x=1>Load</text><text>Time <tspan>s</tspan></text>no</svg> b", "Load Time s b"),
+    ("<svg><switch><foreignObject><div>Box</div></foreignObject><text>Box</text></switch><g display=none><text>no</text></g></svg>", "Box"),
+    ("<svg><defs/><text>a</text><path d=x><p>out", "a\n\nout"), ("<math/>after", "after"), ("<svg hidden><text>a</text></svg>b", "b"),
+    ("<textarea>one &amp; <b>two</b>\n  three</textarea>end", "one & <b>two</b>\n  three\nend"), ("<textarea>open", "open"),
+    ("Hue <select><option>red<option selected>blue<option>tan</select>!", "Hue blue!"),
+    ("<select><option disabled>no<optgroup disabled><option>no<optgroup label=g><option> a  b </select>", "a b"),
+    ("<select><option selected hidden label=Pick>x<option>y</select>", "Pick"),
+    ("in<select multiple><option>a<optgroup label=g><option>b</select>", "in\na\ng\nb"), ("<pre>a <select><option>b</select></pre>", "a b"),
+    ("<ul><li>a<textarea>b</textarea></ul><select></select>", "- a\n  b"),
+])
+def test_formulas_drawings_and_forms(html, text):
+    assert html_text.render(html) == text
+
+
+@given(st.lists(st.sampled_from("<svg> </svg> <math> </math> <mi> <text> <textarea> </textarea> <select> <option> <optgroup> <p> <g/> <svg/> a <td> <pre>".split()), max_size=30))
+@settings(deadline=None)
+def test_any_foreign_page_renders(tags):
+    html_text.render("".join(tags))
+    html_text.render("".join(tags) * 300)
+
+
 @given(st.text(alphabet="<>/!-ptdrliu&; ab\"'=[", max_size=120))
 @settings(deadline=None)
 def test_any_page_renders(html):

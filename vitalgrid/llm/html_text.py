@@ -7,14 +7,20 @@ cell or row) and ignores end tags that close nothing. The renderer then writes
 - each block on lines of its own, paragraphs, headings, lists and tables with an empty line around;
 - list items behind "- " or their number, nested lists indented;
 - tables with their cells padded to the width of their column;
-- `pre` with its white space, other text with runs of white space as one blank.
-
-Nothing that a browser shows is left out: navigation, advertisements and footers are text like any
-other. Not shown: head, scripts, styles, templates, form choices other than the labels,
-comments, and elements hidden by attribute or inline style.
+- `pre` and `textarea` with their white space, other text with runs of white space as one blank;
+- of a menu (`select`) the chosen option, of a list box all options, on lines of their own;
+- formulas (`math`) without annotations, parts of fractions and tables apart by a blank;
+- labels of drawings (`svg`), apart by a blank.
+
+No text that a browser shows is left out: navigation, advertisements and footers are text like any
+other. Not shown: head, scripts, styles, templates, comments, titles, choices that are not picked,
+what stands in for media that a browser plays or embeds (object, video, audio, canvas, iframe), definitions
+in drawings, and elements hidden by attribute or inline style. Values of attributes (of `input`, `img`)
+are not text, apart from the label of an option; style sheets and references inside drawings are not followed.
 """
 
 from collections.abc import Iterator
+from html import unescape
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -24,7 +30,7 @@ from pyspark.sql import functions as F
 
 # fixed values of HTML: elements without content, and groups of elements by their default layout
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
-UNSEEN = frozenset("head script style template noscript title datalist select textarea svg math object video audio canvas iframe".split())
+UNSEEN = frozenset("head script style template noscript title datalist object video audio canvas iframe".split())
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl table pre blockquote figure article section".split())
 BLOCK = SPACED | frozenset(
     "address aside body caption center dd details dialog dir div dt fieldset figcaption footer form header hgroup hr "
@@ -44,10 +50,26 @@ ENDS = {
     "thead": (("thead", "tbody", "tfoot", "caption", "colgroup"), _TABLE),
     "tfoot": (("thead", "tbody", "tfoot", "caption", "colgroup"), _TABLE),
     "body": (("head",), ()),
+    "option": (("option",), ("select", "datalist", "optgroup")),
+    "optgroup": (("optgroup",), ("select", "datalist")),
 }
 # all that an open head holds; any other element, or text that is not blank, ends it
 IN_HEAD = frozenset("base link meta title style script noscript noframes template".split())
 ENDS_PARAGRAPH = BLOCK - frozenset("html body tbody td tfoot th thead tr caption".split())
+# elements of HTML that end an open formula or drawing, unless they stand in a part of it that holds HTML
+ENDS_FOREIGN = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr "
+    "ol p pre ruby s small span strong strike sub sup table tt u ul var".split()
+)
+TOKENS = frozenset("mi mo mn ms mtext".split())
+HOLDS_HTML = TOKENS | frozenset("foreignobject desc title annotation-xml".split())
+FOREIGN = frozenset(("svg", "math"))
+# elements whose shown text is not that of their children one after the other
+OWN_TEXT = FOREIGN | frozenset(("select", "textarea"))
+# parts of drawings and formulas that are not drawn, and parts of formulas that stand side by side or above each other
+UNDRAWN = frozenset("defs desc metadata symbol clippath mask marker pattern lineargradient radialgradient filter".split())
+UNDRAWN_MATH = frozenset("annotation annotation-xml mphantom".split())
+APART = frozenset("mfrac mroot mtable mtr mlabeledtr munder mover munderover".split())
 # an end tag is not looked for outside the cell or table it stands in
 SCOPE = frozenset("table td th caption".split())
 HIDDEN_STYLE = regex.compile(r"(?i)(^|;)\s*(display\s*:\s*none|visibility\s*:\s*(hidden|collapse))\b")
@@ -69,6 +91,7 @@ class TreeBuilder(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.open = [Node("root", {})]
+        self.drawn = False  # whether the page has a formula or drawing
 
     def _end_head(self) -> None:
         if self.open[-1].tag == "head":
@@ -80,6 +103,8 @@ class TreeBuilder(HTMLParser):
         ended, limit = ENDS.get(tag, ((), ()))
         if tag in ENDS_PARAGRAPH:
             self._close_within(("p",), tuple(SCOPE))
+        if tag == "optgroup":
+            self._close_within(("option",), ("optgroup", *limit))
         if ended:
             self._close_within(ended, limit)
 
@@ -91,15 +116,40 @@ class TreeBuilder(HTMLParser):
             if self.open[depth].tag in limit:
                 return
 
-    def handle_starttag(self, tag, attrs):
+    def _foreign(self) -> int:
+        """Where the outermost formula or drawing is open that what follows belongs to; 0 if in none."""
+        found = 0
+        for depth in range(len(self.open) - 1, 0, -1):
+            if self.open[depth].tag in HOLDS_HTML:
+                break
+            if self.open[depth].tag in FOREIGN:
+                found = depth
+        return found
+
+    def _start(self, tag, attrs) -> Node:
+        of_html = tag in ENDS_FOREIGN or (tag == "font" and {"color", "face", "size"} & {k for k, _ in attrs})
+        if self.drawn and of_html and (depth := self._foreign()):
+            del self.open[depth:]
         self._end_implied(tag)
         node = Node(tag, dict(attrs))
         self.open[-1].children.append(node)
-        if tag not in VOID and len(self.open) < DEPTH:
+        self.drawn = self.drawn or tag in FOREIGN
+        if tag == "textarea" and not (self.drawn and self._foreign()):
+            self.set_cdata_mode(tag)  # tags in it are text
+        return node
+
+    def _push(self, node: Node) -> None:
+        if node.tag not in VOID and len(self.open) < DEPTH:
             self.open.append(node)
 
+    def handle_starttag(self, tag, attrs):
+        self._push(self._start(tag, attrs))
+
     def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)
+        node = self._start(tag, attrs)
+        # only formulas, drawings and their parts end at once
+        if not (tag in FOREIGN or self.drawn and self._foreign()):
+            self._push(node)
 
     def handle_endtag(self, tag):
         if tag == "p" and not any(n.tag == "p" for n in self.open):
@@ -109,12 +159,15 @@ class TreeBuilder(HTMLParser):
     def handle_data(self, data):
         if data.strip(" \t\n\r\f"):
             self._end_head()
-        self.open[-1].children.append(data)
+        self.open[-1].children.append(unescape(data) if self.cdata_elem == "textarea" else data)
 
 
 def tree(html: str) -> Node:
     builder = TreeBuilder()
     builder.feed(html)
+    if builder.cdata_elem == "textarea":  # left open: the tokenizer would drop what it holds
+        rest, builder.rawdata = builder.rawdata, ""
+        builder.handle_data(rest)
     builder.close()
     return builder.open[0]
 
@@ -126,6 +179,103 @@ def visible(node: Node) -> bool:
     return not HIDDEN_STYLE.search(a.get("style") or "")
 
 
+def _nodes(node: Node, tag: str) -> Iterator[tuple[Node, bool]]:
+    """Elements with a tag, in order, and whether a group around them is disabled."""
+    for child in node.children:
+        if isinstance(child, Node):
+            if child.tag == tag:
+                yield child, "disabled" in node.attributes and node.tag == "optgroup"
+            else:
+                yield from _nodes(child, tag)
+
+
+def _plain(node: Node) -> str:
+    parts = (c if isinstance(c, str) else _plain(c) if c.tag not in UNSEEN else "" for c in node.children)
+    return SPACE.sub(" ", "".join(parts)).strip(" ")
+
+
+def _option(node: Node) -> str:
+    return (node.attributes.get("label") or "").strip() or _plain(node)
+
+
+def _options(node: Node) -> list[str]:
+    """The options that a form shows: all of a list box; of a menu the last selected, else the first that can be chosen."""
+    if "multiple" in node.attributes or _number(node.attributes.get("size"), 1) > 1:
+        return _listed(node)
+    options = list(_nodes(node, "option"))
+    chosen = [o for o, _ in options if "selected" in o.attributes][-1:]
+    chosen = chosen or [o for o, off in options if not off and "disabled" not in o.attributes][:1]
+    return [_option(o) for o in chosen]
+
+
+def _listed(node: Node) -> list[str]:
+    out = []
+    for child in node.children:
+        if isinstance(child, Node) and visible(child):
+            if child.tag == "option":
+                out.append(_option(child))
+            else:
+                out += [child.attributes.get("label") or ""] * (child.tag == "optgroup") + _listed(child)
+    return out
+
+
+def _drawn(node: Node) -> bool:
+    a = node.attributes
+    return visible(node) and a.get("display") != "none" and a.get("visibility") not in ("hidden", "collapse")
+
+
+def _formula(node: Node) -> str:
+    """The text of a formula; white space between its elements means nothing."""
+    parts = []
+    for child in node.children:
+        if isinstance(child, str):
+            parts.append(SPACE.sub(" ", child).strip(" "))
+        elif child.tag not in UNDRAWN_MATH and _drawn(child):
+            if child.tag in FOREIGN:
+                parts.append(_shown(child))
+            elif child.tag in TOKENS:
+                parts.append(f" {_plain(child)} " if child.tag == "mtext" else _plain(child))
+            else:
+                parts.append(_formula(child))
+    return (" " if node.tag in APART else "").join(filter(None, parts))
+
+
+def _labels(node: Node, inside: bool = False) -> str:
+    """The text of a drawing: only that of its text elements and of the HTML it holds."""
+    parts = []
+    for child in node.children:
+        if isinstance(child, str):
+            parts.append(child if inside else "")
+        elif child.tag in UNDRAWN or not _drawn(child):
+            continue
+        elif child.tag == "foreignobject":
+            parts.append(" " + "\n".join(_lines(child)) + " ")
+        elif child.tag == "switch":
+            holder = Node("g", {})
+            holder.children = [
+                c for c in child.children
+                if isinstance(c, Node) and not {"requiredextensions", "systemlanguage"} & set(c.attributes)
+            ][:1]
+            parts.append(_labels(holder, inside))
+        elif child.tag == "text":
+            parts.append(" " + _labels(child, True) + " ")
+        else:
+            moved = inside and {"x", "y"} & set(child.attributes)
+            parts.append(" " * bool(moved) + _labels(child, inside))
+    return "".join(parts)
+
+
+def _shown(node: Node) -> str:
+    """The text of an element whose children do not simply follow each other."""
+    if node.tag == "math":
+        return _formula(node)
+    if node.tag == "svg":
+        return _labels(node) if _drawn(node) else ""
+    if node.tag == "textarea":
+        return _pre_text(node).strip("\n")
+    return "\n".join(filter(None, _options(node)))
+
+
 class _Layout:
     """Lines as they grow; `gap` asks for an empty line before the next text."""
 
@@ -173,6 +323,14 @@ def _fill(layout: _Layout, node: Node) -> None:
             layout.space()
         elif child.tag in BLOCK:
             _block(layout, child)
+        elif child.tag in OWN_TEXT:
+            shown = _shown(child)
+            if child.tag == "textarea" or child.tag == "select" and "\n" in shown:
+                layout.end_line()
+                if shown.strip():
+                    layout.add(shown.split("\n"))
+            else:
+                layout.text(shown)
         else:
             _fill(layout, child)
 
@@ -202,7 +360,7 @@ def _pre_text(node: Node) -> str:
         if isinstance(child, str):
             parts.append(child.replace("\r\n", "\n").replace("\r", "\n"))
         elif visible(child):
-            parts.append("\n" if child.tag == "br" else _pre_text(child))
+            parts.append("\n" if child.tag == "br" else _shown(child) if child.tag in OWN_TEXT else _pre_text(child))
     return "".join(parts)
 
 
@@ -236,6 +394,10 @@ def _lines_of(node: Node) -> list[str]:
     layout = _Layout()
     if node.tag in BLOCK and node.tag != "li":
         _block(layout, node)
+    elif node.tag in OWN_TEXT:
+        holder = Node("span", {})
+        holder.children = [node]
+        _fill(layout, holder)
     else:
         _fill(layout, node)
     layout.end_line()
