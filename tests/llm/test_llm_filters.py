@@ -152,6 +152,15 @@ def test_a_rare_cell_does_not_shrink_the_sample(spark, smoke_dir):
     assert shares["small"] == pytest.approx((before / before.sum())["small"], abs=0.02)
 
 
+def test_rows_without_id_are_drawn_apart(spark):
+    """Texts without doc_id are sampled as any others: neither all nor none of a cell."""
+    rows = [(None, f"words of text {i}", "en", "big" if i % 20 else "small") for i in range(5_000)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    kept = {r["source"]: r["count"] for r in mixing.mixed_documents(table).groupBy("source").count().collect()}
+    assert kept["small"] == 250
+    assert kept["big"] / 4_750 == pytest.approx(19 ** (mixing.TEMPER - 1), abs=0.03)
+
+
 def test_uniform_equals_sql(spark):
     ours = [r[0] for r in spark.range(50).select(mixing.uniform(F.col("id"))).collect()]
     theirs = duckdb.sql("SELECT ('0x' || substr(md5(i::VARCHAR), 1, 13))::BIGINT / pow(2, 52) FROM range(50) t(i)").fetchall()

@@ -126,11 +126,15 @@ def _weighed(docs: DataFrame) -> DataFrame:
         text_key(F.col("_source")).alias("source"), text_key(F.col("_lang")).alias("lang"),
         topic_of(F.col("_lower")).alias("topic"),
         F.coalesce(F.regexp_count("_text", F.lit(WORD)), F.lit(0)).cast("long").alias("tokens"),
+        # what a row is drawn by: texts without doc_id are told apart
+        F.coalesce(F.col("_doc_id").cast("string"), F.concat(F.lit("text "), F.md5(F.col("_text").cast("binary")))).alias("_drawn_by"),
     )
 
 
 def raised(fitted: DataFrame, least_share: float) -> DataFrame:
     """Cells with all probabilities times one factor, so that `least_share` of the tokens is expected at least."""
+    if not least_share:
+        return fitted
     kept, everything = fitted.agg(F.sum(F.col("tokens") * F.col("probability")), F.sum("tokens")).first()
     if not kept or kept >= least_share * everything:
         return fitted
@@ -156,7 +160,7 @@ def mixture(docs: DataFrame, targets: dict[str, DataFrame] | None = None) -> Dat
     and probability 0. Rows of one doc_id in one cell are sampled together. An empty table gives an
     empty result.
     """
-    rows = written(_weighed(docs).drop("_row"), "weighed")  # texts are read once
+    rows = written(_weighed(docs).drop("_row", "_drawn_by"), "weighed")  # texts are read once
     return _sampled(rows, targets).select(
         F.col("_doc_id").alias("doc_id"), "topic", "tokens",
         F.round("probability", 6).alias("probability"), "calibrated", "sampled",
@@ -169,10 +173,11 @@ def mixed_documents(
     """The sampled rows of `docs`, with its columns.
 
     The sample is expected to hold `least_share` of the tokens at least, by repeated rows where
-    probabilities pass 1. At 0, or when the share is reached without, no row is repeated.
+    probabilities pass 1. At 0, or when the share is reached without, no row is repeated. Rows without
+    doc_id are drawn by their text each; `mixture` gives them one draw, as its SQL does.
     """
     rows = _sampled(written(_weighed(docs), "weighed"), targets, least_share)
     repeats = F.floor("probability").cast("int")
-    draw = (uniform(F.col("_doc_id")) < F.col("probability") - repeats).cast("int")
+    draw = (uniform(F.col("_drawn_by")) < F.col("probability") - repeats).cast("int")
     chosen = rows.withColumn("copies", repeats + draw).filter("copies > 0")
     return unpacked(chosen.withColumn("copy", F.explode(F.sequence(F.lit(1), "copies"))), docs.columns)
