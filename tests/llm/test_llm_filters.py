@@ -87,6 +87,18 @@ def test_decontamination_of_nothing(docs, no_docs, benchmark, spark):
     assert decontaminate.decontaminated(docs, nothing).count() == docs.count()
 
 
+def test_items_without_id(docs, texts, benchmark, spark):
+    """An item without item_id is found as any other; several are told apart by their texts."""
+    items, _ = benchmark
+    table = spark.createDataFrame([(None, items[1]), (None, items[2]), (None, items[2]), (3, items[3])], "item_id long, text string")
+    found = [(r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(docs, table).collect()]
+    want = brute.leaks(texts, {i: items[i] for i in (1, 2, 3)})
+    assert sorted(d for d, i in found if i is None) == sorted(d for d, i in want if i != 3)
+    assert {d for d, i in found if i == 3} == {d for d, i in want if i == 3}
+    kept = {r["doc_id"] for r in decontaminate.decontaminated(docs, table).collect()}
+    assert kept == set(texts) - {d for d, _ in want}
+
+
 def test_raked_weights_meet_targets(spark):
     cells = spark.createDataFrame(
         [("a", "x", "t", 100), ("a", "y", "t", 300), ("b", "x", "t", 500), ("b", "y", "u", 50), ("a", "x", "u", 70)],
