@@ -123,6 +123,20 @@ def test_one_per_component(docs, odd_docs, no_docs, texts):
     assert signature_join.one_per_component(no_docs).count() == 0
 
 
+def test_texts_that_share_an_id(spark, texts):
+    """Unlike texts of one doc_id stay, a text goes only when it is linked itself, and the rows that stay are the same each time."""
+    rows = [(1, texts[1], "a"), (5, texts[5], "a"), (5, texts[1], "a"), (5, texts[6], "a"), (5, texts[6], "b"), (9, texts[6], "a"),
+            (7, texts[3], "a"), (7, texts[21], "a"), (7, None, "a"), (None, texts[5], "a")]
+    kept = []
+    for n in (1, 3):
+        table = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(n)
+        kept.append(sorted(map(tuple, signature_join.one_per_component(table).collect()), key=str))
+    assert kept[0] == kept[1]
+    found = [(i, t) for i, t, _ in kept[0]]
+    assert len(found) == 6 and {(1, texts[1]), (5, texts[5]), (5, texts[6]), (7, None), (None, texts[5])} <= set(found)
+    assert ((7, texts[3]) in found) != ((7, texts[21]) in found)
+
+
 def digest(df):
     return {r["doc_id"]: (r["n_words"], r["n_removed"], hashlib.sha256(r["kept"].encode()).hexdigest()) for r in df.collect()}
 

@@ -34,6 +34,7 @@ from ..operators.attach import BROADCAST_VALUES, attach
 from ..session import written
 from .arrays import common, hashed_words, long_array, shingle_set
 from .components import components
+from .text import packed, unpacked
 
 NUMERATOR, DENOMINATOR = 4, 5  # the similarity, as a fraction
 # a shingle in more documents than this comes last in the order
@@ -550,19 +551,56 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     return joined.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 
+def _told_apart(rows: DataFrame, repeated: DataFrame) -> DataFrame:
+    """doc_id, _hash and `_key` of every text of a doc_id with several texts: a number that no other text has.
+
+    The text with the smallest hash keeps its doc_id; the others get a hash that is nobody's doc_id.
+    """
+    texts = _by_id(rows, repeated, "left_semi").select("doc_id", "_hash").distinct()
+    first = texts.groupBy("doc_id").agg(F.min("_hash").alias("_first"), F.count(F.lit(1)).alias("_texts"))
+    texts = written(texts.join(first.filter("_texts > 1"), "doc_id"), "texts-of-ids")
+    for salt in range(8):
+        number = F.call_function("shiftrightunsigned", F.xxhash64("doc_id", "_hash", F.lit(salt)), F.lit(1))
+        key = F.when(F.col("_hash") == F.col("_first"), F.col("doc_id")).otherwise(number)
+        named = written(texts.select("doc_id", "_hash", key.alias("_key"), (key == number).alias("_new")), "text-keys")
+        new = named.filter("_new").select(F.col("_key").alias("doc_id"))
+        if new.count() == new.distinct().count() and _by_id(rows.select("doc_id"), new, "left_semi").isEmpty():
+            return named.select("doc_id", "_hash", "_key")
+    raise RuntimeError("no free numbers for texts that share a doc_id")
+
+
 def one_per_component(docs: DataFrame) -> DataFrame:
     """The rows of `docs` whose doc_id is the smallest of its component, with the columns of `docs`.
 
-    Rows that repeat a kept doc_id are one document: one of them stays. Rows without doc_id stay.
+    Rows that repeat a kept doc_id and its text are one document: that with the smallest hash stays. Texts
+    that share a doc_id are documents of their own, compared as others are; among them the smallest hash of
+    the text comes first. Rows without doc_id stay.
     """
-    found = written(jaccard_components(docs).select("doc_id", "component_id"), "jaccard")
-    gone = written(found.filter("doc_id <> component_id").select("doc_id").distinct(), "jaccard-gone")
-    kept = _by_id(docs, gone, "left_anti")
-    repeated = written(
-        found.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id"), "repeated"
+    rows = packed(docs, "text").select(
+        "_row", "_text", F.col("_row.doc_id").cast("long").alias("doc_id"),
+        F.coalesce(F.md5(F.col("_text").cast("string").cast("binary")), F.lit("")).alias("_hash"),
     )
+    ids = rows.filter("doc_id is not null").groupBy("doc_id").count()
+    repeated = written(ids.filter("count > 1").select("doc_id"), "repeated")
     if repeated.isEmpty():
-        return kept.select(*docs.columns)
-    once = _by_id(kept, repeated, "left_anti").select(*docs.columns)
-    again = _by_id(kept, repeated, "left_semi").select(*docs.columns).dropDuplicates(["doc_id"])
-    return once.unionByName(again)
+        found = written(jaccard_components(docs).select("doc_id", "component_id"), "jaccard")
+        gone = written(found.filter("doc_id <> component_id").select("doc_id").distinct(), "jaccard-gone")
+        return _by_id(docs, gone, "left_anti").select(*docs.columns)
+
+    keys = _told_apart(rows, repeated)
+    keyed = attach(rows, keys, ["doc_id", "_hash"], computed=True).withColumn("_key", F.coalesce("_key", "doc_id"))
+    nodes = keyed.select(F.col("_key").alias("doc_id"), F.col("_text").alias("text"))
+    found = written(jaccard_components(nodes).select(F.col("doc_id").alias("_key"), "component_id").distinct(), "jaccard")
+    named = attach(found, keys, ["_key"], computed=True)
+    order = F.struct(F.coalesce("doc_id", "_key").alias("id"), F.coalesce("_hash", F.lit("")).alias("hash"), "_key")
+    heads = named.groupBy("component_id").agg(F.min(order)["_key"].alias("_head"))
+    gone = written(
+        attach(found, heads, ["component_id"]).filter("_key <> _head").select(F.col("_key").alias("doc_id")), "jaccard-gone"
+    )
+    several = written(keyed.filter("_key is not null").groupBy("_key").count().filter("count > 1").select(F.col("_key").alias("doc_id")), "repeated-texts")
+    kept = _by_id(keyed.select("_row", F.col("_key").alias("doc_id")), gone, "left_anti")
+    once = _by_id(kept, several, "left_anti").select("_row")
+    # maps cannot be hashed
+    whole = F.xxhash64(*[F.col("_row").getField(c) for c, kind in docs.dtypes if "map<" not in kind])
+    again = _by_id(kept, several, "left_semi").groupBy("doc_id").agg(F.min_by("_row", whole).alias("_row")).select("_row")
+    return unpacked(once.unionByName(again), docs.columns)
