@@ -21,6 +21,13 @@ def test_every_query_has_sql():
     assert set(catalog.QUERIES) == set(catalog_oracle.queries())
 
 
+def test_oracle_sql_leaves_the_catalogue_alone():
+    before = catalog_oracle.queries()
+    assert entry.oracle_sql() == entry.oracle_sql()
+    assert catalog_oracle.queries() == before
+    assert set(before) == set(catalog.QUERIES)
+
+
 def test_entry(spark):
     rows = entry.entry(spark).collect()
     assert {r["node_name"]: r["total_records"] for r in rows} == {"hospital_A": 256, "hospital_B": 261, "hospital_C": 278}

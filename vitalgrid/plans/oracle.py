@@ -271,4 +271,4 @@ ORDER = list(TABLES)
 def queries() -> dict[str, str]:
     from .oracle_queries import QUERIES
 
-    return QUERIES
+    return dict(QUERIES)
