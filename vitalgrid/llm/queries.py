@@ -9,6 +9,7 @@ from . import (
     html_text,
     lang_profiles,
     mixing,
+    periodic_runs,
     quality,
     signature_join,
     substring_dedup,
@@ -16,6 +17,7 @@ from . import (
     token_counts,
     url_rules,
 )
+from .text import words
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -63,10 +65,44 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contaminated(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
 
 
+def looped_words(docs: DataFrame) -> DataFrame:
+    """doc_id and text, with every tenth text, by the checksum of its id, made periodic from some word on.
+
+    The checksum of a NULL id is that of an empty text.
+    """
+    checksum = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    word = words(F.col("text"))
+    n, g = F.size(word), F.floor(checksum / 10)
+    begin = F.pmod(g, n)
+    period = 1 + F.floor((n - begin) / (3 + g % 8))
+    looped = F.transform(
+        F.sequence(F.lit(0), n - 1),
+        lambda i: F.get(word, F.when(i >= begin, begin + (i - begin) % period).otherwise(i).cast("int")),
+    )
+    chosen = (checksum % 10 == 0) & (n > 0)
+    return docs.select("doc_id", F.when(chosen, F.array_join(looped, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(looped_words(_table(spark, folder, "documents")))
+    runs = F.col("runs")
+    # the longest run first, then the smallest start and period
+    best = F.array_max(F.transform(runs, lambda r: F.struct(r.length.alias("length"), -r.start, -r.period)))
+    lines = F.transform(runs, lambda r: F.concat_ws(",", r.start, r.length, F.concat(r.period.cast("string"), F.lit("\n"))))
+    best = best.cast("struct<length:long,start:long,period:long>")
+    start, length, period = -best.start, best.length, -best.period
+    return found.select(
+        "doc_id", F.size(runs).cast("long").alias("n_runs"), start.alias("start"), length.alias("length"),
+        period.alias("period"), F.floor(1000 * length / period).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("kept").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_quality_rules, op2_html_text, op3_jaccard_join, op4_token_blocks, op5_mixture, op6_substring_dedup,
-        op7_url_filter, op8_token_counts, op9_language_id, op10_decontamination,
+        op7_url_filter, op8_token_counts, op9_language_id, op10_decontamination, op12_periodic_runs,
     )
 }
