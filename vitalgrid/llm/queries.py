@@ -16,6 +16,7 @@ from . import (
     token_blocks,
     token_counts,
     url_rules,
+    whitening,
 )
 from .text import words
 
@@ -71,16 +72,29 @@ def looped_words(docs: DataFrame) -> DataFrame:
     The checksum of a NULL id is that of an empty text.
     """
     checksum = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
-    word = words(F.col("text"))
-    n, g = F.size(word), F.floor(checksum / 10)
-    begin = F.pmod(g, n)
-    period = 1 + F.floor((n - begin) / (3 + g % 8))
-    looped = F.transform(
-        F.sequence(F.lit(0), n - 1),
-        lambda i: F.get(word, F.when(i >= begin, begin + (i - begin) % period).otherwise(i).cast("int")),
+    g = F.floor(checksum / 10)
+
+    def looped(word, n, begin, period):
+        return F.array_join(
+            F.transform(
+                F.sequence(F.lit(0), n - 1),
+                lambda i: F.get(word, F.when(i >= begin, begin + (i - begin) % period).otherwise(i).cast("int")),
+            ),
+            " ",
+        )
+
+    def numbers(word):
+        n = F.size(word)
+        begin = F.pmod(g, n)
+        return F.struct(word.alias("word"), n.alias("n"), begin.alias("begin"),
+                        (1 + F.floor((n - begin) / (3 + g % 8))).alias("period"))
+
+    # arrays of one, because a lambda's variable is evaluated once and not again for every word
+    found = F.transform(F.array(words(F.col("text"))), numbers)
+    found = F.transform(found, lambda x: F.when(x.n > 0, looped(x.word, x.n, x.begin, x.period)).otherwise(""))
+    return docs.select(
+        "doc_id", F.when(checksum % 10 == 0, F.get(found, F.lit(0))).otherwise(F.col("text")).alias("text")
     )
-    chosen = (checksum % 10 == 0) & (n > 0)
-    return docs.select("doc_id", F.when(chosen, F.array_join(looped, " ")).otherwise(F.col("text")).alias("text"))
 
 
 def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
@@ -99,10 +113,15 @@ def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whitened_components(_table(spark, folder, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_quality_rules, op2_html_text, op3_jaccard_join, op4_token_blocks, op5_mixture, op6_substring_dedup,
         op7_url_filter, op8_token_counts, op9_language_id, op10_decontamination, op12_periodic_runs,
+        op13_embedding_whitening,
     )
 }
