@@ -108,6 +108,12 @@ def test_long_periods_and_one_word():
     assert array_runs([nested]) == [plain_runs(nested)]
 
 
+def test_words_that_come_again_without_a_run():
+    """Every word of some blocks is found at a distance of their scale, the block itself is not."""
+    words = [*range(80), *range(79, -1, -1), *range(200, 300)]
+    assert array_runs([words]) == [plain_runs(words)]
+
+
 def test_chance_zeros_do_not_count(monkeypatch):
     """With wrong zeros among the sums the runs are the same."""
     true = periodic_runs.squared_differences

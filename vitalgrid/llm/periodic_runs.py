@@ -215,8 +215,8 @@ def find_runs(ids: np.ndarray, lengths: np.ndarray, least: int = LEAST) -> tuple
             again = places.again(low, high, n)
             whole = again[: n // size * size].reshape(-1, size).all(axis=1)
             hits = list(_convolved(ids, size, low, high, np.flatnonzero(whole)))
-        if hits:
-            block, distance = (np.concatenate(v) for v in zip(*hits))
+        block, distance = (np.concatenate(v) for v in zip(*hits)) if hits else (ids[:0], ids[:0])
+        if len(block):
             order = np.lexsort((block, distance))
             block, distance = block[order], distance[order]
             first = np.ones(len(block), bool)
