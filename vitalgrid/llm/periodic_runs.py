@@ -136,6 +136,7 @@ class _Places:
     def __init__(self, ids: np.ndarray, lengths: np.ndarray):
         self.step = 4 * max(len(ids), 1)
         self.keys = np.sort(ids * self.step + np.arange(len(ids)))
+        self.place = self.keys % self.step
         self.lengths = lengths
 
     def again(self, low: int, high: int, n: int) -> np.ndarray:
@@ -143,14 +144,13 @@ class _Places:
 
         Periods of this and later scales need a text of 2 * low words, so shorter texts leave for good.
         """
-        place = self.keys % self.step
-        long = self.lengths[place] >= 2 * low
-        self.keys, place = self.keys[long], place[long]
+        long = self.lengths[self.place] >= 2 * low
+        self.keys, self.place = self.keys[long], self.place[long]
         out = np.zeros(n, bool)
         if len(self.keys):
             at = np.searchsorted(self.keys, self.keys + low)
             next_key = self.keys[np.minimum(at, len(self.keys) - 1)]
-            out[place[(at < len(self.keys)) & (next_key - self.keys <= high)]] = True
+            out[self.place[(at < len(self.keys)) & (next_key - self.keys <= high)]] = True
         return out
 
 
