@@ -11,6 +11,7 @@ from . import (
     mixing,
     periodic_runs,
     quality,
+    quality_classifier,
     signature_join,
     substring_dedup,
     token_blocks,
@@ -66,6 +67,10 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contaminated(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
 
 
+def op11_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_classifier.quality_scores(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
 def looped_words(docs: DataFrame) -> DataFrame:
     """doc_id and text, with every tenth text, by the checksum of its id, made periodic from some word on.
 
@@ -121,7 +126,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_quality_rules, op2_html_text, op3_jaccard_join, op4_token_blocks, op5_mixture, op6_substring_dedup,
-        op7_url_filter, op8_token_counts, op9_language_id, op10_decontamination, op12_periodic_runs,
-        op13_embedding_whitening,
+        op7_url_filter, op8_token_counts, op9_language_id, op10_decontamination, op11_quality_classifier,
+        op12_periodic_runs, op13_embedding_whitening,
     )
 }
