@@ -75,6 +75,7 @@ def test_families_equal_brute_force(spark, monkeypatch, members, frequent):
     """Small limits send blocks through several tasks and order many shingles as frequent."""
     monkeypatch.setattr(signature_join, "MEMBERS", members)
     monkeypatch.setattr(signature_join, "FREQUENT", frequent)
+    monkeypatch.setattr(signature_join, "SHINGLES", members * 50)
     texts = variants(5, 12, 9)
     table = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     found = {r["doc_id"]: r["component_id"] for r in signature_join.jaccard_components(table).collect()}
@@ -95,8 +96,8 @@ def test_trees_lose_no_pair(seed):
             sets.append(np.unique(r.integers(0, 2**63, int(r.integers(20, 60))).astype(np.uint64)))
     clusters = r.integers(0, max(1, len(sets) // 2), len(sets))
     bits = np.stack([np.frombuffer(signature_join._bitmap(s, 512), np.uint64) for s in sets])
-    x, y = signature_join.tree_pairs(np.array([len(s) for s in sets]), clusters, bits)
-    left = {frozenset(p) for p in zip(x.tolist(), y.tolist())}
+    found = list(signature_join.tree_pairs(np.array([len(s) for s in sets]), clusters, bits))
+    left = {frozenset(p) for x, y in found for p in zip(x.tolist(), y.tolist())}
     for a, b in itertools.combinations(range(len(sets)), 2):
         if clusters[a] != clusters[b] and signature_join.linked(arrays.common(sets[a], sets[b]), len(sets[a]), len(sets[b])):
             assert frozenset((a, b)) in left
@@ -106,8 +107,59 @@ def test_traversal_prunes():
     r = np.random.default_rng(0)
     sets = [np.unique(r.integers(0, 2**63, 60).astype(np.uint64)) for _ in range(300)]
     bits = np.stack([np.frombuffer(signature_join._bitmap(s, 512), np.uint64) for s in sets])
-    x, _ = signature_join.tree_pairs(np.array([len(s) for s in sets]), np.arange(300), bits)
-    assert len(x) < 10
+    assert sum(len(x) for x, _ in signature_join.tree_pairs(np.array([len(s) for s in sets]), np.arange(300), bits)) < 10
+
+
+def joined_clusters(clusters, pairs):
+    """Smallest cluster reachable of every cluster."""
+    found = {c: c for c in clusters}
+    for a, b in pairs:
+        low, high = sorted((found[clusters[a]], found[clusters[b]]))
+        found = {c: low if v == high else v for c, v in found.items()}
+    return found
+
+
+@settings(max_examples=30, deadline=None)
+@given(st.integers(0, 10_000))
+def test_joining_links_join_all_and_no_more(seed):
+    r = np.random.default_rng(seed)
+    sets = []
+    for _ in range(int(r.integers(2, 40))):
+        near = sets[int(r.integers(len(sets)))] if sets and r.random() < 0.8 else r.integers(0, 2**63, 50).astype(np.uint64)
+        sets.append(np.unique(np.concatenate([near[r.random(len(near)) < 0.96], r.integers(0, 2**63, 3).astype(np.uint64)])))
+    clusters = r.integers(0, len(sets), len(sets)) * 10
+    true = [
+        (a, b) for a, b in itertools.combinations(range(len(sets)), 2)
+        if signature_join.linked(arrays.common(sets[a], sets[b]), len(sets[a]), len(sets[b]))
+    ]
+    left, right = signature_join.joining_links(clusters, sets)
+    assert {frozenset(p) for p in zip(left, right)} <= {frozenset(p) for p in true}
+    assert len(left) < len(set(clusters.tolist()))
+    assert joined_clusters(clusters.tolist(), zip(left, right)) == joined_clusters(clusters.tolist(), true)
+
+
+def test_large_groups_make_as_many_rows_as_members(spark, monkeypatch):
+    """Near copies without a common leader, and unlinked documents, under one passage: rows grow with the members."""
+    r = random.Random(8)
+    passage = [f"p{i}" for i in range(8)]
+    texts, chain = {}, [f"c{i}" for i in range(70)]
+    for i in range(60):  # each is linked with the next ones, the first and the last are not
+        chain[r.randrange(70)] = f"x{i}"
+        texts[i] = " ".join(passage + chain)
+        texts[1000 + i] = " ".join(passage + [f"u{i}-{k}" for k in range(70)])
+    table = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    members = spark.createDataFrame([(7, i, i) for i in texts], "block long, doc long, component long")
+    assert signature_join.tree_groups(table, members).count() <= 2 * len(texts)
+    links = [tuple(x) for x in signature_join.tree_links(table, members).collect()]
+    assert len(links) < len(texts)
+    sets = {i: brute.shingles(t) for i, t in texts.items()}
+    assert all(100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]) for a, b in links)
+    ids = sorted(texts)
+    found = joined_clusters(ids, [(ids.index(a), ids.index(b)) for a, b in links])
+    assert found == brute.components(texts)
+    monkeypatch.setattr(signature_join, "SHINGLES", 500)  # through several tasks
+    cut = [(ids.index(x["a"]), ids.index(x["b"])) for x in signature_join.tree_links(table, members).collect()]
+    assert joined_clusters(ids, cut) == found
 
 
 def test_one_per_component(docs, odd_docs, no_docs, texts):

@@ -15,10 +15,14 @@ Every pair is found; nothing is sampled or capped.
    range of their sizes and their largest number of shingles lost to shared bits. Nodes join
    documents of one cluster first, then clusters. The tree is traversed against itself: a pair of
    nodes is dropped when both are inside one cluster, when the size ranges rule a link out, or
-   when even the largest possible overlap is too small. Leaf pairs that are left are compared exactly.
-
-The size of what a task holds is bounded by `MEMBERS` documents of a block; larger blocks are cut
-into tasks that meet every pair of different clusters. Frequent shingles only order the others:
+   when even the largest possible overlap is too small. A tree passes on the documents of the leaf pairs
+   that are left, as groups that hang together, and no pairs: at most as many rows as it has leaves.
+5. **Links.** The documents of a group, with their whole sets, make a tree of their own in one task. Its leaf pairs
+   are compared exactly unless links found before join the two already, so a task returns fewer links than
+   it has clusters.
+
+The size of what a task holds is bounded by `MEMBERS` documents of a block and `SHINGLES` of a group; larger ones
+are cut into tasks that meet every pair of different clusters. Frequent shingles only order the others:
 their table has at most `MAX_FREQUENT` rows, and any table gives the same links.
 """
 
@@ -27,7 +31,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.attach import BROADCAST_VALUES, attach
@@ -42,12 +46,15 @@ FREQUENT = 50
 MAX_FREQUENT = 1 << 18
 # frequencies are counted below this part of the hash range: prefixes seldom reach beyond
 COUNTED_PART = 0.35
-# documents of a block in one task, and bits of the widest bitmap
+# documents of a block in one task, shingles of a group in one task, and bits of the widest bitmap
 MEMBERS = 512
+SHINGLES = 1 << 22
 MAX_BITS = 1 << 16
 FANOUT = 8
 # pairs that one task compares with one set
 PAIRS_PER_TASK = 128
+# groups that a task names once only; repeats of others go in the shuffle after it
+REMEMBERED = 1 << 18
 
 
 def prefix_length(n: int) -> int:
@@ -309,6 +316,11 @@ def _bitmap(tokens: np.ndarray, bits: int) -> bytes:
     return np.packbits(marks, bitorder="little").tobytes()
 
 
+def _width(band: int) -> int:
+    """Bits of the bitmaps of sets with less than 2**band shingles."""
+    return min(max(2 << band, 64), MAX_BITS)
+
+
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """doc, band, n, bits: a bitmap for the band of the set's size, and one for the band above if near it."""
     for batch in batches:
@@ -320,8 +332,7 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             own = n.bit_length()
             for band in (own, own + 1):
                 if n and (band == own or DENOMINATOR * n >= NUMERATOR * (1 << own)):
-                    width = min(max(2 << band, 64), MAX_BITS)
-                    rows.append((ids[row], band, n, _bitmap(found, width)))
+                    rows.append((ids[row], band, n, _bitmap(found, _width(band))))
         columns = list(zip(*rows)) or [(), (), (), ()]
         kinds = (pa.int64(), pa.int32(), pa.int64(), pa.binary())
         yield pa.RecordBatch.from_arrays(
@@ -393,8 +404,8 @@ def _children(level: _Level, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray,
     return a[once], b[once]
 
 
-def tree_pairs(sizes: np.ndarray, clusters: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs of documents of different clusters that may be linked.
+def tree_pairs(sizes: np.ndarray, clusters: np.ndarray, bits: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs, in portions, of documents of different clusters that may be linked.
 
     The traversal goes depth first in portions, so that its memory stays small.
     """
@@ -403,57 +414,127 @@ def tree_pairs(sizes: np.ndarray, clusters: np.ndarray, bits: np.ndarray) -> tup
     top = len(levels) - 1
     x, y = np.triu_indices(len(levels[top].low))
     stack = [(top, x, y)]
-    left, right = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
     while stack:
         height, x, y = stack.pop()
         x, y = _surviving(levels[height], x, y)
         if not height:
-            left.append(order[x])
-            right.append(order[y])
+            yield order[x], order[y]
         else:
             for k in range(0, len(x), 4096):
                 stack.append((height - 1, *_children(levels[height], x[k : k + 4096], y[k : k + 4096])))
-    return np.concatenate(left), np.concatenate(right)
 
 
-def _trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (block, band, task): one tree each; the pairs that survive its traversal."""
-    names = ("block", "band", "task", "doc", "component", "n", "bits")
-    key, held = None, []
+def _joined(label: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """`label` (the smallest member of the set of each) after the sets of every x and y have become one."""
+    while True:
+        low = np.minimum(label[x], label[y])
+        new = label.copy()
+        np.minimum.at(new, label[x], low)
+        np.minimum.at(new, label[y], low)
+        new = new[new]
+        if (new == label).all():
+            return label
+        label = new
+
 
-    def pairs():
-        docs = np.array([r[3] for r in held])
-        clusters = np.unique([r[4] for r in held], return_inverse=True)[1]
-        bits = np.frombuffer(b"".join(r[6] for r in held), np.uint64).reshape(len(held), -1)
-        x, y = tree_pairs(np.array([r[5] for r in held], np.int64), clusters, bits)
-        return np.minimum(docs[x], docs[y]), np.maximum(docs[x], docs[y])
+def _bit_rows(packed: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(packed), np.uint64).reshape(len(packed), -1)
 
+
+def _keyed_rows(batches: Iterator[pa.RecordBatch], key: tuple[str, ...], names: tuple[str, ...]):
+    """The rows of each key in turn, as lists of the columns `names`, and None at the end of a batch."""
+    now, held = None, []
     for batch in batches:
-        left, right = [], []
-        for row in zip(*(batch[c].to_pylist() for c in names)):
-            if row[:3] != key:
-                if len(held) > 1:
-                    a, b = pairs()
-                    left.append(a)
-                    right.append(b)
-                key, held = row[:3], []
-            held.append(row)
-        if left:
+        for row in zip(*(batch[c].to_pylist() for c in (*key, *names))):
+            if row[: len(key)] != now:
+                if held:
+                    yield [list(c) for c in zip(*held)]
+                now, held = row[: len(key)], []
+            held.append(row[len(key) :])
+        yield None
+    if held:
+        yield [list(c) for c in zip(*held)]
+    yield None
+
+
+def _trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by (block, band, task): one tree each; the documents that its traversal leaves, by groups."""
+    seen: set[int] = set()
+    rows = {"group": [], "doc": [], "component": [], "n": []}
+    for held in _keyed_rows(batches, ("block", "band", "task"), ("doc", "component", "n", "bits")):
+        if held is None:
+            if rows["doc"]:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(v), pa.int64()) for v in rows.values()], names=list(rows)
+                )
+                for v in rows.values():
+                    v.clear()
+            continue
+        docs, named, n = (np.array(c, np.int64) for c in held[:3])
+        clusters = np.unique(named, return_inverse=True)[1]
+        label = np.arange(len(docs))
+        for x, y in tree_pairs(n, clusters, _bit_rows(held[3])):
+            label = _joined(label, x, y)
+        order = np.lexsort((docs, label))
+        cuts = np.append(np.flatnonzero(np.diff(label[order], prepend=-1)), len(order))
+        for a, b in zip(cuts, cuts[1:]):
+            if b - a > 1:
+                own = order[a:b]
+                # the same group comes from many blocks and is one
+                name = int.from_bytes(blake2b(docs[own].tobytes(), digest_size=8).digest(), "little", signed=True)
+                if name not in seen:
+                    if len(seen) < REMEMBERED:
+                        seen.add(name)
+                    for c, v in zip(rows, (np.full(b - a, name), docs[own], named[own], n[own])):
+                        rows[c].append(v)
+
+
+def joining_links(clusters: np.ndarray, sets: list[np.ndarray]) -> tuple[list[int], list[int]]:
+    """Index pairs of linked sets that join the clusters as far as links do: fewer than there are clusters."""
+    sizes = np.array([len(s) for s in sets], np.int64)
+    width = _width(int(sizes.max()).bit_length())
+    first = np.unique(clusters, return_index=True, return_inverse=True)
+    label = first[1][first[2]]
+    left, right = [], []
+    for x, y in tree_pairs(sizes, first[2], _bit_rows([_bitmap(s, width) for s in sets])):
+        for a, b in zip(x.tolist(), y.tolist()):
+            if label[a] != label[b] and linked(common(sets[a], sets[b]), sizes[a], sizes[b]):
+                low, high = sorted((label[a], label[b]))
+                label[label == high] = low
+                left.append(a)
+                right.append(b)
+    return left, right
+
+
+def _linked_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by (group, task) with whole sets: the links that join the clusters of each."""
+    left, right = [], []
+    for held in _keyed_rows(batches, ("group", "task"), ("doc", "component", "hashes")):
+        if held is None:
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(v), pa.int64()) for v in (left, right)], names=["a", "b"]
+                [pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"]
             )
-    if len(held) > 1:
-        yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in pairs()], names=["a", "b"])
+            left, right = [], []
+            continue
+        sets = [np.frombuffer(h, np.uint64) for h in held[2]]
+        for a, b in zip(*joining_links(np.array(held[1], np.int64), sets)):
+            left.append(held[0][a])
+            right.append(held[0][b])
+
+
+def _hash_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sets = [shingle_set(hashes).tobytes() for _, hashes in hashed_words(batch["text"], lower=True)]
+        yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(sets, pa.binary())], names=["doc", "hashes"])
 
 
-def _tasks(rows: DataFrame) -> DataFrame:
-    """Deal the rows of a block and band to tasks of about MEMBERS rows that meet every pair of clusters.
+def _tasks(rows: DataFrame, group: list[str], size: Column, limit: int) -> DataFrame:
+    """Deal the rows of a group to tasks of about `limit` of `size` that meet every pair of clusters.
 
     Pairs inside the largest cluster need no meeting: the others are dealt to r parts, everything to
     parts of that size, and task (i, j) holds part i of the others and part j of all.
     """
-    group = ["block", "band"]
-    sizes = rows.groupBy(*group, "component").agg(F.count(F.lit(1)).alias("m"))
+    sizes = rows.groupBy(*group, "component").agg(F.sum(size).alias("m"))
     largest = written(
         sizes.groupBy(*group)
         .agg(F.max(F.struct("m", "component")).alias("top"), F.sum("m").alias("total"))
@@ -462,9 +543,9 @@ def _tasks(rows: DataFrame) -> DataFrame:
         "block-sizes",
     )
     dealt = attach(rows, largest, group, how="inner", computed=True)
-    parts = F.ceil(F.col("rest") / MEMBERS).cast("int")
-    all_parts = F.ceil(F.col("total") / MEMBERS).cast("int")
-    one = F.col("total") <= 2 * MEMBERS
+    parts = F.ceil(F.col("rest") / limit).cast("int")
+    all_parts = F.ceil(F.col("total") / limit).cast("int")
+    one = F.col("total") <= 2 * limit
     i, j = (F.pmod(F.xxhash64("doc", F.lit(s)), p).cast("int") for s, p in ((1, parts), (2, all_parts)))
 
     def named(i, j):
@@ -478,8 +559,8 @@ def _tasks(rows: DataFrame) -> DataFrame:
     return dealt.withColumn("task", F.explode(tasks)).select(*group, "task", "doc", "component", "n")
 
 
-def tree_candidates(docs: DataFrame, members: DataFrame) -> DataFrame:
-    """Pairs (a, b) of documents of different clusters that the signature trees of the blocks leave.
+def tree_groups(docs: DataFrame, members: DataFrame) -> DataFrame:
+    """group, doc, component, n: documents of different clusters that the signature trees of the blocks leave.
 
     `members`: block, doc, component of the blocks that hold several clusters.
     """
@@ -489,10 +570,23 @@ def tree_candidates(docs: DataFrame, members: DataFrame) -> DataFrame:
     )
     # a hot document has many blocks, a hot block many documents; neither has many of the other's rows
     rows = written(members.join(signatures.drop("bits"), "doc"), "leaves")
-    full = _tasks(rows).join(signatures.select("doc", "band", "bits"), ["doc", "band"])
     key = ["block", "band", "task"]
+    full = _tasks(rows, key[:2], F.lit(1), MEMBERS).join(signatures.select("doc", "band", "bits"), ["doc", "band"])
     ordered = full.select(*key, "doc", "component", "n", "bits").repartition(*key).sortWithinPartitions(*key, "doc")
-    return ordered.mapInArrow(_trees, "a long, b long").filter("a <> b").distinct()
+    return ordered.mapInArrow(_trees, "group long, doc long, component long, n long").groupBy(
+        "group", "doc"
+    ).agg(F.max("component").alias("component"), F.max("n").alias("n"))
+
+
+def tree_links(docs: DataFrame, members: DataFrame) -> DataFrame:
+    """Links (a, b) that join the clusters of `members` as far as links do."""
+    groups = written(tree_groups(docs, members), "groups")
+    ids = written(groups.select(F.col("doc").alias("doc_id")).distinct(), "group-docs")
+    sets = written(_by_id(docs, ids).mapInArrow(_hash_rows, "doc long, hashes binary"), "group-sets")
+    key = ["group", "task"]
+    full = _tasks(groups, key[:1], F.col("n"), SHINGLES).join(sets, "doc")
+    ordered = full.select(*key, "doc", "component", "hashes").repartition(*key).sortWithinPartitions(*key, "doc")
+    return ordered.mapInArrow(_linked_members, "a long, b long").distinct()
 
 
 # --- the join ----------------------------------------------------------------------------------
@@ -543,8 +637,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     stars = written(near.select((-F.col("top.a")).alias("a"), F.col("doc").alias("b")), "stars")
     links = written(compared(only, stars), "links")
     members = found_blocks.select("block", "doc").distinct()
-    candidates = written(tree_candidates(only, _clusters(members, components(links))), "tree-pairs")
-    more = written(compared(only, candidates), "more-links")
+    more = written(tree_links(only, _clusters(members, components(links))), "more-links")
 
     found = components(links.union(more).union(copies))
     joined = attach(sets, found.select(F.col("id").alias("doc_id"), "component"), ["doc_id"])
