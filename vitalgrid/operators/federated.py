@@ -17,6 +17,7 @@ from ..functions import core
 from ..session import cut_lineage, scratch_path, written
 from . import features, metrics
 from .attach import attach
+from .keyed_trees import DEEPEST, Forest, fit_forests, importances, score
 from .models import DEFAULTS, HealthModel, labeled_only
 from .ordered import share_cut
 
@@ -298,6 +299,60 @@ def _with_fit(evaluated: DataFrame, trained: DataFrame) -> DataFrame:
 # ---- tree models per location --------------------------------------------
 
 
+def keyed_design(rows: DataFrame, names: Sequence[str]) -> DataFrame:
+    """(location, key, y, x): what the keyed learner takes, from scaled rows."""
+    return rows.select(
+        "location", F.xxhash64("location", "timestamp").alias("key"), F.col("health_risk").cast("int").alias("y"),
+        F.array(*[F.col(n) for n in names]).alias("x"),
+    )
+
+
+def shared_scaling(average: DataFrame, names: Sequence[str]) -> DataFrame:
+    """The averaged scaler as one row of statistics."""
+
+    def value(param, i):
+        return F.max(F.when((F.col("param") == param) & (F.col("idx") == i), F.col("value")))
+
+    return average.agg(*[
+        value(param, i).alias(f"{prefix}_{n}")
+        for i, n in enumerate(names) for param, prefix in (("scaler_mean", "mean"), ("scaler_scale", "scale"))
+    ])
+
+
+def federated_forest(
+    rows: DataFrame, names: Sequence[str], rounds: int = 10, settings=None
+) -> tuple[DataFrame, DataFrame]:
+    """(metrics per round, averaged parameters) of federated random forests.
+
+    The forests of all locations grow in the same jobs, so neither the driver nor the number of jobs knows how
+    many there are. A depth without limit means DEEPEST, the most that the keyed learner grows.
+    """
+    chosen = {**DEFAULTS["random_forest"], **(settings or {})}
+    forest = Forest(
+        trees=chosen["n_estimators"], depth=chosen["max_depth"] or DEEPEST, bins=chosen.get("max_bins", Forest.bins),
+        seed=chosen["random_state"],
+    )
+    if forest.depth > DEEPEST:
+        raise ValueError(f"a keyed forest is at most {DEEPEST} deep, not {forest.depth}")
+    rows = labeled_only(rows)
+    participants(rows)
+    split = written(local_split(rows), "split")
+    train, test = split.filter(~F.col("is_test")), split.filter("is_test")
+    stats = written(features.scaler_stats(train, names, ["location"]), "stats")
+    fitted = keyed_design(features.scaled(train, stats, names, ["location"]), names)
+    splits = fit_forests(fitted, forest)
+    shares = importances(splits, len(names)).join(stats.select("location", "n"), "location")
+    exported = shares.select("location", "n", F.lit("importance").alias("param"), "idx", "value")
+    average = cut_lineage(average_parameters(exported.unionByName(scaler_parameters(stats, names))))
+
+    shared = keyed_design(features.scaled(test, shared_scaling(average, names), names, []), names)
+    scored, trained = (score(d, splits, forest).withColumnRenamed("y", "health_risk") for d in (shared, fitted))
+    evaluated = average_metrics(metrics.evaluate(written(scored, "scored"), ["location"]))
+    result = cut_lineage(_with_fit(evaluated, average_fit(metrics.confusion_metrics(trained, ["location"]))))
+    per_round = result.select(F.explode(F.sequence(F.lit(1), F.lit(rounds))).alias("round"), *result.columns)
+    return per_round, average
+
+
 def fit_trees(rows: DataFrame, names: Sequence[str], model_type: str, settings=None, parallel: int = PARALLEL_SITES):
     """One distributed fit per location, a few at a time: {location: model}.
 
@@ -340,10 +395,13 @@ def federated_trees(
     """(metrics per round, averaged parameters) of federated tree models.
 
     Each location keeps its own trees and scores its test rows behind the averaged scaling.
-    Seeds are fixed and every round refits from scratch, so one fit serves all rounds.
+    Seeds are fixed and every round refits from scratch, so one fit serves all rounds. Boosted trees have one
+    library fit per location; forests grow for all locations at once.
     """
     if model_type not in DEFAULTS or model_type == "logistic_regression":
         raise ValueError(f"not a tree model: {model_type!r}")
+    if model_type == "random_forest":
+        return federated_forest(rows, names, rounds, settings)
     split = written(local_split(labeled_only(rows)), "split", ["location"])
     train, test = split.filter(~F.col("is_test")), split.filter("is_test")
     stats = written(features.scaler_stats(train, names, ["location"]), "stats")

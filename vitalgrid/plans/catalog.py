@@ -4,7 +4,7 @@ import time
 
 from pyspark.sql import functions as F
 
-from ..operators import drift, features, federated, labels, merge, metrics, models, reports, rules, spine, vitals
+from ..operators import drift, features, federated, keyed_trees, labels, merge, metrics, models, reports, rules, spine, vitals
 from ..schemas import DEFAULT_NODES, MERGED_COLUMNS
 from ..session import scratch_path, written
 from ..sources import events, readers, writers
@@ -522,6 +522,39 @@ def feature_importance(spark, folder):
     return found.select("idx", "feature", ((F.col("value") >= 0) & (total == 1)).alias("valid"))
 
 
+# two levels of one tree a site on all its rows and features: what SQL can state
+SMALL_TREE = {"trees": 1, "depth": 2, "bootstrap": False}
+
+
+def _small_trees(spark, folder):
+    rows, names = stages.model_rows(spark, folder)
+    z = features.scaled(rows, features.scaler_stats(rows, names, ["location"]), names, ["location"])
+    design = federated.keyed_design(rounded(z, 9, *names), names)
+    return keyed_trees.fit_forests(design, keyed_trees.Forest(subset=len(names), **SMALL_TREE)), names
+
+
+def _named(names):
+    return F.element_at(F.array(*map(F.lit, names)), F.col("feature") + 1).alias("feature")
+
+
+@query
+def forest_splits(spark, folder):
+    """Splits, counts and gains of the first two levels of a tree per site, all sites in the same passes."""
+    splits, names = _small_trees(spark, folder)
+    found = splits.select(
+        "location", "node", _named(names), "threshold", "n", "positives", "left_n", "left_positives", "gain"
+    )
+    return rounded(rounded(found, 6, "threshold"), 9, "gain")
+
+
+@query
+def forest_importances(spark, folder):
+    """Shares of the features in the summed gains of those trees."""
+    splits, names = _small_trees(spark, folder)
+    found = keyed_trees.importances(splits, len(names)).withColumnRenamed("idx", "feature")
+    return rounded(found.select("location", _named(names), "value"), 6)
+
+
 @query
 def federated_gradient(spark, folder):
     """What each site would send in the first step: sums of gradient and curvature at zero parameters.

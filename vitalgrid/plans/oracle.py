@@ -246,6 +246,47 @@ TABLES["split_by_label"] = TABLES["split"].replace("PARTITION BY location, healt
 TABLES["training"] = """
         SELECT features.* FROM features JOIN split USING (location, "timestamp") WHERE NOT is_test"""
 TABLES["training_scales"] = TABLES["scales"].replace("FROM features", "FROM training")
+TABLES["scaled_long"] = f"""
+        SELECT location, "timestamp", health_risk, feature, round(value, 9) AS value
+        FROM (UNPIVOT (SELECT location, "timestamp", health_risk, {", ".join(f"({n} - mean_{n}) / scale_{n} AS {n}" for n in FEATURES)}
+                       FROM features JOIN scales USING (location))
+              ON {", ".join(FEATURES)} INTO NAME feature VALUE value)"""
+TABLES["tree_edges"] = """
+        SELECT location, feature, edge
+        FROM (SELECT *, sum(n) OVER (PARTITION BY location, feature ORDER BY cell) AS upto,
+                     sum(n) OVER (PARTITION BY location, feature) AS whole
+              FROM (SELECT location, feature, count(*) AS n, max(value) AS edge,
+                           CASE WHEN value < 0 THEN -1 ELSE 1 END * floor(ln(1 + abs(value)) * 64 + 0.37e0) AS cell
+                    FROM scaled_long GROUP BY location, feature, cell))
+        WHERE floor(upto * 32 / whole) > floor((upto - n) * 32 / whole) AND upto < whole"""
+
+
+def _gini(n: str, p: str) -> str:
+    return f"2 * ({p} / {n}) * (1 - {p} / {n})"
+
+
+def _splits(rows: str, node: str) -> str:
+    """The best split of every node of the rows: first by gain, then by feature and edge."""
+    right = _gini("(n - left_n)", "(positives - left_positives)")
+    return f"""
+        SELECT * FROM (
+            SELECT *, round({_gini("n", "positives")} - (left_n * {_gini("left_n", "left_positives")}
+                            + (n - left_n) * {right}) / n, 12) AS gain
+            FROM (SELECT location, {node} AS node, feature, edge, count(*) AS n, cast(sum(health_risk) AS bigint) AS positives,
+                         count(*) FILTER (value <= edge) AS left_n,
+                         cast(sum(CASE WHEN value <= edge THEN health_risk ELSE 0 END) AS bigint) AS left_positives
+                  FROM {rows} JOIN tree_edges USING (location, feature) GROUP BY ALL)
+            WHERE left_n > 0 AND left_n < n)
+        WHERE gain > 1e-12
+        QUALIFY row_number() OVER (PARTITION BY location, node ORDER BY gain DESC, feature, edge) = 1"""
+
+
+TABLES["root_splits"] = _splits("scaled_long", "cast(1 AS bigint)")
+TABLES["tree_children"] = """
+        SELECT s.*, CASE WHEN side.value <= root_splits.edge THEN cast(2 AS bigint) ELSE 3 END AS child
+        FROM root_splits JOIN scaled_long AS side USING (location, feature)
+        JOIN scaled_long AS s ON s.location = side.location AND s."timestamp" = side."timestamp" """
+TABLES["tree_splits"] = "SELECT * FROM root_splits UNION ALL " + _splits("tree_children", "child")
 DRIFT_FEATURES = ["heart_rate_mean", "spo2_mean", "steps_total", "pm25", "aqi", "temperature", "humidity"]
 TABLES["long_rows"] = f"""
         SELECT feature, round(value, 9) AS value, "timestamp" >= TIMESTAMP '2024-01-16' AS is_current,

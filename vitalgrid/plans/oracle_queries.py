@@ -300,6 +300,15 @@ QUERIES = {
         "SELECT location, count(*) AS n, true AS same FROM split_by_label WHERE is_test GROUP BY location", "split_by_label"),
     "feature_importance": " UNION ALL ".join(
         f"SELECT {i} AS idx, '{f}' AS feature, true AS valid" for i, f in enumerate(FEATURES)),
+    "forest_splits": sql(
+        """SELECT location, node, feature, round(edge, 6) AS threshold, n, positives, left_n, left_positives, round(gain, 9) AS gain
+           FROM tree_splits""", "tree_splits"),
+    "forest_importances": sql(
+        f"""SELECT location, feature, round(coalesce(gained, 0e0) / sum(gained) OVER (PARTITION BY location), 6) AS value
+            FROM (SELECT DISTINCT location FROM tree_splits)
+            CROSS JOIN (SELECT unnest([{", ".join(f"'{f}'" for f in FEATURES)}]) AS feature)
+            LEFT JOIN (SELECT location, feature, sum(n * gain) AS gained FROM tree_splits GROUP BY ALL) USING (location, feature)""",
+        "tree_splits"),
     "federated_gradient": sql(
         "SELECT location, idx, round(value, 6) + 0e0 AS value FROM (" + " UNION ALL ".join(
             f"SELECT location, {i} AS idx, sum((0.5e0 - health_risk) * {x}) AS value FROM training JOIN training_scales "
