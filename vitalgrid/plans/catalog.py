@@ -4,12 +4,14 @@ import time
 
 from pyspark.sql import functions as F
 
-from ..operators import drift, features, federated, keyed_trees, labels, merge, metrics, models, reports, rules, spine, vitals
-from ..schemas import DEFAULT_NODES, MERGED_COLUMNS
+from ..operators import (
+    drift, features, federated, keyed_trees, labels, merge, metrics, models, reports, rules, sketches, spine, vitals,
+)
+from ..schemas import DEFAULT_NODES, MERGED_COLUMNS, WEARABLE
 from ..session import scratch_path, written
-from ..sources import events, readers, writers
-from ..streaming import hourly, run
-from . import stages, tables
+from ..sources import committed, events, readers, writers
+from ..streaming import hourly, run, stored
+from . import incremental, stages, tables
 
 REGIONS = ["hospital_A", "hospital_C"]
 KEYS = ["location", "timestamp"]
@@ -597,6 +599,21 @@ def round_metrics_log(spark, folder):
     return logged.groupBy("run").agg(F.count(F.lit(1)).alias("rounds"), F.max("total_samples").alias("total_samples"))
 
 
+@query
+def round_metrics_committed(spark, folder):
+    """A table of rounds after one run was repeated, one went on, and one was killed before its commit."""
+    path = scratch_path(spark, "round-metrics")
+    rows, names = stages.model_rows(spark, folder)
+    found = written(federated.federated_logistic(rows, names, rounds=4), "rounds")
+    for run_name, rounds in (("short", 2), ("short", 2), ("long", 2), ("long", 4)):
+        committed.log_rounds(found.filter(F.col("round") <= rounds), path, run_name)
+    committed.stage_rounds(found, path, "killed")
+    logged = committed.read_rounds(spark, path)
+    return logged.groupBy("run").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("round").alias("rounds"), F.max("total_samples").alias("total_samples")
+    )
+
+
 @query
 def federated_logistic_warm(spark, folder):
     """Federated averaging proper: ten rounds, each from the last average, with one scaling for all."""
@@ -704,6 +721,94 @@ def stream_risk_alerts(spark, folder):
     return rounded(run.drain(hourly.stream_risk_alerts(labeled))[0], 9)
 
 
+WEEKS = ("2024-01-01", "2024-01-08", "2024-01-15", "2024-01-22", "2024-01-29", "2024-02-05")
+
+
+def _in_turn(spark, table, name, each):
+    """The weeks of a table arrive one after another: a folder of files that a stream picks up each time."""
+    path, checkpoint = scratch_path(spark, name), scratch_path(spark, f"{name}-checkpoint")
+    for start, end in zip(WEEKS, WEEKS[1:]):
+        day = F.to_date("timestamp")
+        table.filter((day >= F.lit(start).cast("date")) & (day < F.lit(end).cast("date"))).write.mode("append").parquet(path)
+        stored.run_batches(run.file_stream(spark, path, table.schema), each, checkpoint)
+
+
+@query
+def stream_following_limits(spark, folder):
+    """Labels of each week against the limits of the weeks before, learned by the stream itself."""
+    table = written(stages.merged(spark, folder).select(*MERGED_COLUMNS), "merged")
+    limits = stored.FollowingLimits(scratch_path(spark, "limits"))
+    _in_turn(spark, table, "weeks", limits.absorb)
+    found = limits.labeled(spark).select(*KEYS, "risk_score", "threshold", "learned_from", "health_risk")
+    return rounded(found, 9)
+
+
+@query
+def threshold_ranges(spark, folder):
+    """Label thresholds of weeks and of the month, with their bounds, from one stored sketch per site and day."""
+    scored = stages.scored(spark, folder).withColumn("day", F.to_date("timestamp"))
+    daily = written(sketches.quantile_sketches(scored, "risk_score", ["location", "day"]), "daily-sketches")
+    ranges = [(start, start, end) for start, end in zip(WEEKS, WEEKS[1:])] + [("month", WEEKS[0], WEEKS[-1])]
+    asked = spark.createDataFrame(ranges, "name string, first string, last string")
+    asked = asked.select("name", F.col("first").cast("date"), F.date_sub(F.col("last").cast("date"), 1).alias("last"))
+    found = sketches.range_quantiles(daily, asked, {"threshold": 0.7})
+    inside = F.lit(True).alias("bounds_hold")  # SQL holds the exact quantile against them
+    return rounded(found.withColumn("bounds_hold", inside).drop("threshold"), 9)
+
+
+def _repaired(spark, folder):
+    """The month arrives backwards in three parts; what came too late is repaired in two goes."""
+    wearable = written(stages.sources(spark, folder, cumulative=True).wearable, "wearable")
+    store = stored.RepairableHours(scratch_path(spark, "hours"))
+    cuts = [F.lit(day).cast("timestamp_ntz") for day in ("9999-01-01", "2024-01-23", DRIFT_START, "0001-01-01")]
+    path, checkpoint = scratch_path(spark, "backwards"), scratch_path(spark, "backwards-checkpoint")
+    hit = []
+    for end, start in zip(cuts, cuts[1:]):
+        wearable.filter((F.col("timestamp") >= start) & (F.col("timestamp") < end)).write.mode("append").parquet(path)
+        stored.run_batches(run.file_stream(spark, path, wearable.schema), store.absorb, checkpoint)
+        hit.append(written(store.repair(spark, wearable.schema), "hit"))
+    return store.hours(spark, wearable.schema), merge.union_sites(hit)
+
+
+@query
+def stream_repaired_vitals(spark, folder):
+    """Stream and repair together equal the batch table."""
+    return _repaired(spark, folder)[0]
+
+
+@query
+def stream_repaired_hours(spark, folder):
+    """The hours that late readings hit, and how many."""
+    return _repaired(spark, folder)[1]
+
+
+def _updated(spark, folder):
+    """A table built without one site's readings of one day, which then arrive as a file of their own."""
+    s = stages.sources(spark, folder, cumulative=True)
+    wearable = written(s.wearable, "wearable")
+    held_back = (F.col("location") == "hospital_B") & (F.to_date("timestamp") == F.lit("2024-01-10").cast("date"))
+    raw, out = scratch_path(spark, "raw"), scratch_path(spark, "incremental")
+    writers.write_sources_csv(events.Sources(wearable.filter(~held_back), s.air, s.weather), raw)
+    kept = incremental.IncrementalTable(raw, out)
+    kept.update(spark)
+    columns = ["location", *[c for c in WEARABLE.names if c != "location"]]
+    wearable.filter(held_back).select(*columns).write.mode("append").option("header", True).partitionBy("location").csv(f"{raw}/wearable")
+    return kept, kept.update(spark)
+
+
+@query
+def incremental_table(spark, folder):
+    """The table after its update equals a full run."""
+    kept, _ = _updated(spark, folder)
+    return kept.table(spark).select(*MERGED_COLUMNS)
+
+
+@query
+def incremental_partitions(spark, folder):
+    """What the update computed again."""
+    return _updated(spark, folder)[1]
+
+
 # ---- drift and quality ---------------------------------------------------
 
 DRIFT_FEATURES = ["heart_rate_mean", "spo2_mean", "steps_total", "pm25", "aqi", "temperature", "humidity"]

@@ -13,6 +13,8 @@ HOUR_ALIGNED = """
     JOIN (SELECT location, "timestamp", round(avg(temperature), 9) AS temperature,
                  max(precipitation) AS precipitation
           FROM weather_all GROUP BY ALL) w USING (location, "timestamp")"""
+WEEKS = """SELECT cast(first AS varchar) AS name, first, first + 7 AS last
+                 FROM (SELECT unnest([DATE '2024-01-01', DATE '2024-01-08', DATE '2024-01-15', DATE '2024-01-22', DATE '2024-01-29']) AS first)"""
 AVERAGED_SCALERS = " UNION ALL ".join(
     f"""SELECT '{p}' AS param, {i} AS idx, round(sum(n * {c}_{f}) / sum(n), 6) AS value FROM training_scales"""
     for i, f in enumerate(FEATURES) for p, c in (("scaler_mean", "mean"), ("scaler_scale", "scale")))
@@ -325,6 +327,9 @@ QUERIES = {
     "round_metrics_log": sql(
         """SELECT run, rounds, total_samples FROM (VALUES ('short', cast(2 AS bigint)), ('long', 4)) r(run, rounds),
                   (SELECT count(*) AS total_samples FROM split WHERE is_test)""", "split"),
+    "round_metrics_committed": sql(
+        """SELECT run, rounds AS n_rows, rounds, total_samples FROM (VALUES ('short', cast(2 AS bigint)), ('long', 4)) r(run, rounds),
+                  (SELECT count(*) AS total_samples FROM split WHERE is_test)""", "split"),
     "federated_parameters": sql(
         f"SELECT param, idx, value, true AS valid FROM ({AVERAGED_SCALERS}) UNION ALL "
         + " UNION ALL ".join(f"SELECT 'importance', {i}, NULL, true" for i in range(len(FEATURES))), "training_scales"),
@@ -336,6 +341,44 @@ QUERIES = {
     "federated_vs_central": sql(
         f"""SELECT mode, n, {REACHED} FROM (SELECT count(*) AS n FROM split WHERE is_test),
             (VALUES ('central'), ('federated')) m(mode)""", "split"),
+    # ---- tables kept up to date, sketches, streams with stored state
+    "incremental_table": sql(f"SELECT {MERGED} FROM merged", "merged"),
+    "incremental_partitions": sql(
+        """SELECT location, cast("timestamp" AS date) AS day, count(*) AS hours FROM merged
+           WHERE location = 'hospital_B' AND cast("timestamp" AS date) = DATE '2024-01-10' GROUP BY ALL""", "merged"),
+    "threshold_ranges": sql(
+        f"""SELECT name, location, n, round(any_value(low) FILTER (place = floor(h)), 9) AS threshold_low,
+                   round(any_value(high) FILTER (place = ceil(h)), 9) AS threshold_high,
+                   round((CASE WHEN any_value(cell) FILTER (place = floor(h)) = any_value(cell) FILTER (place = ceil(h))
+                          THEN any_value(here) FILTER (place = floor(h))
+                          ELSE any_value(here) FILTER (place = floor(h)) + any_value(here) FILTER (place = ceil(h)) END) / n, 9)
+                       AS threshold_rank_error,
+                   quantile_cont(risk_score, 0.7e0) BETWEEN any_value(low) FILTER (place = floor(h)) - 1e-12
+                       AND any_value(high) FILTER (place = ceil(h)) + 1e-12 AS bounds_hold
+            FROM (SELECT *, (n - 1) * 0.7e0 AS h, min(risk_score) OVER same AS low, max(risk_score) OVER same AS high,
+                         count(*) OVER same AS here
+                  FROM (SELECT name, location, risk_score, floor(risk_score * 4096) AS cell,
+                               row_number() OVER (PARTITION BY name, location ORDER BY risk_score) - 1 AS place,
+                               count(*) OVER (PARTITION BY name, location) AS n
+                        FROM scored JOIN ({WEEKS} UNION ALL SELECT 'month', DATE '2024-01-01', DATE '2024-02-05') w
+                        ON cast("timestamp" AS date) >= first AND cast("timestamp" AS date) < last)
+                  WINDOW same AS (PARTITION BY name, location, cell))
+            GROUP BY name, location, n""", "scored"),
+    "stream_following_limits": sql(
+        f"""SELECT s.location, s."timestamp", risk_score, round(threshold, 9) AS threshold, learned_from,
+                   cast(risk_score >= threshold AS integer) AS health_risk
+            FROM (SELECT scored.*, name FROM scored JOIN ({WEEKS}) w
+                  ON cast("timestamp" AS date) >= first AND cast("timestamp" AS date) < last) s
+            LEFT JOIN (SELECT name, location, n AS learned_from, high AS threshold
+                       FROM (SELECT name, location, max(risk_score) OVER (PARTITION BY name, location, floor(risk_score * 4096)) AS high,
+                                    row_number() OVER (PARTITION BY name, location ORDER BY risk_score) - 1 AS place,
+                                    count(*) OVER (PARTITION BY name, location) AS n
+                             FROM scored JOIN ({WEEKS}) w ON cast("timestamp" AS date) < first)
+                       WHERE place = ceil((n - 1) * 0.7e0)) l ON s.name = l.name AND s.location = l.location""", "scored"),
+    "stream_repaired_vitals": sql("SELECT * FROM vitals", "vitals"),
+    "stream_repaired_hours": sql(
+        """SELECT location, "timestamp", count(*) AS late_readings FROM readings
+           WHERE "timestamp" < TIMESTAMP '2024-01-23' GROUP BY ALL""", "readings"),
     # ---- streams: append mode holds back hours the watermark has not passed
     "stream_hourly_vitals": sql(
         """SELECT * FROM vitals

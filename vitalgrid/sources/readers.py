@@ -60,11 +60,14 @@ def read_nodes(spark: SparkSession, folder: str, nodes: Sequence[str]) -> Source
     )
 
 
-def read_partitioned_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV folders by location; the location comes from the folder name."""
+def read_partitioned_csv(
+    spark: SparkSession, path: str | Sequence[str], schema: T.StructType, base: str | None = None
+) -> DataFrame:
+    """CSV folders by location; the location comes from the folder name. Single files need `base`, the folder of all."""
     own = [f for f in schema.fields if f.name != "location"]
     with_location = T.StructType([*own, T.StructField("location", T.StringType())])
-    return clean(spark.read.schema(with_location).options(**CSV).csv(path))
+    reader = spark.read.schema(with_location).options(**CSV)
+    return clean((reader.option("basePath", base) if base else reader).csv(path))
 
 
 def read_source_folders(spark: SparkSession, path: str) -> Sources:
