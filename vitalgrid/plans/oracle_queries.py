@@ -375,6 +375,19 @@ QUERIES = {
                                     count(*) OVER (PARTITION BY name, location) AS n
                              FROM scored JOIN ({WEEKS}) w ON cast("timestamp" AS date) < first)
                        WHERE place = ceil((n - 1) * 0.7e0)) l ON s.name = l.name AND s.location = l.location""", "scored"),
+    "stream_episodes": sql(
+        """SELECT location, type, event, "timestamp", hours, peak FROM (
+               SELECT location, type, 'onset' AS event, min("timestamp") AS "timestamp", cast(1 AS bigint) AS hours,
+                      arg_min(value, "timestamp") AS peak
+               FROM episode_hours GROUP BY location, type, episode
+               UNION ALL
+               SELECT location, type, 'end', CASE WHEN max(silent::int) = 1 THEN max("timestamp") ELSE max(next) END, count(*), max(value)
+               FROM episode_hours GROUP BY location, type, episode HAVING max(next) > max("timestamp"))""", "episode_hours"),
+    "stream_gaps": sql(
+        """SELECT location, "timestamp" FROM (
+               SELECT location, unnest(generate_series(min("timestamp"), max("timestamp"), INTERVAL 1 HOUR)) AS "timestamp"
+               FROM passed_hours GROUP BY location)
+           EXCEPT SELECT location, "timestamp" FROM passed_hours""", "passed_hours"),
     "stream_repaired_vitals": sql("SELECT * FROM vitals", "vitals"),
     "stream_repaired_hours": sql(
         """SELECT location, "timestamp", count(*) AS late_readings FROM readings
@@ -438,6 +451,48 @@ QUERIES = {
         "readings", "air", "weather"),
     "duplicate_readings": sql(
         'SELECT user_id, "timestamp", count(*) AS n FROM readings GROUP BY ALL HAVING count(*) > 1', "readings"),
+    "ks_alerts": sql(
+        """SELECT feature, round(ks, 9) AS value, round(0.5e0 * unit, 9) AS critical, 'drift' AS type,
+                  CASE WHEN ks > 0.9e0 * unit THEN 'high' ELSE 'medium' END AS severity
+           FROM (SELECT feature, sqrt((n_ref + n_cur) / (n_ref * 1e0 * n_cur)) AS unit, ks
+                 FROM (SELECT feature, n_ref, n_cur, max(abs(cum_ref / n_ref - cum_cur / n_cur)) AS ks
+                       FROM (SELECT feature, cum_ref, cum_cur, max(cum_ref) OVER (PARTITION BY feature) AS n_ref,
+                                    max(cum_cur) OVER (PARTITION BY feature) AS n_cur
+                             FROM (SELECT feature,
+                                          count(*) FILTER (NOT is_current) OVER (PARTITION BY feature ORDER BY value) AS cum_ref,
+                                          count(*) FILTER (is_current) OVER (PARTITION BY feature ORDER BY value) AS cum_cur
+                                   FROM long_rows)) GROUP BY ALL))
+           WHERE ks > 0.5e0 * unit""", "long_rows"),
+    "drift_series": sql(
+        """SELECT c.name, c.feature, c.n_ref, c.n_cur, round(psi, 6) AS psi, round(ks_low, 6) AS ks_low, round(ks_high, 6) AS ks_high,
+                  ks BETWEEN ks_low - 1e-9 AND ks_high + 1e-9 AS bounds_hold
+           FROM (SELECT name, feature, n_ref, n_cur, max(low) AS ks_low, max(high) AS ks_high,
+                        sum((greatest(ref / n_ref, 1e-4) - greatest(cur / n_cur, 1e-4))
+                            * ln(greatest(ref / n_ref, 1e-4) / greatest(cur / n_cur, 1e-4))) AS psi
+                 FROM (SELECT name, feature, n_ref, n_cur, bin, sum(ref) AS ref, sum(cur) AS cur,
+                              max(abs(upto_ref / n_ref - upto_cur / n_cur)) AS low,
+                              max(greatest(upto_ref / n_ref - (upto_cur - cur) / n_cur, upto_cur / n_cur - (upto_ref - ref) / n_ref)) AS high
+                       FROM (SELECT *, least(9, floor((upto_ref - ref) * 10 / n_ref)) AS bin
+                             FROM (SELECT name, feature, ref, cur, sum(ref) OVER upto AS upto_ref, sum(cur) OVER upto AS upto_cur,
+                                          cast(sum(ref) OVER every AS bigint) AS n_ref, cast(sum(cur) OVER every AS bigint) AS n_cur
+                                   FROM (SELECT name, feature,
+                                                CASE WHEN value < 0 THEN -1 ELSE 1 END * floor(ln(1 + abs(value)) * 512 + 0.37e0) AS cell,
+                                                count(*) FILTER (NOT here) AS ref, count(*) FILTER (here) AS cur
+                                         FROM day_pairs GROUP BY ALL)
+                                   WINDOW upto AS (PARTITION BY name, feature ORDER BY cell), every AS (PARTITION BY name, feature)))
+                       GROUP BY ALL) GROUP BY ALL) c
+           JOIN (SELECT name, feature, max(abs(cum_ref / n_ref - cum_cur / n_cur)) AS ks
+                 FROM (SELECT name, feature, count(*) FILTER (NOT here) OVER upto AS cum_ref, count(*) FILTER (here) OVER upto AS cum_cur,
+                              count(*) FILTER (NOT here) OVER every AS n_ref, count(*) FILTER (here) OVER every AS n_cur
+                       FROM day_pairs
+                       WINDOW upto AS (PARTITION BY name, feature ORDER BY value), every AS (PARTITION BY name, feature))
+                 GROUP BY ALL) e USING (name, feature)
+           WHERE c.n_ref > 0 AND c.n_cur > 0""", "day_pairs"),
+    "site_correlations": sql(
+        " UNION ALL ".join(
+            f"""SELECT '{m}' AS measure, x.location AS a, y.location AS b, count(*) AS n, round(corr(x.{m}, y.{m}), 6) AS corr
+                FROM merged x JOIN merged y ON x."timestamp" = y."timestamp" AND x.location < y.location GROUP BY ALL"""
+            for m in DRIFT_FEATURES), "merged"),
     "correlations": sql(
         " UNION ALL ".join(
             f"""SELECT location, '{a}' AS a, '{b}' AS b, round(corr({a}, {b}), 6) AS corr FROM merged GROUP BY location"""
