@@ -47,6 +47,56 @@ def test_limits_adapt_to_their_group(spark):
     assert all(kept.values())
 
 
+def odd_one(measure, i):
+    """A text that stands out in one measure only, and passes the base rules."""
+    lines = {
+        "symbols_per_mille": [f"w{i}x{k} #" if k % 2 else f"w{i}x{k}" for k in range(40)],
+        "dup_lines_per_mille": [x for k in range(20) for x in (f"a{i}b{k} c{k}d{i} e{i}f{k} g{k}h{i} i{i}j{k} k{k}l{i}", "yes")],
+        "word_length_centi": ["x" * 9 + f"{i}-{k:03}" for k in range(40)],
+    }
+    return "\n".join(lines[measure]) if measure.startswith("dup") else " ".join(lines[measure])
+
+
+@pytest.mark.parametrize("measure", sorted(quality.MEASURES))
+def test_each_measure_rejects_by_itself(spark, measure):
+    """Prose with words of differing lengths, and one text that only one measure finds odd."""
+    rows = [(i, " ".join("abcdefgh"[: 3 + (i * k) % 5] + str(k) for k in range(60)), "en", "s") for i in range(200)]
+    table = spark.createDataFrame([*rows, (999, odd_one(measure, 7), "en", "s")], "doc_id long, text string, lang string, source string")
+    rows = quality.judged(quality._measured_rows(table)).collect()
+    odd = next(r for r in rows if r["_doc_id"] == 999)
+    value = {
+        "symbols_per_mille": odd["n_symbols"] * 1000 // odd["n_words"],
+        "dup_lines_per_mille": odd["n_dup_lines"] * 1000 // odd["n_lines"],
+        "word_length_centi": odd["word_chars"] * 100 // odd["n_words"],
+    }
+    assert not odd["base_failed"] and not odd["kept"]
+    assert [m for m, v in value.items() if v > odd[f"high_{m}"]] == [measure]
+    assert all(r["kept"] for r in rows if r["_doc_id"] != 999)
+
+
+def test_low_words_are_rejected(spark):
+    rows = [(i, " ".join(f"word{k}x{i % 7}" for k in range(50)), "en", "s") for i in range(200)]
+    table = spark.createDataFrame([*rows, (999, " ".join("abcdefghijkl"), "en", "s")], "doc_id long, text string, lang string, source string")
+    found = quality.judged(quality._measured_rows(table)).collect()
+    assert {r["_doc_id"] for r in found if not r["kept"]} == {999}
+    assert all(r["low_word_length_centi"] > 0 for r in found)
+
+
+def test_fences_differ_between_groups_and_have_no_size_switch(spark):
+    """The fence of a group moves away from its language's as it grows, in small steps."""
+    long_words = [(i, " ".join(f"verylongword{k}x{i % 5}" for k in range(30)), "en", "big") for i in range(400)]
+    fences = []
+    for n in (1, 50, 199, 200, 201, 800):
+        short = [(1000 + i, " ".join(f"w{k}x{i % 5}" for k in range(30)), "en", "own") for i in range(n)]
+        table = spark.createDataFrame(long_words + short, "doc_id long, text string, lang string, source string")
+        found = quality.limits(quality._measured_rows(table)).collect()
+        high = {r["_source_key"]: r["high_word_length_centi"] for r in found}
+        assert high["=big"] != high["=own"]
+        fences.append(high["=own"])
+    assert fences[0] > 0.95 * high["=big"] / 2 and fences[0] > 1.3 * fences[1] > 1.3 * fences[2]
+    assert max(fences[2:5]) - min(fences[2:5]) < 0.01 * fences[2]
+
+
 @pytest.fixture(scope="module")
 def benchmark(spark, texts):
     items = {

@@ -25,15 +25,23 @@ counts AS (SELECT d.r, doc_id, lang, source, len(w)::BIGINT AS n_words,
 base AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM counts)"""
 
 
-def _fences(name: str, by: str) -> str:
-    """Quartile fences per group and measure from the bucket counts."""
+# measure, its value, percents of the lower (0: none) and the upper quantile
+_MEASURES = (
+    ("s", "n_symbols * 1000 // greatest(n_words, 1)", 0, 85),
+    ("d", "n_dup_lines * 1000 // greatest(n_lines, 1)", 0, 99),
+    ("l", "word_chars * 100 // greatest(n_words, 1)", 15, 85),
+)
+
+
+def _quantiles(name: str, by: str) -> str:
+    """Lower, middle and upper quantile per group and measure from the bucket counts."""
     key = f"{by}," if by else ""
     return f"""
-{name}_m AS (SELECT {key} measure, spread, low_too, bucket, sum(n) AS n FROM sketch GROUP BY ALL),
+{name}_m AS (SELECT {key} measure, low, high, bucket, sum(n) AS n FROM sketch GROUP BY ALL),
 {name}_r AS (SELECT *, sum(n) OVER (PARTITION BY {key} measure ORDER BY bucket) AS upto,
         sum(n) OVER (PARTITION BY {key} measure) AS total FROM {name}_m),
-{name} AS (SELECT {key} measure, max(total) AS docs, min(spread) AS spread, bool_or(low_too) AS low_too,
-        min(bucket) FILTER (4 * upto >= total) AS q1, min(bucket) FILTER (4 * upto >= 3 * total) AS q3
+{name} AS (SELECT {key} measure, max(total)::BIGINT AS docs, min(bucket) FILTER (100 * upto >= low * total) AS ql,
+        min(bucket) FILTER (100 * upto >= 50 * total) AS qm, min(bucket) FILTER (100 * upto >= high * total) AS qh
     FROM {name}_r GROUP BY ALL)"""
 
 
@@ -42,25 +50,23 @@ def quality(final: str) -> str:
     bits = "greatest(length(bin(v)) - 6, 0)"
     join = " AND ".join(f"coalesce('=' || {{0}}.{c}, '') = coalesce('=' || j.{c}, '')" for c in ("lang", "source"))
     lang = join.split(" AND ")[0]
+    values = ", ".join(f"{{'measure': '{m}', 'low': {low}, 'high': {high}, 'v': {v}}}" for m, v, low, high in _MEASURES)
+    blend = ", ".join(
+        f"(o.docs * o.{q} + 50 * ((l.docs * l.{q} + 50 * a.{q}) // (l.docs + 50))) // (o.docs + 50) AS {q}"
+        for q in ("ql", "qm", "qh"))
     return f"""
 WITH {_counts()},
-vals AS (SELECT r, lang, source, base_failed, unnest([
-        {{'measure': 's', 'spread': 100, 'low_too': false, 'v': n_symbols * 1000 // greatest(n_words, 1)}},
-        {{'measure': 'd', 'spread': 150, 'low_too': false, 'v': n_dup_lines * 1000 // greatest(n_lines, 1)}},
-        {{'measure': 'l', 'spread': 200, 'low_too': true, 'v': word_chars * 100 // greatest(n_words, 1)}}],
-        max_depth := 2) FROM base),
-sketch AS (SELECT lang, source, measure, spread, low_too, ((v >> {bits}) << {bits}) AS bucket, count(*) AS n
+vals AS (SELECT r, lang, source, base_failed, unnest([{values}], max_depth := 2) FROM base),
+sketch AS (SELECT lang, source, measure, low, high, ((v >> {bits}) << {bits}) AS bucket, count(*) AS n
     FROM vals WHERE NOT base_failed GROUP BY ALL),
-{_fences('of_own', 'lang, source')}, {_fences('of_lang', 'lang')}, {_fences('of_all', '')},
+{_quantiles('of_own', 'lang, source')}, {_quantiles('of_lang', 'lang')}, {_quantiles('of_all', '')},
 outside AS (SELECT DISTINCT j.r
-    FROM vals j
+    FROM (SELECT *, ((v >> {bits}) << {bits}) AS b FROM vals) j
     JOIN of_own o ON o.measure = j.measure AND {join.format('o')}
     JOIN of_lang l ON l.measure = j.measure AND {lang.format('l')}
     JOIN of_all a ON a.measure = j.measure,
-    LATERAL (SELECT CASE WHEN o.docs >= 200 THEN o.q1 WHEN l.docs >= 200 THEN l.q1 ELSE a.q1 END AS q1,
-                    CASE WHEN o.docs >= 200 THEN o.q3 WHEN l.docs >= 200 THEN l.q3 ELSE a.q3 END AS q3) q
-    WHERE j.v > q.q3 + 3 * greatest(q.q3 - q.q1, j.spread)
-        OR j.low_too AND j.v < q.q1 - 3 * greatest(q.q3 - q.q1, j.spread)),
+    LATERAL (SELECT {blend}) q
+    WHERE j.b > q.qh + 5 * (q.qh - q.qm) OR j.low > 0 AND j.b < q.ql - 5 * (q.qm - q.ql)),
 judged AS (SELECT *, NOT base_failed AND r NOT IN (SELECT r FROM outside) AS kept FROM base)
 {final}"""
 

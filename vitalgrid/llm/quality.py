@@ -4,13 +4,17 @@ A sketch is a histogram with buckets that are exact below 64 and then keep the t
 (at most 3 % wide). Two sketches merge by adding counts, in any order and with the same result,
 so counts combine map-side, a hot source adds only bucket rows, and a lost executor changes
 nothing. The sketch of a language is the sum of those of its sources; the sketch of all
-documents is the sum of those of the languages. A (language, source) group of fewer than
-`MIN_DOCUMENTS` documents is judged by its language's sketch, and a language of fewer by that
-of all.
+documents is the sum of those of the languages.
 
-A document is rejected when a measure lies outside the fences of its group: the quartiles,
-moved outwards by `FENCE` times the quartile distance. That distance counts as `spread` at
-least, or a group of equal documents would reject the first that differs a little.
+Thresholds are quantiles read from these sketches. A group's quantile is the mean of its own and its
+language's, weighted by its number of documents and by `PRIOR`; a language's is blended with that of
+all documents in the same way. So every group is judged by its own documents as far as it has them,
+and there is no size at which the judgement changes.
+
+A document is rejected when the bucket of a measure lies outside the fences of its group: an outer
+quantile (`MEASURES`), moved outwards by `FENCE` times its distance from the median. Values that tie
+with the quantile stay, so a measure that is nearly always 0 rejects what is above 0, and one
+that varies leaves room in proportion.
 """
 
 from pyspark.sql import Column, DataFrame, Window
@@ -23,15 +27,18 @@ from .text import packed, text_key, unpacked, words
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 WINDOW = 5
-FENCE = 3
-MIN_DOCUMENTS = 200
+FENCE = 5
+# documents that a language, or all documents, count for in the quantiles of a group
+PRIOR = 50
 SYMBOL = r"[#*$%&|<>]"
-# measure -> (least spread, whether low values are rejected too); per 1,000 words or lines,
-# word length in hundredths of a code point
+MEDIAN = 50
+# measure -> percents of the outer quantiles, lower (None: low values are fine) and upper; per 1,000
+# words or lines, word length in hundredths of a code point. Prose repeats a line now and then,
+# so that quantile lies further out.
 MEASURES = {
-    "symbols_per_mille": (100, False),
-    "dup_lines_per_mille": (150, False),
-    "word_length_centi": (200, True),
+    "symbols_per_mille": (None, 85),
+    "dup_lines_per_mille": (None, 99),
+    "word_length_centi": (15, 85),
 }
 
 
@@ -123,47 +130,47 @@ def sketches(rows: DataFrame) -> DataFrame:
     )
 
 
-def _fences(sketch: DataFrame, by: list[str]) -> DataFrame:
-    """Merge sketches to one per group of `by` and read its fences: by, documents, low_<m>, high_<m>."""
+def _quantiles(sketch: DataFrame, by: list[str]) -> DataFrame:
+    """Merge sketches to one per group of `by` and read it: by, documents, and <measure>_<percent>."""
     merged = sketch.groupBy(*by, "measure", "bucket").agg(F.sum("n").alias("n"))
     group = Window.partitionBy(*by, "measure")
     ranked = merged.withColumns({
         "upto": F.sum("n").over(group.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)),
         "total": F.sum("n").over(group),
     })
-    quartiles = ranked.groupBy(*by, "measure").agg(
-        F.max("total").alias("documents"),
-        F.min(F.when(4 * F.col("upto") >= F.col("total"), F.col("bucket"))).alias("q1"),
-        F.min(F.when(4 * F.col("upto") >= 3 * F.col("total"), F.col("bucket"))).alias("q3"),
-    )
-    columns = [F.max("documents").alias("documents")]
-    for name, (spread, two_sided) in MEASURES.items():
-        reach = FENCE * F.greatest(F.col("q3") - F.col("q1"), F.lit(spread))
-        mine = F.col("measure") == name
-        columns.append(F.max(F.when(mine, F.col("q3") + reach)).alias(f"high_{name}"))
-        low = F.col("q1") - reach if two_sided else F.lit(-1)
-        columns.append(F.max(F.when(mine, low)).cast("long").alias(f"low_{name}"))
-    return quartiles.groupBy(*by).agg(*columns)
+    columns = [F.max("total").alias("documents")]
+    for name, percents in MEASURES.items():
+        for p in (*percents, MEDIAN):
+            if p is not None:
+                there = (F.col("measure") == name) & (100 * F.col("upto") >= p * F.col("total"))
+                columns.append(F.min(F.when(there, F.col("bucket"))).alias(f"{name}_{p}"))
+    return ranked.groupBy(*by).agg(*columns)
 
 
 def limits(rows: DataFrame) -> DataFrame:
-    """Fences for every _lang_key and _source_key that has a document which passes the base rules."""
+    """low_ and high_ fences for every _lang_key and _source_key that has a document which passes the base rules."""
     sketch = written(sketches(rows), "quality-sketch")
-    own = _fences(sketch, ["_lang_key", "_source_key"])
-    of_lang = _fences(sketch, ["_lang_key"])
-    of_all = _fences(sketch.withColumn("_all", F.lit(0)), ["_all"])
+    own = _quantiles(sketch, ["_lang_key", "_source_key"])
+    of_lang = _quantiles(sketch, ["_lang_key"])
+    of_all = _quantiles(sketch.withColumn("_all", F.lit(0)), ["_all"])
     names = [c for c in own.columns if c not in ("_lang_key", "_source_key")]
     joined = own.join(of_lang.select("_lang_key", *[F.col(c).alias(f"lang_{c}") for c in names]), "_lang_key")
     joined = joined.withColumn("all", of_all.select(F.struct(*names)).scalar())
 
-    def chosen(c):
-        return (
-            F.when(F.col("documents") >= MIN_DOCUMENTS, F.col(c))
-            .when(F.col("lang_documents") >= MIN_DOCUMENTS, F.col(f"lang_{c}"))
-            .otherwise(F.col("all").getField(c))
+    def blended(name, p):
+        quantile = f"{name}_{p}"
+        return F.expr(
+            f"(documents * {quantile} + {PRIOR} * ((lang_documents * lang_{quantile} + {PRIOR} * all.{quantile})"
+            f" div (lang_documents + {PRIOR}))) div (documents + {PRIOR})"
         )
 
-    return joined.select("_lang_key", "_source_key", *[chosen(c).alias(c) for c in names if c != "documents"])
+    fences = []
+    for name, (low, high) in MEASURES.items():
+        middle, upper = blended(name, MEDIAN), blended(name, high)
+        fences.append((upper + FENCE * (upper - middle)).alias(f"high_{name}"))
+        lower = F.lit(None).cast("long") if low is None else blended(name, low)
+        fences.append(F.coalesce(lower - FENCE * (middle - lower), F.lit(0).cast("long")).alias(f"low_{name}"))
+    return joined.select("_lang_key", "_source_key", *fences)
 
 
 def _measured_rows(docs: DataFrame) -> DataFrame:
@@ -177,7 +184,7 @@ def judged(rows: DataFrame) -> DataFrame:
     fenced = attach(rows, limits(rows), ["_lang_key", "_source_key"])
     inside = F.lit(True)
     for name, value in _measures().items():
-        inside = inside & (value <= F.col(f"high_{name}")) & (value >= F.col(f"low_{name}"))
+        inside = inside & bucket(value).between(F.col(f"low_{name}"), F.col(f"high_{name}"))
     return fenced.withColumn("kept", ~F.col("base_failed") & F.coalesce(inside, F.lit(False)))
 
 
