@@ -6,11 +6,13 @@ compared to each profile: an n-gram adds the distance between its two ranks, or
 profile lacks it. The language with the smallest sum is predicted; the score is one minus that
 sum's share of the largest possible.
 
-Training counts are summed in tasks before the shuffle, so a language with most documents is no hot
-key. What reaches the driver is the profiles: `PROFILE` rows per language.
+Training counts are summed in tasks before the shuffle, and a language's list is cut to `PROFILE` rows before its
+n-grams meet in one task, so a language with most documents is no hot key. What reaches the driver and the tasks is
+the profiles: `PROFILE` rows for each of at most `MAX_LANGUAGES` languages.
 """
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +22,8 @@ from pyspark.sql import functions as F
 from ..session import written
 
 PROFILE = 400
+# more values of lang than this are no languages: an error, not a cut
+MAX_LANGUAGES = 20_000
 UNKNOWN = "und"
 # documents with this remainder of crc32(doc_id) modulo 4 are held out
 FOLDS, HELD_OUT = 4, 2
@@ -92,32 +96,63 @@ def _count_grams(batches: Iterator[pa.RecordBatch], flush: int = 4 << 20) -> Ite
     yield from out()
 
 
+def ranked(counted: DataFrame) -> DataFrame:
+    """lang, gram, rank of the most frequent n-grams of each language; counts (lang, gram, n) may come in parts."""
+    summed = counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    order = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
+    # compared before anything else, so that each task cuts its part of a language's list
+    found = summed.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= PROFILE)
+    return found.select("lang", "gram", (F.col("rank") - 1).alias("rank"))
+
+
 def learn(training: DataFrame) -> DataFrame:
     """lang, gram, rank (0 first): the profiles of `training` (lang, text); rows with a NULL in either are no help."""
     rows = training.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
     rows = rows.filter("lang is not null and text is not null")
     counted = rows.mapInArrow(_count_grams, "lang string, gram long, n long")
-    summed = counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    order = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
-    ranked = summed.withColumn("rank", F.row_number().over(order) - 1).filter(F.col("rank") < PROFILE)
-    return written(ranked.select("lang", "gram", "rank"), "profiles")
-
-
-def _predict(langs: list[str], codes: np.ndarray, ranks: np.ndarray):
-    """`ranks` has one row per n-gram of any profile (sorted codes) and one column per language."""
-
-    def place(text):
+    return written(ranked(counted), "profiles")
+
+
+@dataclass(frozen=True)
+class Profiles:
+    """Languages by name, n-gram codes in order, and per code the languages that have it with its rank there."""
+
+    langs: list[str]
+    codes: np.ndarray
+    starts: np.ndarray
+    lang: np.ndarray
+    rank: np.ndarray
+
+    @classmethod
+    def of(cls, langs: np.ndarray, codes: np.ndarray, ranks: np.ndarray) -> "Profiles":
+        names, lang = np.unique(langs.astype(str), return_inverse=True)
+        order = np.lexsort((lang, codes))
+        distinct, starts = np.unique(codes[order], return_index=True)
+        return cls(
+            names.tolist(), distinct, np.append(starts, len(codes)), lang[order].astype(np.int32),
+            ranks[order].astype(np.int16),
+        )
+
+    def place(self, text: str | None) -> tuple[str, float]:
+        """The nearest language and one minus the share of its distance in the largest possible."""
         own = most_frequent(grams(text)) if text else np.empty(0, np.int64)
-        if not len(own) or not langs:
+        if not len(own) or not self.langs:
             return UNKNOWN, 0.0
-        at = np.searchsorted(codes, own)
-        at[at == len(codes)] = 0
-        found = np.where((codes[at] == own)[:, None], ranks[at], PROFILE)
-        distance = np.where(found == PROFILE, PROFILE, np.abs(found - np.arange(len(own))[:, None])).sum(axis=0)
-        best = int(np.argmin(distance))
-        return langs[best], float(1 - distance[best] / (PROFILE * len(own)))
-
+        at = np.searchsorted(self.codes, own)
+        at[at == len(self.codes)] = 0
+        hit = np.flatnonzero(self.codes[at] == own)
+        count = self.starts[at[hit] + 1] - self.starts[at[hit]]
+        entry = np.arange(count.sum()) + np.repeat(self.starts[at[hit]] - np.cumsum(count) + count, count)
+        # an n-gram that a profile lacks is PROFILE away: sum up by how much the others are nearer
+        nearer = PROFILE - np.abs(self.rank[entry].astype(np.int64) - np.repeat(hit, count))
+        saved = np.bincount(self.lang[entry], nearer, len(self.langs))
+        best = int(np.argmax(saved))
+        return self.langs[best], float(saved[best] / (PROFILE * len(own)))
+
+
+def _predict(shared):
     def run(batches):
+        place = shared.value.place
         for batch in batches:
             found = [place(text) for text in batch["text"].to_pylist()]
             yield pa.RecordBatch.from_arrays([
@@ -130,14 +165,13 @@ def _predict(langs: list[str], codes: np.ndarray, ranks: np.ndarray):
 
 def predict(docs: DataFrame, profiles: DataFrame) -> DataFrame:
     """doc_id, held_out, lang_pred, score of every row of `docs` (doc_id, held_out, text)."""
+    if profiles.select("lang").distinct().count() > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} values of lang: not a language column")
     table = profiles.toPandas()
-    langs = sorted(table["lang"].unique())
-    codes = np.unique(table["gram"].to_numpy(np.int64))
-    ranks = np.full((len(codes), len(langs)), PROFILE, np.int64)
-    column = {lang: i for i, lang in enumerate(langs)}
-    ranks[np.searchsorted(codes, table["gram"]), table["lang"].map(column).to_numpy(int)] = table["rank"]
+    found = Profiles.of(table["lang"].to_numpy(), table["gram"].to_numpy(np.int64), table["rank"].to_numpy(np.int64))
+    shared = docs.sparkSession.sparkContext.broadcast(found)
     return docs.select("doc_id", "held_out", "text").mapInArrow(
-        _predict(langs, codes, ranks), "doc_id long, held_out boolean, lang_pred string, score double"
+        _predict(shared), "doc_id long, held_out boolean, lang_pred string, score double"
     )
 
 
