@@ -8,8 +8,6 @@ from vitalgrid.llm import decontaminate, mixing, quality, signature_join, token_
 from vitalgrid.session import scratch_path, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
-# of the tokens that reach the mixture; the given tables keep more than this without repeats
-LEAST_SHARE = 0.25
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,11 +26,8 @@ def benchmark_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def target_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A sample whose expected tokens have tempered shares of sources, languages and topics.
-
-    Documents are repeated where it would hold less than `LEAST_SHARE` of the tokens.
-    """
-    return mixing.mixed_documents(docs, least_share=LEAST_SHARE)
+    """A sample of half the tokens, with tempered shares of sources, languages and topics."""
+    return mixing.mixed_documents(docs)
 
 
 def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
