@@ -163,7 +163,8 @@ def test_raked_weights_meet_targets(spark):
     assert fitted["calibrated"].all()
     for d, want in (("source", {"a": 0.4, "b": 0.6}), ("lang", {"x": 0.7, "y": 0.3}), ("topic", {"t": 0.9, "u": 0.1})):
         assert fitted.groupby(d)["weight"].sum().to_dict() == pytest.approx(want, abs=1e-9)
-    assert fitted["probability"].max() == 1
+    expected = mixing.budgeted(mixing.raked(cells, targets), 0.8).toPandas()
+    assert (expected["expected"] * expected["tokens"]).sum() == pytest.approx(0.8 * 1020)
 
 
 def test_contradicting_targets_say_so(spark):
@@ -179,11 +180,11 @@ def test_contradicting_targets_say_so(spark):
 def test_mixture_rows(odd_docs, no_docs):
     found = mixing.mixture(odd_docs).collect()
     assert len(found) == odd_docs.count()
-    assert all(not r["sampled"] for r in found if r["tokens"] == 0)
-    assert all(0 <= r["probability"] <= 1 for r in found)
+    assert all(r["copies"] == 0 for r in found if r["tokens"] == 0)
+    assert all(int(r["expected"]) <= r["copies"] <= int(r["expected"]) + 1 for r in found)
     mixed = mixing.mixed_documents(odd_docs)
     assert mixed.columns == odd_docs.columns
-    assert mixed.count() == sum(r["sampled"] for r in found)
+    assert mixed.count() == sum(r["copies"] for r in found)
     assert mixing.mixture(no_docs).count() == mixing.mixed_documents(no_docs).count() == 0
 
 
@@ -197,21 +198,42 @@ def test_sample_has_the_target_shares(spark):
 
 
 def test_a_rare_cell_does_not_shrink_the_sample(spark, smoke_dir):
-    """One document of a new source lets the rest stay; the least share is met by repeats, with the same targets."""
+    """One document of a new source is repeated and leaves the rest as it was."""
     rows = [(i, "some words of text here", "en" if i % 4 else "de", "big" if i % 10 else "small") for i in range(20_000)]
-    table = spark.createDataFrame([*rows, (20_000, "rare", "en", "new")], "doc_id long, text string, lang string, source string")
-    cell = mixing.cells(mixing._weighed(table))
-    fitted = mixing.raked(cell, mixing.tempered(cell))
-    assert fitted.agg(F.sum(F.col("tokens") * F.col("probability"))).first()[0] < 0.2 * 100_001
-    assert mixing.mixed_documents(table).count() < 0.2 * 20_001
+    schema = "doc_id long, text string, lang string, source string"
+    without = spark.createDataFrame(rows, schema)
+    table = spark.createDataFrame([*rows, (20_000, "rare", "en", "new")], schema)
     sample = corpus_pipeline.target_weights(spark, table, smoke_dir)
     assert sample.columns == table.columns
     found = sample.toPandas()
-    assert len(found) == pytest.approx(0.25 * 20_001, rel=0.05)
+    assert len(found) == pytest.approx(mixing.BUDGET * 20_001, rel=0.02)
+    before = mixing.mixed_documents(without).count()
+    assert (found["source"] != "new").sum() == pytest.approx(before, rel=0.01)
     assert (found["source"] == "new").sum() > 1
-    before = table.toPandas()["source"].value_counts(normalize=True) ** mixing.TEMPER
+    weight = table.toPandas()["source"].value_counts(normalize=True) ** mixing.TEMPER
     shares = found["source"].value_counts(normalize=True)
-    assert shares["small"] == pytest.approx((before / before.sum())["small"], abs=0.02)
+    assert shares["small"] == pytest.approx((weight / weight.sum())["small"], abs=0.02)
+
+
+def test_query_and_stage_draw_alike(spark, smoke_dir):
+    rows = [(i if i % 7 else None, f"text number {i % 40}", "en" if i % 4 else "de", "ab"[i % 3 > 0]) for i in range(400)]
+    table = spark.createDataFrame([*rows, (3, None, None, "a")], "doc_id long, text string, lang string, source string")
+    copies = {}
+    for r in mixing.mixture(table).collect():
+        copies[r["doc_id"]] = copies.get(r["doc_id"], 0) + r["copies"]
+    stage = corpus_pipeline.target_weights(spark, table, smoke_dir).groupBy("doc_id").count().collect()
+    assert {r["doc_id"]: r["count"] for r in stage} == {i: n for i, n in copies.items() if n}
+    assert 0 < copies[None] < 58
+
+
+def test_topics_and_targets_of_the_caller(spark):
+    rows = [(i, f"words about {'cats' if i % 5 else 'dogs'} here", "en", "s") for i in range(4_000)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    one = {d: spark.createDataFrame([(v, 1.0)], f"{d} string, target_{d} double") for d, v in (("source", "=s"), ("lang", "=en"))}
+    wanted = one | {"topic": spark.createDataFrame([("cats", 0.5), ("dogs", 0.5)], "topic string, target_topic double")}
+    animal = lambda text: F.when(F.contains(text, F.lit("cats")), "cats").otherwise("dogs")
+    found = mixing.mixture(table, wanted, budget=1.0, topic=animal).groupBy("topic").agg(F.sum("copies").alias("n")).collect()
+    assert {r["topic"]: r["n"] for r in found} == pytest.approx({"cats": 2000, "dogs": 2000}, rel=0.05)
 
 
 def test_rows_without_id_are_drawn_apart(spark):
@@ -219,8 +241,10 @@ def test_rows_without_id_are_drawn_apart(spark):
     rows = [(None, f"words of text {i}", "en", "big" if i % 20 else "small") for i in range(5_000)]
     table = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
     kept = {r["source"]: r["count"] for r in mixing.mixed_documents(table).groupBy("source").count().collect()}
-    assert kept["small"] == 250
-    assert kept["big"] / 4_750 == pytest.approx(19 ** (mixing.TEMPER - 1), abs=0.03)
+    weight = {"big": 0.95**mixing.TEMPER, "small": 0.05**mixing.TEMPER}
+    for source, n in (("big", 4_750), ("small", 250)):
+        want = mixing.BUDGET * 5_000 * weight[source] / sum(weight.values())
+        assert kept[source] == pytest.approx(want, rel=0.1) and 0 < kept[source] < n
 
 
 def test_uniform_equals_sql(spark):

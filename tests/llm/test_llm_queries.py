@@ -38,7 +38,7 @@ def test_pipeline_equals_brute_force(spark, smoke_dir):
     items = {r["item_id"]: r["text"] for r in spark.read.parquet(f"{smoke_dir}/benchmark.parquet").collect()}
     leaked = {d for d, _ in brute.leaks(texts, items)}
     left = docs.filter(docs["doc_id"].isin(sorted(set(texts) - leaked)))
-    sampled = sorted(r["doc_id"] for r in mixing.mixture(left).filter("sampled").collect())
+    sampled = sorted(r["doc_id"] for r in mixing.mixture(left).collect() for _ in range(r["copies"]))
 
     tokenizers = pytest.importorskip("tokenizers")
     encode = tokenizers.Tokenizer.from_file(token_blocks.tokenizer_path()).encode

@@ -2,13 +2,10 @@
 
 The tokens of each (source, lang, topic) cell are raked to the three marginals: every sweep scales
 the cells of each source, then language, then topic, to its target. The ratio of a cell's fitted to
-its own weight, divided by the largest ratio, is the probability with which its documents are
-sampled, so the expected tokens of the sample have the target shares in all three dimensions.
-
-One rare cell can have a ratio far above all others, and that scale then keeps little of the rest.
-`mixed_documents` takes a least share of the tokens: below it all probabilities are raised by one
-factor, and a document whose probability passes 1 is repeated, its whole part for certain and its
-fraction by one draw. The target shares stay exact, and no document is dropped for a rare cell.
+its own weight says how its documents are to be represented, and a budget, `BUDGET` of the tokens given, how many tokens
+the sample is expected to hold: a document is expected budget x ratio times. The whole part of that number is
+copied for certain and the fraction is one draw, so the expected tokens have the target shares in all three
+dimensions, and one rare cell with a large ratio repeats its own documents without taking anything from the rest.
 
 Only cell totals are fitted, never documents; a hot source adds one row per cell and task. While there
 are at most `LOCAL_CELLS` cells they lie in one partition, where sweeps need no shuffle. Each portion
@@ -28,6 +25,8 @@ from .text import ascii_lower, packed, text_key, unpacked
 
 # targets are the shares of the data to this power, so that large groups give way to small ones
 TEMPER = 0.8
+# expected tokens of a sample, as a share of the tokens that it is drawn from
+BUDGET = 0.5
 SWEEPS = 5
 MAX_SWEEPS = 500
 TOLERANCE = 1e-12
@@ -65,10 +64,10 @@ def tempered(cell: DataFrame, power: float = TEMPER) -> dict[str, DataFrame]:
     """For each dimension its values with target shares that sum to 1: (value, target)."""
     out = {}
     for d in DIMENSIONS:
-        one = cell.groupBy(d).agg(F.sum("tokens").alias("tokens"))
-        everything = Window.partitionBy(F.lit(0))  # one row per value
-        raised = one.withColumn("raised", F.pow(F.col("tokens") / F.sum("tokens").over(everything), F.lit(power)))
-        out[d] = raised.select(d, (F.col("raised") / F.sum("raised").over(everything)).alias(f"target_{d}"))
+        # values may be as many as hosts: their totals are scalars, never a window over all of them
+        total = cell.agg(F.sum("tokens")).scalar()
+        raised = cell.groupBy(d).agg(F.pow(F.sum("tokens") / F.first(total), F.lit(power)).alias("raised"))
+        out[d] = raised.select(d, (F.col("raised") / raised.agg(F.sum("raised")).scalar()).alias(f"target_{d}"))
     return out
 
 
@@ -88,7 +87,7 @@ def _error(cell: DataFrame) -> float:
 
 
 def raked(cell: DataFrame, targets: dict[str, DataFrame]) -> DataFrame:
-    """Cells with `weight` fitted to the targets, `probability`, and `calibrated`: whether the fit meets them.
+    """Cells with `weight` fitted to the targets, and `calibrated`: whether the fit meets them.
 
     Targets that no weights can meet (a source whose only language has a smaller target) leave the
     state after `MAX_SWEEPS` sweeps, with `calibrated` false.
@@ -104,12 +103,14 @@ def raked(cell: DataFrame, targets: dict[str, DataFrame]) -> DataFrame:
             fitted = _sweep(fitted)
         cell, done = written(fitted, "cells"), done + SWEEPS
         error = _error(cell)
-    ratio = F.col("weight") / F.col("tokens")
-    largest = cell.agg(F.max(ratio)).first()[0] or 1.0
-    return cell.select(
-        *DIMENSIONS, "tokens", "weight", (ratio / F.lit(largest)).alias("probability"),
-        F.lit(error <= CALIBRATED).alias("calibrated"),
-    )
+    return cell.select(*DIMENSIONS, "tokens", "weight", F.lit(error <= CALIBRATED).alias("calibrated"))
+
+
+def budgeted(fitted: DataFrame, budget: float = BUDGET) -> DataFrame:
+    """Fitted cells with `expected`, how often each of their documents is to be in the sample."""
+    tokens, weight = fitted.agg(F.sum("tokens"), F.sum("weight")).first()
+    scale = F.lit(budget * (tokens or 0) / (weight or 1.0))
+    return fitted.withColumn("expected", scale * F.col("weight") / F.col("tokens"))
 
 
 def uniform(doc_id: Column) -> Column:
@@ -118,66 +119,53 @@ def uniform(doc_id: Column) -> Column:
     return F.conv(digits, 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
-def _weighed(docs: DataFrame) -> DataFrame:
-    """Packed rows with _doc_id, the three dimensions and the number of words."""
+def _weighed(docs: DataFrame, topic=topic_of) -> DataFrame:
+    """Packed rows with _doc_id, the three dimensions, the number of words and what a row is drawn by."""
     rows = packed(docs, "doc_id", "text", "source", "lang").withColumn("_lower", ascii_lower(F.col("_text")))
     return rows.select(
         "_row", "_doc_id",
         text_key(F.col("_source")).alias("source"), text_key(F.col("_lang")).alias("lang"),
-        topic_of(F.col("_lower")).alias("topic"),
+        topic(F.col("_lower")).alias("topic"),
         F.coalesce(F.regexp_count("_text", F.lit(WORD)), F.lit(0)).cast("long").alias("tokens"),
-        # what a row is drawn by: texts without doc_id are told apart
+        # texts without doc_id are told apart
         F.coalesce(F.col("_doc_id").cast("string"), F.concat(F.lit("text "), F.md5(F.col("_text").cast("binary")))).alias("_drawn_by"),
     )
 
 
-def raised(fitted: DataFrame, least_share: float) -> DataFrame:
-    """Cells with all probabilities times one factor, so that `least_share` of the tokens is expected at least."""
-    if not least_share:
-        return fitted
-    kept, everything = fitted.agg(F.sum(F.col("tokens") * F.col("probability")), F.sum("tokens")).first()
-    if not kept or kept >= least_share * everything:
-        return fitted
-    return fitted.withColumn("probability", F.col("probability") * F.lit(least_share * everything / kept))
-
-
-def _sampled(rows: DataFrame, targets: dict[str, DataFrame] | None, least_share: float = 0.0) -> DataFrame:
+def _sampled(rows: DataFrame, targets: dict[str, DataFrame] | None, budget: float) -> DataFrame:
+    """Weighed rows with `expected`, `calibrated` and `copies`."""
     totals = written(cells(rows), "cells")
-    fitted = written(raked(totals, targets or tempered(totals)), "fitted")
-    fitted = raised(fitted, least_share).select(*DIMENSIONS, "probability", "calibrated")
-    joined = attach(rows, fitted, DIMENSIONS, computed=True)
-    return joined.withColumns({
-        "probability": F.coalesce(F.when(F.col("tokens") > 0, F.col("probability")), F.lit(0.0)),
+    fitted = budgeted(written(raked(totals, targets or tempered(totals)), "fitted"), budget)
+    joined = attach(rows, fitted.select(*DIMENSIONS, "expected", "calibrated"), DIMENSIONS)
+    expected = joined.withColumns({
+        "expected": F.coalesce(F.when(F.col("tokens") > 0, F.col("expected")), F.lit(0.0)),
         "calibrated": F.coalesce("calibrated", F.lit(False)),
-    }).withColumn("sampled", uniform(F.col("_doc_id")) < F.col("probability"))
+    })
+    whole = F.floor("expected")
+    drawn = uniform(F.col("_drawn_by")) < F.col("expected") - whole
+    return expected.withColumn("copies", (whole + drawn.cast("long")).cast("int"))
 
 
-def mixture(docs: DataFrame, targets: dict[str, DataFrame] | None = None) -> DataFrame:
-    """doc_id, topic, tokens, probability (six decimals), calibrated, sampled of every row.
+def mixture(
+    docs: DataFrame, targets: dict[str, DataFrame] | None = None, budget: float = BUDGET, topic=topic_of
+) -> DataFrame:
+    """doc_id, topic, tokens, expected (six decimals), calibrated and copies of every row.
 
     `targets` gives for each dimension a table (value, target_<dimension>) with shares that sum to 1;
-    values are keyed as `text_key` does. Default: `tempered`. A document without words has no weight
-    and probability 0. Rows of one doc_id in one cell are sampled together. An empty table gives an
-    empty result.
+    values are keyed as `text_key` does. Default: `tempered`. `topic` makes the topic of a lower-cased text; the
+    default tells licences, contacts, figures and prose apart. A document without words has no weight and no copy.
+    Rows of one doc_id in one cell, and equal texts without doc_id, are drawn together. An empty table gives
+    an empty result.
     """
-    rows = written(_weighed(docs).drop("_row", "_drawn_by"), "weighed")  # texts are read once
-    return _sampled(rows, targets).select(
-        F.col("_doc_id").alias("doc_id"), "topic", "tokens",
-        F.round("probability", 6).alias("probability"), "calibrated", "sampled",
+    rows = written(_weighed(docs, topic).drop("_row"), "weighed")  # texts are read once
+    return _sampled(rows, targets, budget).select(
+        F.col("_doc_id").alias("doc_id"), "topic", "tokens", F.round("expected", 6).alias("expected"), "calibrated", "copies",
     )
 
 
 def mixed_documents(
-    docs: DataFrame, targets: dict[str, DataFrame] | None = None, least_share: float = 0.0
+    docs: DataFrame, targets: dict[str, DataFrame] | None = None, budget: float = BUDGET, topic=topic_of
 ) -> DataFrame:
-    """The sampled rows of `docs`, with its columns.
-
-    The sample is expected to hold `least_share` of the tokens at least, by repeated rows where
-    probabilities pass 1. At 0, or when the share is reached without, no row is repeated. Rows without
-    doc_id are drawn by their text each; `mixture` gives them one draw, as its SQL does.
-    """
-    rows = _sampled(written(_weighed(docs), "weighed"), targets, least_share)
-    repeats = F.floor("probability").cast("int")
-    draw = (uniform(F.col("_drawn_by")) < F.col("probability") - repeats).cast("int")
-    chosen = rows.withColumn("copies", repeats + draw).filter("copies > 0")
+    """The rows of `docs` as often as `mixture` copies them, with the columns of `docs`."""
+    chosen = _sampled(written(_weighed(docs, topic), "weighed"), targets, budget).filter("copies > 0")
     return unpacked(chosen.withColumn("copy", F.explode(F.sequence(F.lit(1), "copies"))), docs.columns)

@@ -108,7 +108,7 @@ leaks AS (SELECT doc_id, item_id, any_value(n)::BIGINT AS n_item_shingles, count
 
 
 def mixture(docs: str, sweeps: int = 400) -> str:
-    """CTEs up to `mixed(doc_id, topic, tokens, probability, sampled)` over the relation `docs`."""
+    """CTEs up to `mixed(doc_id, topic, tokens, expected, copies)` over the relation `docs`."""
     dimensions = ("source", "lang", "topic")
     low = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
     targets = ", ".join(
@@ -128,17 +128,17 @@ md AS (SELECT doc_id, coalesce('=' || source, '') AS source, coalesce('=' || lan
         CASE WHEN regexp_matches({low}, 'license|licence|copyright|all rights reserved') THEN 'legal'
             WHEN regexp_matches({low}, '[a-z0-9]@[a-z0-9-]+\.[a-z]') THEN 'contact'
             WHEN regexp_matches({low}, '[0-9]') THEN 'figures' ELSE 'prose' END AS topic,
-        len({_WORDS.format('text')})::BIGINT AS tokens FROM {docs}),
+        len({_WORDS.format('text')})::BIGINT AS tokens,
+        ('0x' || substr(md5(coalesce(doc_id::VARCHAR, 'text ' || md5(text), '')), 1, 13))::BIGINT / pow(2, 52) AS draw FROM {docs}),
 cell0 AS (SELECT source, lang, topic, sum(tokens)::DOUBLE AS tokens FROM md GROUP BY ALL HAVING sum(tokens) > 0),
 {targets},
 ipf AS (SELECT 0 AS sweep, source, lang, topic, tokens, tokens AS weight, t_source, t_lang, t_topic
         FROM cell0 JOIN t_source USING (source) JOIN t_lang USING (lang) JOIN t_topic USING (topic)
     UNION ALL SELECT sweep + 1, * EXCLUDE (sweep) FROM ({step})),
-fit AS (SELECT source, lang, topic, weight / tokens AS ratio FROM ipf WHERE sweep = {sweeps}),
-chance AS (SELECT source, lang, topic, ratio / max(ratio) OVER () AS chance FROM fit),
-mixed AS (SELECT doc_id, topic, tokens, p,
-        ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT / pow(2, 52) < p AS sampled
-    FROM (SELECT md.*, CASE WHEN tokens > 0 THEN coalesce(chance, 0) ELSE 0 END AS p
+fit AS (SELECT * FROM ipf WHERE sweep = {sweeps}),
+chance AS (SELECT source, lang, topic, 0.5e0 * (sum(tokens) OVER ()) / (sum(weight) OVER ()) * weight / tokens AS expected FROM fit),
+mixed AS (SELECT doc_id, topic, tokens, expected, (floor(expected) + (draw < expected - floor(expected))::INT)::INT AS copies
+    FROM (SELECT md.* , CASE WHEN tokens > 0 THEN coalesce(chance.expected, 0) ELSE 0 END AS expected
         FROM md LEFT JOIN chance USING (source, lang, topic)))"""
 
 
@@ -180,7 +180,7 @@ SQL = {
     ),
     "op3_jaccard_join": f"WITH RECURSIVE {jaccard('documents')} SELECT * FROM component",
     "op5_mixture": f"""WITH RECURSIVE {mixture('documents')}
-SELECT doc_id, topic, tokens, round(p, 6) AS probability, true AS calibrated, sampled FROM mixed""",
+SELECT doc_id, topic, tokens, round(expected, 6) AS expected, true AS calibrated, copies FROM mixed""",
     "op6_substring_dedup": substring_dedup(),
     "op7_url_filter": url_filter(),
     "op10_decontamination": f"WITH {containment('documents')} SELECT * FROM leaks",
