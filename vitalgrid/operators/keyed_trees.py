@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path, written
-from .attach import attach
+from .attach import BROADCAST_VALUES, attach
 
 PART_ROWS = 1 << 16
 BLOCK = 8
@@ -228,28 +228,31 @@ def _spread(splits: DataFrame, rows: DataFrame) -> DataFrame:
     """The splits once for every part of their location."""
     # columns of their own names, so that a cogroup with the rows can tell them apart
     parts = rows.select(F.col("location").alias("location"), F.col("part").alias("part")).distinct()
-    return attach(parts, splits, ["location"], "inner", computed=True)
+    return attach(splits, parts, ["location"], "inner")
 
 
 def grow(rows: DataFrame, forest: Forest) -> DataFrame:
-    """The splits of all trees of all locations of `rows` (location, part, key, y, bins), as a written table."""
+    """The splits of all trees of all locations of `rows` (location, part, key, y, bins), as written tables."""
     spark = rows.sparkSession
-    path = scratch_path(spark, "splits")
     last = -(-forest.trees // BLOCK) - 1
     blocks = rows.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(last))))
     key = ["location", "part", "block"]
-    spark.createDataFrame([], SPLITS).write.parquet(path)
+    parts = written(rows.select("location", F.col("part").alias("part")).distinct(), "parts")
+    if parts.count() * len(parts.columns) <= BROADCAST_VALUES:
+        parts = F.broadcast(parts)
+    levels = [scratch_path(spark, "splits")]
+    spark.createDataFrame([], SPLITS).write.parquet(levels[0])
     for depth in range(forest.depth):
-        made = spark.read.schema(SPLITS).parquet(path)
-        known = _spread(made, rows).withColumn("block", F.floor(F.col("tree") / BLOCK).cast("int"))
+        made = spark.read.schema(SPLITS).parquet(*levels)
+        known = made.join(parts, "location").withColumn("block", F.floor(F.col("tree") / BLOCK).cast("int"))
         histograms = blocks.groupBy(*key).cogroup(known.groupBy(*key)).applyInArrow(
             _histograms(forest, depth), "location string, tree int, node long, feature int, bin int, n long, positives long"
         )
-        level = written(best_splits(histograms, forest.least), "level")
-        level.write.mode("append").parquet(path)
-        if level.isEmpty():
+        levels.append(scratch_path(spark, "splits"))
+        best_splits(histograms, forest.least).write.parquet(levels[-1])
+        if spark.read.schema(SPLITS).parquet(levels[-1]).isEmpty():
             break
-    return spark.read.schema(SPLITS).parquet(path)
+    return spark.read.schema(SPLITS).parquet(*levels)
 
 
 def fit_forests(design: DataFrame, forest: Forest = Forest()) -> DataFrame:
