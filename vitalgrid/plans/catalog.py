@@ -8,6 +8,7 @@ from ..operators import (
     drift, features, federated, keyed_trees, labels, merge, metrics, models, reports, rules, similarity, sketches, spine,
     vitals, window_drift,
 )
+from ..operators.attach import attach
 from ..schemas import DEFAULT_NODES, MERGED_COLUMNS, WEARABLE
 from ..session import scratch_path, written
 from ..sources import committed, events, readers, writers
@@ -572,6 +573,26 @@ def federated_gradient(spark, folder):
     return rounded(shown.select("location", "idx", (F.col("value") + 0.0).alias("value")), 6)
 
 
+@query
+def federated_fit_moments(spark, folder):
+    """What holds at the optimum of every site: probabilities sum to the positives, and the penalised gradient is zero."""
+    rows, names = stages.model_rows(spark, folder)
+    train = written(federated.local_split(rows).filter(~F.col("is_test")), "training")
+    design = written(federated.design_rows(train, features.scaler_stats(train, names, ["location"]), names), "design")
+    dimension = len(names) + 1
+    theta = federated.fit_logistic(design, dimension)
+    located = written(attach(design, theta, ["location"], "inner", dimension, computed=True), "located")
+    sums = federated.linear_scores(located).groupBy("location").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("score").alias("positives")
+    )
+    weights = theta.select("location", F.posexplode("theta").alias("idx", "w"))
+    slope = federated.site_sums(located, dimension).filter(F.col("idx") < dimension).join(weights, ["location", "idx"])
+    steepest = slope.groupBy("location").agg(
+        (F.max(F.abs(F.col("value") + F.when(F.col("idx") > 0, F.col("w")).otherwise(0.0))) < 1e-6).alias("stationary")
+    )
+    return rounded(sums.join(steepest, "location"), 5, "positives")
+
+
 @query
 def federated_participants(spark, folder):
     """Sites of a round that asks for two thirds of them."""

@@ -318,6 +318,9 @@ QUERIES = {
             for i, x in enumerate(["1e0", *[f"(training.{f} - mean_{f}) / scale_{f}" for f in FEATURES]]))
         + f" UNION ALL SELECT location, {len(FEATURES) + 1}, count(*) * 0.25e0 FROM training GROUP BY location)",
         "training", "training_scales"),
+    "federated_fit_moments": sql(
+        """SELECT location, count(*) AS n, round(cast(sum(health_risk) AS double), 5) AS positives, true AS stationary
+           FROM training GROUP BY location""", "training"),
     "federated_participants": sql(
         "SELECT location FROM (SELECT DISTINCT location FROM merged) ORDER BY md5(location) LIMIT 2", "merged"),
     **{name: sql(

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import labels, merge, reports, rules
 from ..schemas import DEFAULT_NODES, MERGED_COLUMNS
+from ..session import written
 from ..sources.readers import read_nodes
 from ..sources.writers import labeled_path, write_by_location
 
@@ -47,9 +48,9 @@ def build_tables(
 def authority_panels(
     labeled_all: DataFrame, labeled_node: DataFrame, regions: Sequence[str], dates: Sequence = ()
 ) -> dict[str, DataFrame]:
-    """What health authorities see. The filtered rows are cached once for all panels;
+    """What health authorities see. The filtered rows are written once for all panels;
     the regional comparison covers all dates, against each location's own threshold."""
-    rows = reports.in_date_range(reports.in_regions(labeled_all, regions), dates).persist()
+    rows = written(reports.in_date_range(reports.in_regions(labeled_all, regions), dates), "panel-rows")
     return {
         "rows": rows,
         "kpi": reports.kpi_overview(rows),
@@ -65,7 +66,7 @@ def authority_panels(
 def citizen_panels(labeled_node: DataFrame, region: str, dates: Sequence = ()) -> dict[str, DataFrame]:
     """What a citizen of one region sees; without dates, its last seven days."""
     here = reports.in_regions(labeled_node, [region])
-    rows = (reports.in_date_range(here, dates) if len(dates) == 2 else reports.last_days(here)).persist()
+    rows = written(reports.in_date_range(here, dates) if len(dates) == 2 else reports.last_days(here), "panel-rows")
     return {
         "rows": rows,
         "status": reports.latest_status(rows),
