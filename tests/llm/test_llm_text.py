@@ -276,3 +276,106 @@ def test_rules_are_indexed_by_their_rarest_token(spark):
     table = url_rules.rule_table(spark, [rule])
     assert [r["token"] for r in url_rules.index(table, places).collect()] == ["b"]
     assert [r["place"] for r in url_rules.fitting(places, table).collect()] == ["a-b/"]
+
+
+@pytest.mark.parametrize("html, text", [
+    # rows that cells of rows above reach into
+    ("<table><tr><td rowspan=2>Alpha<td>b1<tr><td>b2<tr><td>c<td>d</table>", "Alpha  b1\n       b2\nc      d"),
+    ("<table><tr><td>a<td rowspan=3>x<td>b<tr><td>c<td>d<tr><td>e</table>", "a  x  b\nc     d\ne"),
+    ("<table><tr><td rowspan=2 colspan=2>w<td>1<tr><td>2</table>", "w  1\n   2"),
+    ("<table><tr><td rowspan=0>r<td>1<tr><td>2<tr><td>3</table>", "r  1\n   2\n   3"),
+    # wide characters take two columns
+    ("<table><tr><td>日本<td>x<tr><td>abc<td>y</table>", "日本  x\nabc   y"),
+    # visibility is inherited and can be declared again, display cannot
+    ("<div style='visibility:hidden'>no<b style='visibility:visible'>yes</b>no</div>", "yes"),
+    ("<div style='visibility:hidden'><p>no<p><i>no</i></div>yes", "yes"),
+    ("<div style='display:none'><b style='display:block'>no</b></div>yes", "yes"),
+    # the last declaration counts, unless one before is important
+    ("<p style='display:none;display:block'>yes", "yes"), ("<p style='display:block;display:none'>no", ""),
+    ("<p style='DISPLAY: none !important; display:block'>no", ""), ("<p style='color:none;displays:none'>yes", "yes"),
+    ("<p hidden style='display:block'>yes", "yes"), ("<dialog style='display:block'>yes</dialog>", "yes"),
+    ("<p style='x' style='display:none'>yes", "yes"),
+    # closed details show their summary
+    ("<details><summary>s</summary>no</details>yes", "s\nyes"), ("<details open><summary>s</summary>body</details>", "s\nbody"),
+    ("<details>no<p>no</details>", ""),
+])
+def test_visibility_and_spans(html, text):
+    assert html_text.render(html) == text
+
+
+@pytest.mark.parametrize("depth", [197, 250, 600, 5000])
+def test_deep_pages(depth):
+    around = "<div>" * depth
+    assert html_text.render(around + "<div hidden>secret</div>seen") == "seen"
+    assert html_text.render(around + "<ul><li>one<li>two</ul>") == "- one\n- two"
+    assert html_text.render(around + "<table><tr><td>a<td>b</table>") == "a  b"
+    assert html_text.render("<b>" * depth + "x" + "</b>" * depth + "y") == "xy"
+    assert html_text.render("<svg><g>" * depth + "<text>t").strip() == "t"
+    assert html_text.render("<p>" * depth + "x") == "x"
+
+
+def test_deep_lists_keep_every_text():
+    """Beyond the depth that browsers build, items are lines without a mark; hidden ones stay hidden."""
+    text = html_text.render("".join(f"<ul><li>n{i}" for i in range(1500)) + "<p hidden>secret</p><p>end")
+    assert [line.strip(" -") for line in text.split("\n") if line] == [*(f"n{i}" for i in range(1500)), "end"]
+
+
+def test_merging_changes_nothing(monkeypatch):
+    """Pages read the same whether elements without a difference are taken up or not."""
+    import random
+
+    r = random.Random(5)
+    pages = [as_html(random_tree(r)) for _ in range(200)] + [PAGE, "<div> <div><center><p>a</center></div>b <b>c<i>d</i></b></div>"]
+    want = [html_text.render(p) for p in pages]
+    monkeypatch.setattr(html_text, "DEPTH", 1)
+    monkeypatch.setattr(html_text, "_flat", lambda node: node.children)
+    assert [html_text.render(p) for p in pages] == want
+
+
+def random_tree(r, depth=0):
+    """A small tree as (tag, style, children), texts as strings."""
+    tag = r.choice(["div", "span", "b", "section"])
+    style = r.choice(["", "", "", "display:none", "visibility:hidden", "visibility:visible", "display:none;display:block"])
+    inside = [f"t{r.randrange(10**6)}" if depth > 3 or r.random() < 0.4 else random_tree(r, depth + 1) for _ in range(r.randint(0, 4))]
+    return tag, style, inside
+
+
+def as_html(node):
+    return node if isinstance(node, str) else f"<{node[0]} style='{node[1]}'>{' '.join(map(as_html, node[2]))}</{node[0]}>"
+
+
+def plain_words(node, hidden=False):
+    """The shown texts by the definition, one element after the other."""
+    if isinstance(node, str):
+        return [] if hidden else [node]
+    if node[1] == "display:none":
+        return []
+    hidden = {"visibility:hidden": True, "visibility:visible": False}.get(node[1], hidden)
+    return [w for child in node[2] for w in plain_words(child, hidden)]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.integers(0, 10**9))
+def test_shown_words_of_random_trees(seed):
+    import random
+
+    node = random_tree(random.Random(seed))
+    assert html_text.render(as_html(node)).split() == plain_words(node)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.lists(st.tuples(st.integers(1, 3), st.integers(1, 3)), max_size=4), max_size=5))
+def test_columns_of_random_tables(spans):
+    """Every cell starts in the first free column of its row, by an occupancy table."""
+    used, want, rows = set(), {}, []
+    for i, row in enumerate(spans):
+        cells = []
+        for k, (wide, high) in enumerate(row):
+            column = next(c for c in range(100) if (i, c) not in used)
+            used |= {(i + a, column + b) for a in range(high) for b in range(wide)}
+            want[f"r{i}k{k}"] = column
+            cells.append(f"<td colspan={wide} rowspan={high}>r{i}k{k}")
+        rows.append("<tr>" + "".join(cells))
+    grid = html_text._grid([c for kind, c in html_text._rows(html_text.tree(f"<table>{''.join(rows)}</table>").children[0]) if kind == "row"])
+    found = {line[0]: column for row in grid for column, line in enumerate(row) if line}
+    assert found == want

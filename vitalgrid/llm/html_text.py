@@ -6,7 +6,7 @@ cell or row) and ignores end tags that close nothing. The renderer then writes
 
 - each block on lines of its own, paragraphs, headings, lists and tables with an empty line around;
 - list items behind "- " or their number, nested lists indented;
-- tables with their cells padded to the width of their column;
+- tables with their cells padded to the width of their column, places that a cell of a row above covers left free;
 - `pre` and `textarea` with their white space, other text with runs of white space as one blank;
 - of a menu (`select`) the chosen option, of a list box all options, on lines of their own;
 - formulas (`math`) without annotations, parts of fractions and tables apart by a blank;
@@ -15,13 +15,17 @@ cell or row) and ignores end tags that close nothing. The renderer then writes
 No text that a browser shows is left out: navigation, advertisements and footers are text like any
 other. Not shown: head, scripts, styles, templates, comments, titles, choices that are not picked,
 what stands in for media that a browser plays or embeds (object, video, audio, canvas, iframe), definitions
-in drawings, and elements hidden by attribute or inline style. Values of attributes (of `input`, `img`)
+in drawings, elements hidden by attribute or inline style (the last declaration counts, visibility is inherited), and
+the bodies of closed details. Values of attributes (of `input`, `img`)
 are not text, apart from the label of an option; style sheets and references inside drawings are not followed.
 """
 
+import sys
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 from html.parser import HTMLParser
+from unicodedata import combining, east_asian_width
 
 import pyarrow as pa
 import regex
@@ -72,10 +76,16 @@ UNDRAWN_MATH = frozenset("annotation annotation-xml mphantom".split())
 APART = frozenset("mfrac mroot mtable mtr mlabeledtr munder mover munderover".split())
 # an end tag is not looked for outside the cell or table it stands in
 SCOPE = frozenset("table td th caption".split())
-HIDDEN_STYLE = regex.compile(r"(?i)(^|;)\s*(display\s*:\s*none|visibility\s*:\s*(hidden|collapse))\b")
 SPACE = regex.compile(r"[ \t\n\r\f]+")
-# deeper elements join their parent's line
-DEPTH = 200
+# elements that make no difference inside each other: texts in a line, and plain blocks without a neighbour
+INLINE = frozenset(
+    "a abbr b bdi bdo big cite code del em font i ins kbd label mark nobr q s samp small span strike strong sub sup time tt u var".split()
+)
+PLAIN = frozenset("address aside center div fieldset footer form header hgroup main nav search".split())
+# below so many levels that do make a difference (browsers stop there too), blocks are lines of their parent
+DEPTH = 512
+# a level of the tree takes a few calls to render
+CALLS = 20 * DEPTH
 
 
 class Node:
@@ -91,11 +101,17 @@ class TreeBuilder(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.open = [Node("root", {})]
+        self.tags = Counter()  # open elements by tag, so that most searches among them end at once
         self.drawn = False  # whether the page has a formula or drawing
 
+    def _close(self, depth: int) -> None:
+        for node in self.open[depth:]:
+            self.tags[node.tag] -= 1
+        del self.open[depth:]
+
     def _end_head(self) -> None:
         if self.open[-1].tag == "head":
-            self.open.pop()
+            self._close(len(self.open) - 1)
 
     def _end_implied(self, tag: str) -> None:
         if tag not in IN_HEAD and tag != "head":
@@ -109,9 +125,11 @@ class TreeBuilder(HTMLParser):
             self._close_within(ended, limit)
 
     def _close_within(self, tags, limit) -> None:
+        if not any(self.tags[t] for t in tags):
+            return
         for depth in range(len(self.open) - 1, 0, -1):
             if self.open[depth].tag in tags:
-                del self.open[depth:]
+                self._close(depth)
                 return
             if self.open[depth].tag in limit:
                 return
@@ -119,6 +137,8 @@ class TreeBuilder(HTMLParser):
     def _foreign(self) -> int:
         """Where the outermost formula or drawing is open that what follows belongs to; 0 if in none."""
         found = 0
+        if not any(self.tags[t] for t in FOREIGN):
+            return found
         for depth in range(len(self.open) - 1, 0, -1):
             if self.open[depth].tag in HOLDS_HTML:
                 break
@@ -129,9 +149,11 @@ class TreeBuilder(HTMLParser):
     def _start(self, tag, attrs) -> Node:
         of_html = tag in ENDS_FOREIGN or (tag == "font" and {"color", "face", "size"} & {k for k, _ in attrs})
         if self.drawn and of_html and (depth := self._foreign()):
-            del self.open[depth:]
+            self._close(depth)
         self._end_implied(tag)
-        node = Node(tag, dict(attrs))
+        node = Node(tag, {})
+        for name, value in attrs:  # of a repeated attribute the first counts
+            node.attributes.setdefault(name, value)
         self.open[-1].children.append(node)
         self.drawn = self.drawn or tag in FOREIGN
         if tag == "textarea" and not (self.drawn and self._foreign()):
@@ -139,8 +161,9 @@ class TreeBuilder(HTMLParser):
         return node
 
     def _push(self, node: Node) -> None:
-        if node.tag not in VOID and len(self.open) < DEPTH:
+        if node.tag not in VOID:
             self.open.append(node)
+            self.tags[node.tag] += 1
 
     def handle_starttag(self, tag, attrs):
         self._push(self._start(tag, attrs))
@@ -152,7 +175,7 @@ class TreeBuilder(HTMLParser):
             self._push(node)
 
     def handle_endtag(self, tag):
-        if tag == "p" and not any(n.tag == "p" for n in self.open):
+        if tag == "p" and not self.tags["p"]:
             self.handle_starttag("p", [])  # a lone </p> is an empty paragraph
         self._close_within((tag,), tuple(SCOPE - {tag}) if tag not in ("table", "tr", "tbody", "thead", "tfoot", "body", "html") else ())
 
@@ -172,11 +195,97 @@ def tree(html: str) -> Node:
     return builder.open[0]
 
 
+def declared(style: str | None) -> dict[str, str]:
+    """Values of the inline style's properties: the last one counts, or the last that is marked important."""
+    out: dict[str, tuple[bool, str]] = {}
+    for part in (style or "").split(";"):
+        name, _, value = part.partition(":")
+        name, value = name.strip().lower(), value.strip().lower()
+        important = value.endswith("important") and "!" in value
+        if value and (important or not out.get(name, (False, ""))[0]):
+            out[name] = important, value.split("!")[0].strip()
+    return {name: value for name, (_, value) in out.items()}
+
+
 def visible(node: Node) -> bool:
+    """Whether an element has a place on the page at all."""
     a = node.attributes
-    if node.tag in UNSEEN or "hidden" in a or (node.tag == "dialog" and "open" not in a):
+    if node.tag in UNSEEN:
         return False
-    return not HIDDEN_STYLE.search(a.get("style") or "")
+    display = declared(a["style"]).get("display") if a.get("style") else None
+    if display:  # it also overrules what hides the element by default
+        return display != "none"
+    return "hidden" not in a and not (node.tag == "dialog" and "open" not in a)
+
+
+def _hide(root: Node) -> list[tuple[Node, int]]:
+    """Drop hidden texts and the bodies of closed details; returns all elements with their depth, parents first.
+
+    Visibility is inherited: below a hidden element only those elements show texts that are declared visible.
+    """
+    found, stack = [], [(root, 0, False)]
+    while stack:
+        node, depth, hidden = stack.pop()
+        found.append((node, depth))
+        if hidden:
+            node.children = [c for c in node.children if isinstance(c, Node)]
+            node.attributes.pop("label", None)
+        if node.tag == "details" and "open" not in node.attributes:
+            node.children = [c for c in node.children if isinstance(c, Node) and c.tag == "summary"][:1]
+        for child in node.children:
+            if isinstance(child, Node):
+                style = child.attributes.get("style")
+                own = declared(style).get("visibility", "inherit") if style else "inherit"
+                stack.append((child, depth + 1, hidden if own == "inherit" else own in ("hidden", "collapse")))
+    return found
+
+
+def _merged(node: Node) -> None:
+    """Take up the children of elements that make no difference where they are."""
+    if node.tag in INLINE:
+        parts = []
+        for child in node.children:
+            same = isinstance(child, Node) and child.tag in INLINE and not {"x", "y"} & set(child.attributes) and visible(child)
+            parts += child.children if same else [child]
+        node.children = parts
+    elif node.tag in PLAIN:
+        seen = [c for c in node.children if (c.strip() if isinstance(c, str) else visible(c))]
+        if len(seen) == 1 and isinstance(seen[0], Node) and seen[0].tag in PLAIN:
+            node.children = seen[0].children
+
+
+def _flat(node: Node) -> list:
+    """What a node holds, without elements: blocks become lines."""
+    out, stack = [], list(reversed(node.children))
+    while stack:
+        child = stack.pop()
+        if isinstance(child, str) or child.tag in VOID:
+            out.append(child)
+        elif child.tag == "text":  # of a drawing, which shows no other
+            label = Node("text", child.attributes)
+            label.children = [c for c in _flat(child) if isinstance(c, str)]
+            out.append(label)
+        elif visible(child):
+            line = [Node("br", {})] if child.tag in BLOCK else []
+            stack += [*line, *reversed(child.children), *line]
+    return out
+
+
+def shown(root: Node) -> Node:
+    """The tree without what is not shown and without depth that makes no difference."""
+    found = _hide(root)
+    deep = max(depth for _, depth in found) >= DEPTH
+    if deep:
+        for node, _ in reversed(found):
+            _merged(node)
+        stack = [(root, 0)]
+        while stack:
+            node, depth = stack.pop()
+            if depth == DEPTH:
+                node.children = _flat(node)
+            else:
+                stack += [(c, depth + 1) for c in node.children if isinstance(c, Node)]
+    return root
 
 
 def _nodes(node: Node, tag: str) -> Iterator[tuple[Node, bool]]:
@@ -430,28 +539,57 @@ def _rows(node: Node) -> Iterator[tuple[str, list | str]]:
         yield "text", _lines(holder)
 
 
+def _grid(rows: list[list[Node]]) -> list[list[list[str]]]:
+    """The lines of the cells by row and column; columns that a cell from a row above reaches into are left free."""
+    out: list[list[list[str]]] = []
+    taken: dict[int, int] = {}  # column -> rows that a cell above still covers
+    for cells in rows:
+        line: list[list[str]] = []
+        covered, taken = taken, {c: n - 1 for c, n in taken.items() if n > 1}
+        for cell in cells:
+            while len(line) in covered:
+                line.append([])
+            wide = min(max(_number(cell.attributes.get("colspan"), 1), 1), 1000)
+            high = _number(cell.attributes.get("rowspan"), 1)
+            high = min(high, 65534) if high > 0 else 65534  # 0: down to the last row
+            for k in range(wide):
+                if high > 1:
+                    taken[len(line) + k] = high - 1
+            line.append([x for x in _lines(cell) if x])
+            line += [[]] * (wide - 1)
+        out.append(line)
+    return out
+
+
+def _wide(text: str) -> int:
+    """Columns that a text takes: two for a wide character, none for one that joins the one before."""
+    if text.isascii():
+        return len(text)
+    return sum(0 if combining(c) else 1 + (east_asian_width(c) in "WF") for c in text)
+
+
 def _table_lines(node: Node) -> list[str]:
-    rows: list[list[list[str]]] = []
     before: list[str] = []
+    found: list[list[Node]] = []
     for kind, content in _rows(node):
         if kind == "text":
             before += content
-            continue
-        cells: list[list[str]] = []
-        for cell in content:
-            cells.append([line for line in _lines(cell) if line])
-            cells += [[]] * min(_number(cell.attributes.get("colspan"), 1) - 1, 1000)
-        rows.append(cells)
+        else:
+            found.append(content)
+    rows = _grid(found)
     widths: list[int] = []
     for cells in rows:
         widths += [0] * (len(cells) - len(widths))
         for i, lines in enumerate(cells):
-            widths[i] = max([widths[i], *map(len, lines)])
+            widths[i] = max([widths[i], *map(_wide, lines)])
     out = before
     for cells in rows:
         for k in range(max([0, *map(len, cells)])):
-            parts = [(lines[k] if k < len(lines) else "").ljust(widths[i]) for i, lines in enumerate(cells)]
-            out.append("  ".join(p for p, w in zip(parts, widths) if w).rstrip())
+            parts = []
+            for i, lines in enumerate(cells):
+                text = lines[k] if k < len(lines) else ""
+                parts.append(text + " " * (widths[i] - _wide(text)))
+            out.append("  ".join(p for p, w in zip(parts, widths) if w).rstrip(" "))
     return out
 
 
@@ -459,7 +597,12 @@ def render(html: str | None) -> str | None:
     """The visible text of a page; NULL stays NULL, a page without text is empty."""
     if html is None:
         return None
-    return "\n".join(_lines(tree(html)))
+    before = sys.getrecursionlimit()
+    sys.setrecursionlimit(max(before, CALLS))
+    try:
+        return "\n".join(_lines(shown(tree(html))))
+    finally:
+        sys.setrecursionlimit(before)
 
 
 def _render_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
