@@ -207,6 +207,8 @@ def best_splits(histograms: DataFrame, least: int) -> DataFrame:
     """The split with the largest gain of every (location, tree, node); ties go to the first feature and bin."""
     node = ["location", "tree", "node"]
     sums = histograms.groupBy(*node, "feature", "bin").agg(F.sum("n").alias("n"), F.sum("positives").alias("positives"))
+    # one deal serves the running sums and the choice: a node has at most features x bins rows by now
+    sums = sums.repartition(*node)
     group = Window.partitionBy(*node, "feature")
     upto = group.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
     sides = sums.select(
